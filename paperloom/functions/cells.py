@@ -81,7 +81,9 @@ def is_significant(
 
 def coerce_score(c: Column) -> Column:
     """Model score clamped to [0, 1]; unreadable is NULL, NaN counts as 1."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(c.isNotNull(), strip(c.cast("string"))).try_cast("double")))
+    value = strip(c.cast("string")).try_cast("double")
+    # greatest() and least() skip NULLs, so an unreadable score is kept out of them.
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def coerce_flag(c: Column) -> Column:

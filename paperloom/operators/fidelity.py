@@ -75,7 +75,7 @@ def _correlation(x: Column, y: Column) -> Column:
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
     r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    return F.when(F.count(x) >= 2, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return F.when((F.count(x) >= 2) & r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def correlate(pairs: DataFrame, by: list[str], x: str = "x", y: str = "y", splits: dict | None = None) -> DataFrame:

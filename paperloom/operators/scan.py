@@ -24,12 +24,14 @@ def _counts(df: DataFrame, text: str, max_chars: int | None, min_base64_len: int
     for p in patterns:
         per_category[p.category].append(inj.pattern_count(F.col("_text"), F.col("_low"), p))
     totals = {c: reduce(lambda a, b: a + b, counts).cast("bigint") for c, counts in per_category.items()}
-    return base.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    row = F.struct(
         F.char_length("_text").alias("n_chars"),
         (F.char_length(value) > F.char_length("_text")).alias("truncated"),
         *[total.alias(f"n_{c}") for c, total in totals.items()],
     )
+    # As a generated row the counts are plain columns afterwards: a filter on the score is not
+    # pushed below them, which would run every regular expression a second time.
+    return base.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(row)))
 
 
 def scan_signal(df: DataFrame, text: str = "text", max_chars: int | None = MAX_CHARS, min_base64_len: int = 48) -> DataFrame:

@@ -162,6 +162,8 @@ class Tables:
         for sized in SIZED:
             if f"{{{sized}}}" in text:
                 text = text.replace(f"{{{sized}}}", str(self.size(sized)))
+        # What braces are left belong to texts in the query, not to its arguments.
+        text = text.replace("{", "{{").replace("}", "}}")
         used = []
         for n in (*BASE, *VIEWS):
             # Only names after FROM or JOIN are tables; a column may have the same name.

@@ -55,27 +55,36 @@ def embedding_search(t):
 
 
 def _filter(name: str, condition: str, views: tuple[str, ...], **filters):
+    def build(t):
+        tables = filter_tables(t)
+        for facts_ in ("llm_raw_data", "llm_processed_data"):
+            # Over all facts every article has a dataset; those of one kind tell articles apart.
+            tables[facts_] = tables[facts_].where("data_repository = 'error'")
+        return search.filter_articles(tables, **filters)
+
     query(f"filter_articles_{name}", oracle(
         f"SELECT DISTINCT a.doi FROM articles a WHERE a.doi IS NOT NULL AND {condition}", "articles", *views
-    ))(lambda t: search.filter_articles(filter_tables(t), **filters))
+    ))(build)
 
 
+_ERRORS = ("SELECT doi FROM llm_raw_data WHERE doi IS NOT NULL AND data_repository = 'error' "
+           "UNION SELECT doi FROM llm_processed_data WHERE doi IS NOT NULL AND data_repository = 'error'")
 _LINKED = "SELECT doi FROM llm_raw_data WHERE doi IS NOT NULL UNION SELECT doi FROM llm_processed_data WHERE doi IS NOT NULL"
-_QUANTIFIED = "SELECT doi FROM llm_processed_data WHERE doi IS NOT NULL"
+_QUANTIFIED = "SELECT doi FROM llm_processed_data WHERE doi IS NOT NULL AND data_repository = 'error'"
 _filter("keyword", """a.doi IN (SELECT ak.doi FROM article_keywords ak JOIN keywords k ON k.keyword_id = ak.keyword_id
     WHERE lower(k.keyword) IN ('small ring', 'red widget') AND ak.doi IS NOT NULL)""",
         ("article_keywords", "keywords"), keywords=["Small Ring", "red widget"])
-_filter("with_dataset", f"a.doi IN ({_LINKED})", ("llm_raw_data", "llm_processed_data"), has_dataset=True)
-_filter("without_dataset", f"a.doi NOT IN ({_LINKED})", ("llm_raw_data", "llm_processed_data"), has_dataset=False)
+_filter("with_dataset", f"a.doi IN ({_ERRORS})", ("llm_raw_data", "llm_processed_data"), has_dataset=True)
+_filter("without_dataset", f"a.doi NOT IN ({_ERRORS})", ("llm_raw_data", "llm_processed_data"), has_dataset=False)
 _filter("quantified", f"a.doi IN ({_QUANTIFIED})", ("llm_processed_data",), has_quantified_data=True)
 _filter("not_quantified", f"a.doi NOT IN ({_QUANTIFIED})", ("llm_processed_data",), has_quantified_data=False)
 _filter("author", """a.doi IN (SELECT aa.doi FROM article_authors aa JOIN author_info ai ON ai.author_id = aa.author_id
     WHERE (lower(coalesce(first_name, '') || ' ' || coalesce(last_name, '')) LIKE '%machinery customer#00000001%'
         OR lower(coalesce(first_name, '') || ' ' || coalesce(last_name, '')) LIKE '%customer#000000007%') AND aa.doi IS NOT NULL)""",
         ("article_authors", "author_info"), authors=["MACHINERY Customer#00000001", "customer#000000007"])
-_filter("journal_type_date", """a.journal_id IN (SELECT journal_id FROM journals WHERE lower(name) LIKE '%an%')
-    AND a.article_type = 'Review' AND a.publication_date >= DATE '2020-06-01' AND a.publication_date <= DATE '2022-06-01'""",
-        ("journals",), journal="AN", article_type="Review", date_from="2020-06-01", date_to="2022-06-01")
+_filter("journal_type_date", """a.journal_id IN (SELECT journal_id FROM journals WHERE lower(name) LIKE '%nation_1%')
+    AND a.article_type = 'Review' AND a.publication_date >= DATE '2020-02-01' AND a.publication_date <= DATE '2022-06-01'""",
+        ("journals",), journal="NATION_1", article_type="Review", date_from="2020-02-01", date_to="2022-06-01")
 _filter("mesh_language", """a.language = 'de' AND a.doi IN (SELECT am.doi FROM article_mesh_terms am
     JOIN mesh_terms m ON m.mesh_term_id = am.mesh_term_id
     WHERE (lower(m.descriptor_name) LIKE '%term 1%' OR lower(m.descriptor_name) LIKE '%term 23%') AND am.doi IS NOT NULL)""",
@@ -393,9 +402,9 @@ _ANNOTATIONS = """SELECT event_id AS id, a.doi, a.pmid, a.pmcid, 'PXD' || CAST(u
 
 
 @query("benchmark_annotations", oracle(
-    f"SELECT * FROM ({_ANNOTATIONS}) r WHERE doi = '10.1000/12' AND category = 'view' ORDER BY created_at DESC, id DESC", "articles"))
+    f"SELECT * FROM ({_ANNOTATIONS}) r WHERE doi = '10.1000/12' AND category = 'click' ORDER BY created_at DESC, id DESC", "articles"))
 def benchmark_annotations(t):
-    return getters.benchmark_annotations(t.sql(_ANNOTATIONS), doi="10.1000/12", category="view")
+    return getters.benchmark_annotations(t.sql(_ANNOTATIONS), doi="10.1000/12", category="click")
 
 
 @query("benchmark_predictions", oracle(
@@ -470,9 +479,9 @@ _PROTEOMES = """SELECT 'UP' || CAST(s_suppkey AS STRING) AS proteome_id, CAST(s_
 
 
 @query("proteomes", f"""SELECT proteome_id, tax_id, nullif(oscode, 'None') AS oscode, species_name, superregnum FROM ({_PROTEOMES}) p
-    WHERE superregnum = 'eukaryota' AND species_name ILIKE '%an%'""")
+    WHERE superregnum = 'eukaryota' AND species_name ILIKE '%ion_1%'""")
 def proteomes(t):
-    return getters.proteomes(t.sql(_PROTEOMES), superregnum="eukaryota", species_name="An")
+    return getters.proteomes(t.sql(_PROTEOMES), superregnum="eukaryota", species_name="Ion_1")
 
 
 @query("proteome_url", f"""SELECT proteome_id, 'https://ftp.uniprot.org/pub/databases/uniprot/current_release/knowledgebase/reference_proteomes/' ||
