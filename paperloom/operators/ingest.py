@@ -75,7 +75,10 @@ def ingest_articles(
 
     def links(table, items, position, payload, **kwargs):
         rows = items.join(ids, "seq").withColumn("_at", _item_seq(position)).drop("seq").withColumnRenamed("_at", "seq")
-        return add_links(tables[table], rows.select(*ARTICLE_IDS, *payload, "seq"), payload[:1], id_col="id", **kwargs)
+        # Without overwriting, accepted articles share no identifier, so their links are consistent.
+        return add_links(
+            tables[table], rows.select(*ARTICLE_IDS, *payload, "seq"), payload[:1], id_col="id", consistent=not overwrite, **kwargs
+        )
 
     people = parsed["authors"].withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("author_position"))
     out["author_info"], author_ids = resolve_authors(tables["author_info"], people)

@@ -246,6 +246,7 @@ def add_links(
     null_safe: Sequence[str] | None = None,
     ids: Sequence[str] = ARTICLE_IDS,
     id_col: str | None = None,
+    consistent: bool = False,
 ) -> DataFrame:
     """Insert-or-ignore of link rows: no two rows share an identifier and the payload.
 
@@ -253,7 +254,8 @@ def add_links(
     columns in which NULL equals NULL. Rows are taken in ``seq`` order: a row counts only if
     no earlier row that counts clashes with it. This is found in rounds; the rows that are
     first in all of their groups are settled at once, and normally nothing is left after that.
-    With ``id_col`` new rows are numbered after the existing ones.
+    With ``id_col`` new rows are numbered after the existing ones. ``consistent`` promises that
+    rows which share an identifier share all three; one aggregation is then enough.
     """
     payload = list(payload)
 
@@ -269,6 +271,8 @@ def add_links(
         return grown(fresh.where(F.col("_old").isNull()).drop("_old"))
 
     waiting = id_anti(new, existing, ids, also=payload)
+    if consistent:
+        return grown(first_by(waiting, [*ids, *payload], seq))
     taken = None
     while True:
         ranked, firsts = waiting, []
@@ -276,11 +280,11 @@ def add_links(
             heads = waiting.where(F.col(key).isNotNull()).groupBy(key, *payload).agg(F.min(seq).alias(f"_head{i}"))
             ranked = join_same(ranked, heads, payload, "left", exact=[key])
             firsts.append(F.coalesce(F.col(f"_head{i}") == F.col(seq), F.lit(True)))
-        settled = materialize(ranked.where(reduce(lambda a, b: a & b, firsts)).select(*waiting.columns))
+        flag = reduce(lambda a, b: a & b, firsts).alias("_settled")
+        ranked = materialize(ranked.select(*[F.col(f"`{c}`") for c in waiting.columns], flag))
+        settled = ranked.where("_settled").drop("_settled")
         taken = settled if taken is None else taken.unionByName(settled)
-        waiting = materialize(
-            id_anti(waiting.join(settled.select(seq), seq, "left_anti"), settled, ids, also=payload)
-        )
+        waiting = id_anti(ranked.where("NOT _settled").drop("_settled"), settled, ids, also=payload)
         if waiting.isEmpty():
             return grown(taken)
 

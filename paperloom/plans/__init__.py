@@ -1,4 +1,4 @@
 """Derived tables and named queries."""
 
-from . import literature, statistics, texts  # noqa: F401
+from . import changes, literature, statistics, texts  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
