@@ -152,7 +152,10 @@ def literature_graph(
         edges.append(edge.distinct() if distinct_edges else edge)
 
     all_nodes = reduce(DataFrame.unionByName, nodes)
-    all_edges = reduce(DataFrame.unionByName, edges)
+    no_edges = all_nodes.select(
+        F.col("id").alias("source"), F.col("id").alias("target"), F.col("type"), F.col("attributes")
+    ).limit(0)
+    all_edges = reduce(DataFrame.unionByName, edges) if edges else no_edges
     return all_nodes, all_edges, graph_counts(all_nodes, all_edges)
 
 

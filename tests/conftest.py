@@ -13,7 +13,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from paperloom.session import local_session
 
-    session = local_session("8", memory="6g")
+    session = local_session("8", shuffle_partitions=4, memory="6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
