@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import finite, is_significant, log_value, sign
-from .ranking import avg_rank, first_by, last_by, range_splits
+from ..session import materialize
+from .ranking import cumulative, first_by, join_same, last_by, range_splits, with_ranges
 
 
 def membership(a: DataFrame, b: DataFrame, key: str = "feature_id") -> DataFrame:
@@ -78,16 +79,33 @@ def _correlation(x: Column, y: Column) -> Column:
     return F.when((F.count(x) >= 2) & r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
-def correlate(pairs: DataFrame, by: list[str], x: str = "x", y: str = "y", splits: dict | None = None) -> DataFrame:
-    """``n``, ``pearson`` and ``spearman`` of the finite pairs in each group (one row if no group)."""
-    finite_pairs = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
-    splits = splits or range_splits(finite_pairs, [x, y])
-    ranked = avg_rank(avg_rank(finite_pairs, by, x, "_rx", splits), by, y, "_ry", splits)
-    aggs = [
-        F.count("*").alias("n"), _correlation(F.col(x), F.col(y)).alias("pearson"),
+def correlate(pairs: DataFrame, by: list[str], splits: dict | None = None, pooled: bool = False) -> DataFrame:
+    """``n``, ``pearson`` and ``spearman`` of the finite ``(x, y)`` pairs of each group.
+
+    With ``pooled`` one more row for all pairs together, marked by the column ``pooled``. Both
+    axes and both groupings go through one histogram of values, from which average ranks are
+    read by running counts; no group is sorted as a whole.
+    """
+    finite_pairs = pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(*by, "x", "y")
+    splits = splits or range_splits(finite_pairs, ["x", "y"])
+    ranged = with_ranges(finite_pairs, splits)
+    levels = F.array(F.lit(False), F.lit(True)) if pooled else F.array(F.lit(False))
+    rows = ranged.withColumn("pooled", F.explode(levels))
+    rows = rows.select("pooled", *[F.when(~F.col("pooled"), F.col(c)).alias(c) for c in by], "x", "y", "x_range", "y_range")
+    keys = ["pooled", *by]
+    axes = [F.struct(F.lit(a).alias("axis"), F.col(a).alias("value"), F.col(f"{a}_range").alias("range")) for a in ("x", "y")]
+    hist = rows.select(*keys, F.inline(F.array(*axes))).groupBy(*keys, "axis", "value", "range").agg(F.count("*").alias("n"))
+    below = cumulative(hist, [*keys, "axis"], "value", "range")
+    ranked = rows.drop("x_range", "y_range")
+    for axis in ("x", "y"):
+        ranks = below.where(F.col("axis") == axis).select(
+            *keys, F.col("value").alias(axis), (F.col("below") + (F.col("n") + 1) / 2).alias(f"_r{axis}")
+        )
+        ranked = join_same(ranked, ranks, keys, exact=[axis])
+    return ranked.groupBy(*keys).agg(
+        F.count("*").alias("n"), _correlation(F.col("x"), F.col("y")).alias("pearson"),
         _correlation(F.col("_rx"), F.col("_ry")).alias("spearman"),
-    ]
-    return ranked.groupBy(*by).agg(*aggs) if by else ranked.agg(*aggs)
+    )
 
 
 def sample_pairs(a: DataFrame, b: DataFrame, sample_map: dict[str, str] | None = None, log: bool = True,
@@ -124,17 +142,17 @@ def compare_quantitative(a: DataFrame, b: DataFrame, sample_map: dict[str, str]
 
     Pairs without any finite value are listed with ``n`` 0.
     """
-    pairs = sample_pairs(a, b, sample_map, log, base, pseudocount, seq)
     names = ["reproduced_sample", "published_sample"]
-    splits = range_splits(pairs, ["x", "y"])
-    found = correlate(pairs, names, splits=splits)
+    # Ranks, splits and sums all read the joined pairs, so the join is done and written once.
+    pairs = materialize(sample_pairs(a, b, sample_map, log, base, pseudocount, seq).select(*names, "x", "y"))
+    found = correlate(pairs, names, pooled=True)
     # Sample pairs are few; those without finite values still get a row.
     every = pairs.select(*names).distinct()
-    per_sample = every.join(found, names, "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
-    pooled = correlate(pairs, [], splits=splits).select(
-        *[F.lit(None).cast("string").alias(n) for n in names], F.col("n"), "pearson", "spearman"
-    )
-    return per_sample.select(*names, "n", "pearson", "spearman").unionByName(pooled)
+    per_sample = every.join(found.where("NOT pooled").drop("pooled"), names, "left")
+    pooled = found.where("pooled").agg(F.max("n").alias("n"), F.max("pearson").alias("pearson"), F.max("spearman").alias("spearman"))
+    pooled = pooled.select(*[F.lit(None).cast("string").alias(c) for c in names], "n", "pearson", "spearman")
+    count = F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    return per_sample.unionByName(pooled).select(*names, count, "pearson", "spearman")
 
 
 def dep_buckets(rep: DataFrame, pub: DataFrame, quantified: DataFrame | None = None, alpha: float = 0.05,

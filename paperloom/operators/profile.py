@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import truncate_cell
-from .ranking import cumulative, range_splits, with_ranges
+from ..session import materialize
+from .ranking import cumulative
 
 # Columns with more distinct values than this get no list of top values.
 CATEGORICAL_MAX = 50
 # Texts longer than this are counted by their digest, so that they are not shuffled whole.
 DIGEST_OVER = 64
+# Integers up to this size are exact as DOUBLE.
+EXACT_LIMIT = float(1 << 53)
 
 
 def _is_numeric(kind: T.DataType) -> bool:
@@ -34,8 +35,8 @@ def profile_table(
     types. ``top_values`` is filled for non-numeric columns of few distinct values.
 
     Everything comes from one pass of plain aggregates and one ``(column, value)`` histogram,
-    which is combined before it is shuffled; medians are read off the histogram by running
-    counts inside value ranges, so no column is gathered in one task.
+    which is combined before it is shuffled and written once; medians are read off it by
+    running counts inside value ranges, so no column is gathered in one task.
     """
     if max_scan_rows is not None:
         df = df.limit(max_scan_rows)
@@ -83,28 +84,36 @@ def profile_table(
     ]
     described = moments.select(F.inline(F.array(*per_column)))
 
-    # Histogram of (column, value). Numeric cells also carry the number of their value range.
-    splits = range_splits(base, numeric) if numeric else {}
-    ranged = with_ranges(base, splits) if numeric else base
+    # Histogram of (column, value). Numbers are their own key, except that integers beyond the
+    # exact range of a double are told apart by their text.
     entries = []
-    for i, c in enumerate(short):
+    for i, (c, f) in enumerate(zip(short, fields)):
         if c not in flat:
             continue
+        none = F.lit(None).cast("string")
+        if c in numeric:
+            wide = isinstance(f.dataType, (T.LongType, T.DecimalType))
+            raw = F.col(f"{c}_raw")
+            key = F.when(F.abs(F.col(c)) >= EXACT_LIMIT, raw) if wide else none
+            entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.col(c).alias("value"), none.alias("shown")))
+            continue
         text = F.col(c).cast("string")
-        is_num = c in numeric
-        key = text if is_num else F.when(
-            F.char_length(text) > DIGEST_OVER, F.concat(F.lit("#"), F.sha2(text, 256))
-        ).otherwise(F.concat(F.lit("="), text))
-        entries.append(F.struct(
-            F.lit(i).alias("column_no"), key.alias("key"),
-            (F.col(c) if is_num else F.lit(None).cast("double")).alias("value"),
-            (F.col(f"{c}_range") if is_num else F.lit(None).cast("double")).alias("range"),
-            (F.lit(None).cast("string") if is_num else truncate_cell(F.col(c), max_cell_chars)).alias("shown"),
-        ))
+        key = F.when(F.char_length(text) > DIGEST_OVER, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
+        shown = F.when(F.char_length(text) > DIGEST_OVER, truncate_cell(text, max_cell_chars)).otherwise(none)
+        entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.lit(None).cast("double").alias("value"), shown.alias("shown")))
+    exact = [
+        F.col(f"`{f.name}`").cast("string").alias(f"{c}_raw")
+        for c, f in zip(short, fields) if isinstance(f.dataType, (T.LongType, T.DecimalType))
+    ]
+    cells = df.select(*[cell(f).alias(c) for c, f in zip(short, fields)], *exact)
     hist = (
-        ranged.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("key").isNotNull())
-        .groupBy("column_no", "key", "value", "range").agg(F.count("*").alias("n"), F.min("shown").alias("shown"))
+        cells.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull() | F.col("value").isNotNull())
+        # ``shown`` follows from the key; as a grouping column it keeps the aggregation hash-based.
+        .groupBy("column_no", "key", "value", "shown").agg(F.count("*").alias("n"))
     )
+    # The histogram is used four times, so it is written once. Its partitions are value ranges;
+    # their numbers, fixed by the write, let running counts be taken range by range.
+    hist = materialize(hist.repartitionByRange("column_no", "value", "key").withColumn("range", F.spark_partition_id()))
     distinct = hist.groupBy("column_no").agg(F.count("*").alias("_unique"), F.sum("n").alias("_n"))
 
     low = F.floor((F.col("_n") - 1) / 2)
@@ -123,6 +132,9 @@ def profile_table(
 
     few = F.broadcast(distinct.where(F.col("_unique") <= CATEGORICAL_MAX).select("column_no"))
     texts = hist.where(F.col("value").isNull()).join(few, "column_no", "left_semi")
+    # Short texts are shown from their key.
+    shown = F.coalesce("shown", truncate_cell(F.substr(F.col("key"), F.lit(2)), max_cell_chars))
+    texts = texts.withColumn("shown", shown)
     by_count = Window.partitionBy("column_no").orderBy(F.desc("n"), "shown")
     top = (
         texts.withColumn("_r", F.row_number().over(by_count)).where(F.col("_r") <= max_top_values)

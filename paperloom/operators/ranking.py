@@ -44,13 +44,12 @@ def _one_by(df, keys, seq, pick):
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with very many rows: never more than ``limit`` rows, so safe to broadcast.
+    """Keys with very many rows: never more than ``limit`` keys, so safe to broadcast.
 
     A key outside the ``limit`` most frequent ones holds less than 1/``limit`` of all rows.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    top = counts.orderBy(F.desc("_rows"), *keys).limit(limit)
-    return top.where(F.col("_rows") > rows).drop("_rows")
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows)
+    return counts.orderBy(F.desc("_rows"), *keys).limit(limit).drop("_rows")
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", exact: Sequence[str] = ()) -> DataFrame:

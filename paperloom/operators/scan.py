@@ -71,7 +71,8 @@ def scan_spans(
     more matches than are listed.
     """
     counted = _counts(df.select(id_col, text), text, max_chars, min_base64_len)
-    hits = counted.where(reduce(lambda a, b: a | b, [F.col(f"n_{c}") > 0 for c in inj.WEIGHTS])).select(id_col, text)
+    found = F.filter(F.array(*[F.when(F.col(f"n_{c}") > 0, c) for c in inj.WEIGHTS]), lambda x: x.isNotNull())
+    hits = counted.select(id_col, text, found.alias("_found")).where(F.size("_found") > 0)
     patterns = (*inj.PATTERNS, inj.base64_pattern(min_base64_len))
     schema = (
         f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, category string, span_no int, pattern string, "
@@ -93,10 +94,12 @@ def scan_spans(
 
         for batch in batches:
             rows = []
-            for key, body in zip(batch[id_col], batch[text]):
+            for key, body, matched in zip(batch[id_col], batch[text], batch["_found"]):
                 body = body if max_chars is None else body[:max_chars]
-                spans, counts = {}, {}
+                spans, counts, matched = {}, {}, set(matched)
                 for category, label, regex in compiled:
+                    if category not in matched:
+                        continue
                     kept = spans.setdefault(category, [])
                     for m in regex.finditer(body):
                         counts[category] = counts.get(category, 0) + 1

@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import author_name
 from ..functions.vectors import dot, dot_literal
 
 
+# Most rows of a search result that are sent to every task.
+BROADCAST_ROWS = 100_000
+
+
 def doi_union(*frames: DataFrame) -> DataFrame:
     """Distinct, non-NULL dois of several tables."""
     parts = [f.where(F.col("doi").isNotNull()).select("doi") for f in frames]
@@ -90,8 +93,10 @@ def search_filtered(tables: dict[str, DataFrame], query_vec: Sequence[float], k:
     candidates = tables["embeddings"].select("doi", "pmid", "pmcid", "embedding").join(dois, "doi", "left_semi")
     top = search(candidates, query_vec, k)
     titles = tables["articles"].select("doi", "title")
-    # Every doi found is one of an article, and only k rows need a title: that side is broadcast.
-    return titles.join(F.broadcast(top), "doi").select("doi", "pmid", "pmcid", "title", "score")
+    # Every doi found is one of an article. Only k rows need a title, so that side is broadcast
+    # unless k is a large number.
+    few = F.broadcast(top) if k <= BROADCAST_ROWS else top
+    return titles.join(few, "doi").select("doi", "pmid", "pmcid", "title", "score")
 
 
 def most_similar(requests: DataFrame, query_vec: Sequence[float], threshold: float = 0.0) -> DataFrame:

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
     "benchmark", "labels", "conversations",
@@ -179,6 +181,14 @@ class Tables:
                 self._frames[name] = self.sql(VIEWS[name])
         return self._frames[name]
 
+    def spread(self, *names: str) -> Tables:
+        """The same tables, with the named base tables dealt out to all cores if they are small."""
+        other = Tables(self.spark, self.folder)
+        other._sizes = self._sizes
+        for n in names:
+            other._frames[n] = spread(other[n])
+        return other
+
     def many(self, *names: str) -> dict[str, DataFrame]:
         return {n: self[n] for n in names}
 

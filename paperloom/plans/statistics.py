@@ -44,7 +44,7 @@ _LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "
 
 @query("profile_lineitem", _profile_sql("lineitem", _LINE[:8], _LINE[8:], _LINE))
 def profile_lineitem(t):
-    return _profile(t["lineitem"])
+    return _profile(t.spread("lineitem")["lineitem"])
 
 
 _DOC = ("doc_id", "text", "lang", "source", "n_chars")
@@ -52,7 +52,7 @@ _DOC = ("doc_id", "text", "lang", "source", "n_chars")
 
 @query("profile_documents", _profile_sql("documents", ("doc_id", "n_chars"), ("text", "lang", "source"), _DOC))
 def profile_documents(t):
-    return _profile(t["documents"])
+    return _profile(t.spread("documents")["documents"])
 
 
 _DEP = ("feature_id", "log2fc", "pvalue", "padj")

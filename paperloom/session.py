@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -22,6 +23,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that is read by fewer tasks than there are cores; leave all others alone.
+
+    For work that is heavy per row on a small input, such as one file with one row group. The
+    tasks are counted from file metadata. A large table is never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.select(F.spark_partition_id().alias("p")).distinct().limit(cores).count()
+    return df if tasks >= cores else df.repartition(cores)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's checkpoint folder and read it back.
 
