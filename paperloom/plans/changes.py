@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import facts, ingest, merge, validate
-from ..sources import articles_xml, matrices, repositories
+from ..sources import articles_xml, listings, matrices, repositories
 from .derived import oracle
 from .registry import query
 
@@ -425,6 +431,44 @@ def jats_text(t):
     return parsed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+# ---- archives ----
+
+
+def _archives(t):
+    """A zip, tar.gz or broken archive per document, with its text and its language as members."""
+
+    @F.pandas_udf(T.BinaryType())
+    def pack(ids: pd.Series, texts: pd.Series, langs: pd.Series) -> pd.Series:
+        def one(i, text, lang):
+            out, members = io.BytesIO(), (("in/text.txt", text.encode()), ("lang", lang.encode()))
+            if i % 3 == 0:
+                with zipfile.ZipFile(out, "w") as z:
+                    z.writestr("in/", "")
+                    for name, body in members:
+                        z.writestr(name, body)
+            elif i % 3 == 1:
+                with tarfile.open(fileobj=out, mode="w:gz") as a:
+                    for name, body in members:
+                        info = tarfile.TarInfo(name)
+                        info.size = len(body)
+                        a.addfile(info, io.BytesIO(body))
+            return out.getvalue()
+
+        return pd.Series([one(*row) for row in zip(ids, texts, langs)])
+
+    ending = F.when(F.col("doc_id") % 3 == 1, ".tar.gz").otherwise(".zip")
+    docs = t.spread("documents")["documents"]
+    return docs.select(F.concat(F.lit("/a/"), "doc_id", ending).alias("path"), pack("doc_id", "text", "lang").alias("content"))
+
+
+@query("archive_contents", """SELECT '/a/' || doc_id || CASE WHEN doc_id % 3 = 1 THEN '.tar.gz' ELSE '.zip' END AS archive_path,
+    CASE WHEN doc_id % 3 = 2 THEN 0 ELSE 2 END AS total_files, CAST(CASE WHEN doc_id % 3 = 2 THEN 0 ELSE octet_length(encode(text)) + length(lang) END AS BIGINT) AS total_size,
+    doc_id % 3 = 2 AS broken FROM documents""".replace("THEN 0 ELSE 2 END AS", "THEN CAST(0 AS BIGINT) ELSE 2 END AS"))
+def archive_contents(t):
+    contents = listings.archive_contents(listings.archive_members(_archives(t)))
+    return contents.select("archive_path", "total_files", "total_size", F.col("error").isNotNull().alias("broken"))
+
+
 # ---- repositories ----
 
 
