@@ -18,13 +18,20 @@ def first_vector(t: Tables) -> list[float]:
     return list(t["embeddings"].where("vec_id = 0").select("embedding").first()[0])
 
 
-def filter_tables(t: Tables) -> dict[str, DataFrame]:
-    tables = t.many(
-        "articles", "journals", "author_info", "article_authors", "keywords", "article_keywords", "llm_raw_data",
-        "llm_processed_data", "mesh_terms", "article_mesh_terms",
-    )
-    tables["embeddings"] = t["article_embeddings"]
-    return tables
+class SearchTables:
+    """The tables a filtered search may ask for; each is built only when it is asked for."""
+
+    NAMES = ("articles", "journals", "author_info", "article_authors", "keywords", "article_keywords", "llm_raw_data",
+             "llm_processed_data", "mesh_terms", "article_mesh_terms", "embeddings")
+
+    def __init__(self, t: Tables, **changed):
+        self.t, self.changed = t, {"embeddings": lambda: t["article_embeddings"], **changed}
+
+    def __contains__(self, name: str) -> bool:
+        return name in self.NAMES
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.changed[name]() if name in self.changed else self.t[name]
 
 
 _SCORE = (
@@ -41,7 +48,7 @@ _SCORE = (
     ORDER BY {_SCORE} DESC, e.doi LIMIT 5""", "articles", "article_embeddings", "article_keywords", "keywords"))
 def filtered_search(t):
     found = search.search_filtered(
-        filter_tables(t), first_vector(t), 5, keywords=["small ring", "Red Widget", "large gear"], language="en",
+        SearchTables(t), first_vector(t), 5, keywords=["small ring", "Red Widget", "large gear"], language="en",
         date_from="2020-01-10", date_to="2023-06-30",
     )
     return found.withColumn("score", F.round("score", 6))
@@ -56,11 +63,9 @@ def embedding_search(t):
 
 def _filter(name: str, condition: str, views: tuple[str, ...], **filters):
     def build(t):
-        tables = filter_tables(t)
-        for facts_ in ("llm_raw_data", "llm_processed_data"):
-            # Over all facts every article has a dataset; those of one kind tell articles apart.
-            tables[facts_] = tables[facts_].where("data_repository = 'error'")
-        return search.filter_articles(tables, **filters)
+        # Over all facts every article has a dataset; those of one kind tell articles apart.
+        changed = {f: (lambda f=f: t[f].where("data_repository = 'error'")) for f in ("llm_raw_data", "llm_processed_data")}
+        return search.filter_articles(SearchTables(t, **changed), **filters)
 
     query(f"filter_articles_{name}", oracle(
         f"SELECT DISTINCT a.doi FROM articles a WHERE a.doi IS NOT NULL AND {condition}", "articles", *views
