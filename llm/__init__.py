@@ -1 +1,7 @@
 """Training-data operators. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .minhash import near_duplicates
 from .substrings import remove_repeats
 
 QUERIES = {}
@@ -28,3 +29,8 @@ def query(name: str, sql: str | None = None):
 def substring_dedup(spark, folder):
     kept = remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_minhash_near_dedup")
+def minhash_near_dedup(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
