@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .minhash import near_duplicates
+from .mixing import mix
 from .substrings import remove_repeats
 
 QUERIES = {}
@@ -34,3 +35,9 @@ def substring_dedup(spark, folder):
 @query("op6_minhash_near_dedup")
 def minhash_near_dedup(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op3_cube_mixing")
+def cube_mixing(spark, folder):
+    mixed = mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
