@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .hilbert import shard
 from .minhash import near_duplicates
 from .mixing import mix
 from .substrings import remove_repeats
+from .toxicity import toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -41,3 +43,15 @@ def minhash_near_dedup(spark, folder):
 def cube_mixing(spark, folder):
     mixed = mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op5_hilbert_sharding")
+def hilbert_sharding(spark, folder):
+    return shard(table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op8_toxicity")
+def toxic_documents(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
