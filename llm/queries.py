@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .contamination import contaminated
 from .hilbert import shard
 from .minhash import near_duplicates
 from .mixing import mix
@@ -55,3 +56,8 @@ def hilbert_sharding(spark, folder):
 @query("op8_toxicity")
 def toxic_documents(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_decontamination")
+def decontamination(spark, folder):
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
