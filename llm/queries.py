@@ -8,8 +8,10 @@ from .contamination import contaminated
 from .hilbert import shard
 from .minhash import near_duplicates
 from .mixing import mix
+from .nearest import binary_code, nearest
 from .substrings import remove_repeats
 from .toxicity import toxicity
+from .urls import judge
 
 QUERIES = {}
 ORACLES = {}
@@ -61,3 +63,35 @@ def toxic_documents(spark, folder):
 @query("op9_decontamination")
 def decontamination(spark, folder):
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_CODE = " | ".join(f"CASE WHEN embedding[{i + 1}] > 0 THEN 1::UBIGINT << {i} ELSE 0::UBIGINT END" for i in range(64))
+
+
+@query(
+    "op7_multi_index_hashing",
+    f"""WITH c AS (SELECT vec_id, {_CODE} AS code FROM embeddings),
+    p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id, CAST(bit_count(xor(q.code, c.code)::BIT) AS INT) AS distance
+      FROM c q JOIN c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INT) AS rank FROM p)
+    SELECT query_id, neighbor_id, distance, rank FROM r WHERE rank <= 10""",
+)
+def multi_index_hashing(spark, folder):
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), binary_code(F.col("embedding")).alias("code"))
+    return nearest(rows.where("id % 100 = 0"), rows, 10)
+
+
+#: The rule list (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+@query("op10_url_rules")
+def url_rules(spark, folder):
+    """A page's label is the quality of the document whose number its path ends with."""
+    pages = table(spark, folder, "pages")
+    number = F.regexp_extract("url", r"://[^/?#]*/(?:[^?#]*/)?(\d+)[^/\d?#]*/?(?:[?#].*)?$", 1).cast("long")
+    quality = table(spark, folder, "labels").groupBy("doc_id").agg((1 - F.min("quality")).alias("bad"))
+    labelled = pages.select("url", number.alias("doc_id")).join(quality, "doc_id").select("url", "bad")
+    return judge(pages, labelled, URL_RULES)
