@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .contamination import contaminated
+from .conversations import CONTROL, END, MIDDLE, START, chained, digest, format_conversations
 from .hilbert import shard
 from .minhash import near_duplicates
 from .mixing import mix
@@ -95,3 +96,29 @@ def url_rules(spark, folder):
     quality = table(spark, folder, "labels").groupBy("doc_id").agg((1 - F.min("quality")).alias("bad"))
     labelled = pages.select("url", number.alias("doc_id")).join(quality, "doc_id").select("url", "bad")
     return judge(pages, labelled, URL_RULES)
+
+
+def _escaped(column: str) -> str:
+    out = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for c in CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+@query(
+    "op4_reply_trees",
+    f"""WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum({len(START + MIDDLE + END)} + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id""",
+)
+def reply_trees(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = turns.unionByName(more)
+    return digest(format_conversations(chained(turns)))
