@@ -10,6 +10,7 @@ from .hilbert import shard
 from .minhash import near_duplicates
 from .mixing import mix
 from .nearest import binary_code, nearest
+from .pages import main_text
 from .substrings import remove_repeats
 from .toxicity import toxicity
 from .urls import judge
@@ -122,3 +123,8 @@ def reply_trees(spark, folder):
     more = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     turns = turns.unionByName(more)
     return digest(format_conversations(chained(turns)))
+
+
+@query("op2_page_differencing")
+def page_differencing(spark, folder):
+    return main_text(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))

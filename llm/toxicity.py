@@ -149,11 +149,11 @@ class Toxicity:
     constant: float = 0.0
 
     def score(self, docs: DataFrame, *keep: str) -> DataFrame:
-        """``keep`` columns plus score; the text column must be named text. Null and empty texts are scored as empty."""
+        """``keep`` columns plus score of the column text; null and empty texts are scored as empty."""
         if self.trees is None:
             return docs.select(*keep, F.lit(self.constant).alias("score"))
         schema = ", ".join(f"`{n}` {t}" for n, t in docs.select(*keep).dtypes) + ", values array<double>"
-        values = docs.select(*keep, "text").mapInArrow(_features(self.lexicon), schema)
+        values = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(_features(self.lexicon), schema)
         return _calibrated(self.trees, self.calibration, values).select(*keep, "score")
 
 
