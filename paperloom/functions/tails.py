@@ -46,7 +46,7 @@ def upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
         c, d = np.full(b.shape, 1e300), 1.0 / b
         h, i = d.copy(), 0
         step = np.zeros(b.shape)
-        while np.any(np.abs(step - 1.0) > 1e-15) and i < 1_000_000:
+        while np.any(np.abs(step - 1.0) > 1e-15):
             i += 1
             weight = -i * (i - a[high])
             b = b + 2.0

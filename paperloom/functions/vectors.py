@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Above this length a literal query vector is scored by array functions instead of one
-# generated expression, which would outgrow the JIT's method size.
-UNROLL_LIMIT = 256
-
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def decode_embedding(blobs: pd.Series) -> pd.Series:
@@ -26,23 +20,14 @@ def encode_embedding(vectors: pd.Series) -> pd.Series:
     return vectors.map(lambda v: np.asarray(v, dtype="<f4").tobytes(), na_action="ignore")
 
 
-def _pairwise(terms: list[Column]) -> Column:
-    while len(terms) > 1:
-        terms = [reduce(lambda a, b: a + b, terms[i : i + 2]) for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
 def dot_literal(a: Column, query: list[float]) -> Column:
-    """Dot product with a known vector; short vectors become plain generated code."""
-    values = [float(q) for q in query]
-    if len(values) > UNROLL_LIMIT:
-        return dot(a, F.lit(values))
-    return _pairwise([F.get(a, i).cast("double") * F.lit(q) for i, q in enumerate(values)])
+    """Dot product with a known vector, summed in the order of its entries like ``dot``."""
+    return dot(a, F.lit([float(q) for q in query]))
 
 
 def norm(a: Column) -> Column:

@@ -20,7 +20,7 @@ def catalog_files(listing: DataFrame, labels: DataFrame | None = None, filename:
 
     Rules come first. ``labels(dataset_id, filename, category, reason, model)`` is the answer
     of an external classifier and is used where the rules leave a file unknown; a category
-    that does not exist becomes ``unknown`` and reasons are cut to 100 characters.
+    that does not exist becomes ``unknown``.
     """
     rows = listing.withColumn("_rule", file_category(F.col(filename)))
     rule = F.col("_rule")
@@ -33,7 +33,7 @@ def catalog_files(listing: DataFrame, labels: DataFrame | None = None, filename:
         F.col(by).alias("_by"), F.col("filename").alias("_file"),
         F.struct(
             F.when(F.col("category").isin(*CATEGORIES), F.col("category")).otherwise("unknown").alias("category"),
-            F.coalesce(F.nullif(F.substring("reason", 1, 100), F.lit("")), F.lit("LLM classification")).alias("reason"),
+            F.coalesce(F.nullif("reason", F.lit("")), F.lit("LLM classification")).alias("reason"),
             F.col("model").alias("model"),
         ).alias("_label"),
     )

@@ -12,8 +12,6 @@ from .ranking import cumulative
 
 # Columns with more distinct values than this get no list of top values.
 CATEGORICAL_MAX = 50
-# Texts longer than this are counted by their digest, so that they are not shuffled whole.
-DIGEST_OVER = 64
 # Integers up to this size are exact as DOUBLE.
 EXACT_LIMIT = float(1 << 53)
 
@@ -27,7 +25,7 @@ def _is_nested(kind: T.DataType) -> bool:
 
 
 def profile_table(
-    df: DataFrame, max_columns: int = 100, max_top_values: int = 5, max_cell_chars: int = 80, max_scan_rows: int | None = None
+    df: DataFrame, max_columns: int | None = None, max_top_values: int = 5, max_cell_chars: int = 80, max_scan_rows: int | None = None
 ) -> DataFrame:
     """One row per described column: counts, distinct values, numeric statistics, top values.
 
@@ -84,8 +82,9 @@ def profile_table(
     ]
     described = moments.select(F.inline(F.array(*per_column)))
 
-    # Histogram of (column, value). Numbers are their own key, except that integers beyond the
-    # exact range of a double are told apart by their text.
+    # Histogram of (column, value). Numbers are their own key, except that decimals, and integers
+    # beyond the exact range of a double, are told apart by their text. Texts are counted by their
+    # digest, so that they are not shuffled whole.
     entries = []
     for i, (c, f) in enumerate(zip(short, fields)):
         if c not in flat:
@@ -94,12 +93,12 @@ def profile_table(
         if c in numeric:
             wide = isinstance(f.dataType, (T.LongType, T.DecimalType))
             raw = F.col(f"{c}_raw")
-            key = F.when(F.abs(F.col(c)) >= EXACT_LIMIT, raw) if wide else none
+            exact_double = F.abs(F.col(c)) < EXACT_LIMIT
+            key = raw if isinstance(f.dataType, T.DecimalType) else F.when(~exact_double, raw) if wide else none
             entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.col(c).alias("value"), none.alias("shown")))
             continue
         text = F.col(c).cast("string")
-        key = F.when(F.char_length(text) > DIGEST_OVER, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
-        shown = F.when(F.char_length(text) > DIGEST_OVER, truncate_cell(text, max_cell_chars)).otherwise(none)
+        key, shown = F.sha2(text, 256), truncate_cell(text, max_cell_chars)
         entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.lit(None).cast("double").alias("value"), shown.alias("shown")))
     exact = [
         F.col(f"`{f.name}`").cast("string").alias(f"{c}_raw")
@@ -120,7 +119,7 @@ def profile_table(
     high = F.floor(F.col("_n") / 2)
     numbers = hist.where(F.col("value").isNotNull()).select("column_no", "value", "range", "n")
     below = cumulative(numbers, ["column_no"], "value", "range")
-    # ``distinct`` has one row per described column, at most ``max_columns``.
+    # ``distinct`` has one row per described column, so it is as small as the schema.
     sized = below.join(F.broadcast(distinct), "column_no")
 
     def holds(position):
@@ -132,9 +131,6 @@ def profile_table(
 
     few = F.broadcast(distinct.where(F.col("_unique") <= CATEGORICAL_MAX).select("column_no"))
     texts = hist.where(F.col("value").isNull()).join(few, "column_no", "left_semi")
-    # Short texts are shown from their key.
-    shown = F.coalesce("shown", truncate_cell(F.substr(F.col("key"), F.lit(2)), max_cell_chars))
-    texts = texts.withColumn("shown", shown)
     by_count = Window.partitionBy("column_no").orderBy(F.desc("n"), "shown")
     top = (
         texts.withColumn("_r", F.row_number().over(by_count)).where(F.col("_r") <= max_top_values)
@@ -153,23 +149,24 @@ def profile_table(
     )
 
 
-def example_rows(df: DataFrame, max_columns: int = 100, max_example_rows: int = 5, max_cell_chars: int = 80) -> DataFrame:
+def example_rows(df: DataFrame, max_columns: int | None = None, max_example_rows: int = 5, max_cell_chars: int = 80) -> DataFrame:
     """A few leading rows, every cell as shortened text."""
     head = df.limit(max_example_rows)
     return head.select(*[truncate_cell(F.col(f"`{c}`"), max_cell_chars).alias(c) for c in df.columns[:max_columns]])
 
 
 def table_header(
-    df: DataFrame, source: str = "table", max_columns: int = 100, max_scan_rows: int | None = None
+    df: DataFrame, source: str = "table", max_columns: int | None = None, max_scan_rows: int | None = None
 ) -> DataFrame:
     """One row: shape, whether the row cap was met, and notes on the caps applied."""
     scanned = df if max_scan_rows is None else df.limit(max_scan_rows)
     rows, n_cols = F.count("*"), len(df.columns)
     capped = F.lit(False) if max_scan_rows is None else rows >= max_scan_rows
     row_note = F.when(capped, f"Only the leading {max_scan_rows} rows were scanned; the file may have more.")
-    column_note = F.lit(f"Described the first {max_columns} of {n_cols} columns." if n_cols > max_columns else None)
+    described = n_cols if max_columns is None else min(n_cols, max_columns)
+    column_note = F.lit(f"Described the first {described} of {n_cols} columns." if n_cols > described else None)
     return scanned.agg(
         F.lit(source).alias("source"), rows.alias("n_rows"), F.lit(n_cols).alias("n_cols"), capped.alias("rows_truncated"),
-        F.lit(min(n_cols, max_columns)).alias("n_columns_described"),
+        F.lit(described).alias("n_columns_described"),
         F.filter(F.array(row_note, column_note), lambda x: x.isNotNull()).alias("notes"),
     )

@@ -17,7 +17,6 @@ from .ranking import join_same
 from .scan import scan_signal
 
 EXCERPT_CHARS = 4600
-FULLTEXT_CHARS = 16000
 NO_CONTEXT = "No study text/abstract/descriptor available to score."
 NO_SCORE = "Model did not return a usable score."
 
@@ -28,7 +27,7 @@ def _parts(*columns: Column) -> Column:
 
 def build_context(
     articles: DataFrame, texts: DataFrame | None = None, descriptors: DataFrame | None = None,
-    excerpt_chars: int = EXCERPT_CHARS, fulltext_chars: int = FULLTEXT_CHARS, model: str | None = None,
+    excerpt_chars: int = EXCERPT_CHARS, fulltext_chars: int | None = None, model: str | None = None,
 ) -> DataFrame:
     """Article columns plus ``context``, ``context_level`` and ``full_context``.
 
@@ -61,15 +60,15 @@ def build_context(
     rows = rows.withColumn("_header", header).withColumn("_described", described)
     head, full = F.col("_header"), F.col("_full")
     has_text = F.coalesce(full != "", F.lit(False))
-    from_text = F.substr(_parts(head, methods_excerpt(full, limit=excerpt_chars)), F.lit(1),
-                         F.char_length(head) + excerpt_chars + 16)
+    from_text = _parts(head, methods_excerpt(full, limit=excerpt_chars))
     context = (
-        F.when(F.col("_described").isNotNull(), F.substring(_parts(F.col("_described"), head), 1, excerpt_chars + 1000))
+        F.when(F.col("_described").isNotNull(), _parts(F.col("_described"), head))
         .when(has_text, from_text)
         .otherwise(head)
     )
     level = F.when(F.col("_described").isNotNull(), "descriptor").otherwise("excerpt")
-    whole = F.when(has_text, _parts(head, F.substring(full, 1, fulltext_chars)))
+    read = full if fulltext_chars is None else F.substring(full, 1, fulltext_chars)
+    whole = F.when(has_text, _parts(head, read))
     return rows.select(*[F.col(f"`{c}`") for c in keep], context.alias("context"), level.alias("context_level"),
                        whole.alias("full_context"))
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import injection as inj
 
-MAX_CHARS = 2_000_000
-
 
 def _counts(df: DataFrame, text: str, max_chars: int | None, min_base64_len: int) -> DataFrame:
     """Add one match count per category, and the scanned text's length."""
@@ -34,7 +32,7 @@ def _counts(df: DataFrame, text: str, max_chars: int | None, min_base64_len: int
     return base.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(row)))
 
 
-def scan_signal(df: DataFrame, text: str = "text", max_chars: int | None = MAX_CHARS, min_base64_len: int = 48) -> DataFrame:
+def scan_signal(df: DataFrame, text: str = "text", max_chars: int | None = None, min_base64_len: int = 48) -> DataFrame:
     """Replace ``text`` by its signal: counts per category, score, level, matched categories.
 
     Only column expressions, so it also runs unchanged on a streaming frame.
@@ -60,11 +58,11 @@ def scan_spans(
     text: str = "text",
     snippet_len: int = 160,
     include_snippets: bool = True,
-    max_per_category: int = 50,
-    max_chars: int | None = MAX_CHARS,
+    max_per_category: int | None = None,
+    max_chars: int | None = None,
     min_base64_len: int = 48,
 ) -> DataFrame:
-    """One row per matched span: offsets, label and snippet, at most ``max_per_category`` a category.
+    """One row per matched span: offsets, label and snippet; all of them, or ``max_per_category`` a category.
 
     Spans are taken in pattern order and numbered by start. Python ``re`` runs only on the
     texts in which the column expressions found a match; ``truncated`` marks a category with
@@ -103,10 +101,10 @@ def scan_spans(
                     kept = spans.setdefault(category, [])
                     for m in regex.finditer(body):
                         counts[category] = counts.get(category, 0) + 1
-                        if len(kept) < max_per_category:
+                        if max_per_category is None or len(kept) < max_per_category:
                             kept.append((label, m.start(), m.end(), snippet(m.group())))
                 for category, kept in spans.items():
-                    cut = counts.get(category, 0) > max_per_category
+                    cut = counts.get(category, 0) > len(kept)
                     for i, (label, start, end, shown) in enumerate(sorted(kept, key=lambda s: s[1]), 1):
                         rows.append((key, category, i, label, start, end, shown, cut))
             yield pd.DataFrame(

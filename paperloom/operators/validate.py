@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -12,10 +12,6 @@ from ..functions.text import normalize_title, similar_normalized
 from .ranking import join_same
 
 
-def _cut(c: Column) -> Column:
-    return F.substring(c, 1, 50)
-
-
 def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFrame, threshold: float = 0.85) -> DataFrame:
     """One row per article with the match flags, the ``issues`` found and ``is_valid``.
 
@@ -60,8 +56,8 @@ def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFram
 
         issues = [
             F.when(failed.isNotNull(), F.concat(F.lit(f"{label} lookup failed: "), failed)),
-            F.when(~title_ok, F.concat(F.lit(f"Title mismatch with {label}: stored='"), _cut(F.col("title")),
-                                       F.lit(f"...' vs {word}='"), _cut(s["title"]), F.lit("...'"))),
+            F.when(~title_ok, F.concat(F.lit(f"Title mismatch with {label}: stored='"), F.col("title"),
+                                       F.lit(f"' vs {word}='"), s["title"], F.lit("'"))),
             date_issue(date_ok, "Print", "publication_date"),
             date_issue(e_ok, "Electronic", "electronic_publication_date"),
         ]
@@ -77,8 +73,8 @@ def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFram
     agree = F.when(titled, similar_normalized(c["norm"], p["norm"], threshold))
     same_doi = F.when(two & (p["doi"] != ""), F.lower("doi") == F.lower(p["doi"]))
     cross = [
-        F.when(~agree, F.concat(F.lit("IDs point to different articles: CrossRef title='"), _cut(c["title"]),
-                                F.lit("...' vs PubMed title='"), _cut(p["title"]), F.lit("...'"))),
+        F.when(~agree, F.concat(F.lit("IDs point to different articles: CrossRef title='"), c["title"],
+                                F.lit("' vs PubMed title='"), p["title"], F.lit("'"))),
         F.when(~same_doi, F.concat(F.lit("DOI mismatch: provided="), F.col("doi"), F.lit(" vs PubMed extracted="), p["doi"])),
     ]
     issues = F.filter(F.array(*c_issues, *p_issues, *cross), lambda i: i.isNotNull())

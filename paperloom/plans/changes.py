@@ -287,7 +287,7 @@ def pubmed_xml(t):
     def tag(name, body, attributes=""):
         return F.concat(lit(f"<{name}{attributes}>"), body, lit(f"</{name}>"))
 
-    a = t.spread("documents").sql(_XML_ARTICLES)
+    a = t.sql(_XML_ARTICLES)
     people = t.sql(_AUTHORED).groupBy("row_id").agg(F.array_sort(F.collect_set("o_custkey")).alias("people"))
     rows = a.join(people, "row_id", "left")
     author = F.transform(F.coalesce("people", F.array().cast("array<bigint>")), lambda p: tag("Author", F.concat(
@@ -427,7 +427,7 @@ def jats_text(t):
                          c("doc_id").cast("string"), lit("</p></notes><ref-list><ref/><ref/></ref-list></back></article>"))
     plain = F.concat(front, lit("<body><p>"), c("body"), lit("</p></body></article>"))
     xml = F.when(n == 0, sectioned).when(n == 1, plain).otherwise(F.concat(lit("<article><body>"), c("body")))
-    parsed = articles_xml.jats_text(t.spread("documents").sql(_JATS).select("doc_id", xml.alias("xml")), "xml")
+    parsed = articles_xml.jats_text(t.sql(_JATS).select("doc_id", xml.alias("xml")), "xml")
     return parsed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
@@ -457,7 +457,7 @@ def _archives(t):
         return pd.Series([one(*row) for row in zip(ids, texts, langs)])
 
     ending = F.when(F.col("doc_id") % 3 == 1, ".tar.gz").otherwise(".zip")
-    docs = t.spread("documents")["documents"]
+    docs = t["documents"]
     return docs.select(F.concat(F.lit("/a/"), "doc_id", ending).alias("path"), pack("doc_id", "text", "lang").alias("content"))
 
 

@@ -11,7 +11,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread
 
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
@@ -27,7 +26,7 @@ VIEWS = {
           CASE WHEN doc_id % 7 = 3 THEN NULL ELSE '10.1000/' || CAST(doc_id AS STRING) END AS doi,
           CASE WHEN doc_id % 5 = 4 THEN NULL ELSE CAST(doc_id + 100000 AS STRING) END AS pmid,
           CASE WHEN doc_id % 3 = 0 THEN 'PMC' || CAST(doc_id AS STRING) END AS pmcid,
-          substr(text, 1, 120) AS title, substr(text, 1, 400) AS abstract,
+          substr(text, 1, 120) AS title, text AS abstract,
           DATE '2020-01-01' + CAST(doc_id % 1500 AS INT) AS publication_date,
           CAST(doc_id % 20 + 1 AS INT) AS journal_id, lang AS language,
           CASE WHEN doc_id % 4 = 0 THEN 'Review' ELSE 'Journal Article' END AS article_type,
@@ -181,14 +180,6 @@ class Tables:
                 self._frames[name] = self.sql(VIEWS[name])
         return self._frames[name]
 
-    def spread(self, *names: str) -> Tables:
-        """The same tables, with the named base tables dealt out to all cores if they are small."""
-        other = Tables(self.spark, self.folder)
-        other._sizes = self._sizes
-        for n in names:
-            other._frames[n] = spread(other[n])
-        return other
-
     def many(self, *names: str) -> dict[str, DataFrame]:
         return {n: self[n] for n in names}
 

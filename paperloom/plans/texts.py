@@ -46,7 +46,7 @@ _N = ", ".join(f"n_{c}" for c in inj.WEIGHTS)
     f"SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, {_N}, total_matches, weighted_score, risk_score, {_LEVEL} AS risk_level, matched FROM signal",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_signal(t):
-    s = scan.scan_signal(t.spread("documents")["scan_texts"])
+    s = scan.scan_signal(t["scan_texts"])
     return s.select(
         "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), *[f"n_{c}" for c in inj.WEIGHTS], "total_matches", "weighted_score",
         "risk_score", "risk_level", F.array_join("matched_categories", ",").alias("matched"),
@@ -57,27 +57,26 @@ def scan_signal(t):
     "SELECT count(*) AS n_items, count(*) FILTER (risk_score >= 40) AS n_flagged, CAST(0 AS BIGINT) AS n_errors, CAST(40 AS DOUBLE) AS flag_threshold FROM signal",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_summary(t):
-    return scan.scan_summary(scan.scan_signal(t.spread("documents")["scan_texts"]))
+    return scan.scan_summary(scan.scan_signal(t["scan_texts"]))
 
 
 @query("scan_flagged", oracle(f"SELECT doc_id, risk_score, {_LEVEL} AS risk_level FROM signal WHERE risk_score >= 40", "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_flagged(t):
-    return scan.flagged_items(scan.scan_signal(t.spread("documents")["scan_texts"]), "doc_id")
+    return scan.flagged_items(scan.scan_signal(t["scan_texts"]), "doc_id")
 
 
 @query("scan_spans", oracle(
-    # At most 50 spans of a category are listed; where all are, their number is the count.
-    "SELECT doc_id, " + ", ".join(f"least(n_{c}, 50) AS n_{c}" for c in inj.WEIGHTS) + " FROM signal WHERE total_matches > 0",
+    f"SELECT doc_id, {_N} FROM signal WHERE total_matches > 0",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_spans(t):
-    spans = scan.scan_spans(t.spread("documents")["scan_texts"], "doc_id")
+    spans = scan.scan_spans(t["scan_texts"], "doc_id")
     return spans.groupBy("doc_id").agg(*[F.count_if(F.col("category") == c).alias(f"n_{c}") for c in inj.WEIGHTS])
 
 
 @query("scan_pages", f"""WITH {_signal_sql("(SELECT page_id AS doc_id, html AS text FROM pages)")}
     SELECT doc_id, total_matches, risk_score FROM signal""")
 def scan_pages(t):
-    s = scan.scan_signal(t.spread("pages")["pages"].select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")))
+    s = scan.scan_signal(t["pages"].select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")))
     return s.select("doc_id", "total_matches", "risk_score")
 
 
@@ -238,7 +237,7 @@ _GOOD = f"SELECT * FROM ({_RESPONSES}) r WHERE seq % 9 < 7"
 
 
 def _parsed(t):
-    return facts.parse_responses(t.spread("documents").sql(_RESPONSES), "response", "m9")
+    return facts.parse_responses(t.sql(_RESPONSES), "response", "m9")
 
 
 @query("response_errors", oracle(
@@ -319,10 +318,10 @@ def _contexts(t):
 
 @query("build_context", oracle(
     """SELECT row_id, CASE WHEN has_descriptor THEN 'descriptor' ELSE 'excerpt' END AS context_level,
-      md5(CASE WHEN has_descriptor THEN substr(described || chr(10) || chr(10) || header, 1, 5600)
-        WHEN text <> '' THEN substr(header || chr(10) || chr(10) || substr(substr(text, 1, 1800) || CASE WHEN m <> '' THEN chr(10) || '...' || chr(10) || substr(text, instr(text, m), 2600) ELSE '' END, 1, 4600), 1, 4616 + length(header))
+      md5(CASE WHEN has_descriptor THEN described || chr(10) || chr(10) || header
+        WHEN text <> '' THEN header || chr(10) || chr(10) || substr(substr(text, 1, 1800) || CASE WHEN m <> '' THEN chr(10) || '...' || chr(10) || substr(text, instr(text, m), 2600) ELSE '' END, 1, 4600)
         ELSE header END) AS context,
-      md5(CASE WHEN text <> '' THEN header || chr(10) || chr(10) || substr(text, 1, 16000) END) AS full_context
+      md5(CASE WHEN text <> '' THEN header || chr(10) || chr(10) || text END) AS full_context
     FROM (SELECT *, regexp_extract(text, '\\b(materials\\s+and\\s+methods|methods|experimental\\s+procedures|star\\s+methods)\\b', 0, 'i') AS m FROM built)""",
     "articles", "texts", "descriptors", extra=_NEWEST))
 def build_context(t):
@@ -343,7 +342,7 @@ def length_scorer(question, context, level):
     FROM (SELECT *, s1 >= 0.4 AND NOT (s1 >= 0.7 AND n1 % 2 = 0) AND n2 IS NOT NULL AND c1 <> c2 AS again FROM (
       SELECT row_id, c1, c2, length(c1) AS n1, length(c2) AS n2, (length(c1) % 101) / 100.0E0 AS s1, (length(c2) % 101) / 100.0E0 AS s2 FROM (
         SELECT row_id, header || CASE WHEN text <> '' THEN chr(10) || chr(10) || substr(substr(text, 1, 1800) || CASE WHEN m <> '' THEN chr(10) || '...' || chr(10) || substr(text, instr(text, m), 2600) ELSE '' END, 1, 4600) ELSE '' END AS c1,
-          CASE WHEN text <> '' THEN header || chr(10) || chr(10) || substr(text, 1, 16000) END AS c2
+          CASE WHEN text <> '' THEN header || chr(10) || chr(10) || text END AS c2
         FROM (SELECT *, regexp_extract(text, '\\b(materials\\s+and\\s+methods|methods|experimental\\s+procedures|star\\s+methods)\\b', 0, 'i') AS m FROM built))))""",
     "articles", "texts", "descriptors", extra=_NEWEST))
 def score_studies(t):
@@ -409,7 +408,7 @@ _LABELS = """SELECT dataset_id, filename, CASE file_id % 4 WHEN 0 THEN 'raw_data
     repeat('long reason ', 20) AS reason, 'm9' AS model, file_id FROM file_names WHERE file_id % 3 <> 0"""
 _CATALOGUED = f"""{_CLASSED}, catalogued AS (SELECT c.file_id, c.dataset_id,
     CASE WHEN c.category = 'unknown' AND l.category IN ('raw_data', 'summary') THEN l.category ELSE c.category END AS file_type,
-    CASE WHEN c.category <> 'unknown' THEN c.reason WHEN l.category IN ('raw_data', 'summary') THEN substr(l.reason, 1, 100)
+    CASE WHEN c.category <> 'unknown' THEN c.reason WHEN l.category IN ('raw_data', 'summary') THEN l.reason
       ELSE 'Could not classify by heuristics or LLM' END AS file_type_reason,
     CASE WHEN c.category = 'unknown' AND l.category IN ('raw_data', 'summary') THEN 'shallow_llm' ELSE 'heuristic' END AS method
   FROM classed c LEFT JOIN ({_LABELS}) l ON l.file_id = c.file_id)"""

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster, bring your own."""
+    """A local session for tests and benchmarks; on a cluster, bring your own with its own checkpoint folder."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("paperloom")
@@ -23,27 +23,22 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that is read by fewer tasks than there are cores; leave all others alone.
-
-    For work that is heavy per row on a small input, such as one file with one row group. The
-    tasks are counted from file metadata. A large table is never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df.select(F.spark_partition_id().alias("p")).distinct().limit(cores).count()
-    return df if tasks >= cores else df.repartition(cores)
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back.
+    """Write ``df`` as Parquet to the folder that ``spark.checkpoint.dir`` names and read it back.
 
     Used where a frame is expensive or not repeatable (a model call) or is used by an
-    iteration. The folder comes from ``spark.checkpoint.dir``; a temporary folder is used
-    only where the session names none, as in local tests.
+    iteration. Readers prune columns and rows of what was written. Every call writes a folder of
+    its own, which the caller may delete when no frame reads it any more. Where the setting is
+    missing, a local session gets a temporary folder and a cluster an error, because executors
+    would not see each other's files.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="paperloom-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="paperloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -166,8 +166,8 @@ def test_validation_texts(spark):
     rows = {r.pmcid: r for r in validate.validate_articles(articles, crossref, pubmed).collect()}
     assert list(rows[None].issues) == [
         "Print date mismatch with CrossRef: stored=2020-01-01 vs crossref=2020-01-02",
-        "Title mismatch with PubMed: stored='A title of a study...' vs pubmed='Completely different words...'",
-        "IDs point to different articles: CrossRef title='A title of a study!...' vs PubMed title='Completely different words...'",
+        "Title mismatch with PubMed: stored='A title of a study' vs pubmed='Completely different words'",
+        "IDs point to different articles: CrossRef title='A title of a study!' vs PubMed title='Completely different words'",
         "DOI mismatch: provided=10.1/A vs PubMed extracted=10.1/b"]
     assert rows[None].title_matches_crossref and rows[None].electronic_date_matches_crossref and rows[None].ids_consistent is False
     assert list(rows["PMC1"].issues) == ["PubMed lookup failed: not in snapshot"]

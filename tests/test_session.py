@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import paperloom  # noqa: F401
 from paperloom.operators import fidelity, meta, ranking
-from paperloom.session import materialize, spread
+from paperloom.session import materialize
 
 
 def test_functions_travel_with_tasks():
@@ -30,13 +30,29 @@ def test_checkpoint_folder_is_the_sessions(tmp_path):
     assert "used" in out.stdout, out.stderr[-2000:]
 
 
-def test_materialize_and_spread(spark, tables):
-    df = materialize(spark.range(10).withColumn("r", F.rand()))
+def test_materialize(spark):
+    df = materialize(spark.range(10).withColumns({"r": F.rand(), "s": F.lit("x")}))
     assert df.collect() == df.collect()
-    wide = spread(tables["documents"])
-    assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and wide.count() == tables["documents"].count()
-    many = spark.range(0, 1000, 1, 64)
-    assert spread(many) is many
+    plan = df.where("id > 3").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,3)" in plan
+
+
+def test_cluster_needs_a_shared_folder():
+    """Without the setting only local sessions get a folder of their own."""
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {__file__.rsplit('/tests/', 1)[0]!r})
+        from types import SimpleNamespace as Some
+        from paperloom.session import materialize
+        context = Some(getCheckpointDir=lambda: None, master="spark://host:7077")
+        df = Some(sparkSession=Some(conf=Some(get=lambda name, default: None), sparkContext=context))
+        try:
+            materialize(df)
+        except ValueError as e:
+            print(e)
+    """)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60)
+    assert "spark.checkpoint.dir" in out.stdout, out.stderr[-2000:]
 
 
 def test_one_key_with_a_third_of_all_rows(spark):

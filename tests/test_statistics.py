@@ -169,3 +169,11 @@ def test_profile_caps_and_infinite(spark):
     assert profile.example_rows(df, max_example_rows=1, max_cell_chars=10).count() == 1
     empty = profile.profile_table(df.limit(0)).collect()
     assert [r.n_unique for r in empty] == [0, 0, 0] and empty[0].min is None
+
+
+def test_profile_counts_decimals_and_wide_tables(spark):
+    df = spark.sql("SELECT CAST(x AS DECIMAL(38,20)) AS d FROM VALUES ('1.00000000000000000001'), ('1.00000000000000000002'), ('1.00000000000000000003'), ('1.00000000000000000003') AS t(x)")
+    assert profile.profile_table(df).first().n_unique == 3
+    wide = spark.range(3).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(120)])
+    assert profile.profile_table(wide).count() == 120
+    assert profile.table_header(wide).first().n_columns_described == 120 and len(profile.example_rows(wide).columns) == 120
