@@ -15,8 +15,8 @@ from .idjoin import id_anti
 from .merge import add_links, assign_keys, resolve_authors, resolve_grants, resolve_mesh, upsert_articles, upsert_datasets, upsert_embeddings
 from .ranking import join_same
 
-# Items of one article are numbered inside the block of 2 ** ITEM_BITS that follows its seq.
-ITEM_BITS = 20
+# Items of one article are numbered inside the block of 2 ** ITEM_BITS that follows its seq; two positions share the bits.
+ITEM_BITS = 36
 
 
 def article_status(records: DataFrame, articles: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -46,8 +46,13 @@ def article_status(records: DataFrame, articles: DataFrame, overwrite: bool = Fa
     return rows.select("seq", status.alias("status"))
 
 
-def _item_seq(position: str) -> Column:
-    return (F.shiftleft(F.col("seq"), ITEM_BITS) + F.col(position)).alias("seq")
+def _item_seq(*positions: str) -> Column:
+    """Order of an item: its article's seq, then its positions. A position that does not fit is an error."""
+    bits, at = ITEM_BITS // len(positions), F.col("seq").cast("bigint")
+    for p in positions:
+        fits = F.when(F.col(p) < (1 << bits), F.col(p)).otherwise(F.raise_error(F.lit(f"{p} does not fit {bits} bits")).cast("bigint"))
+        at = F.shiftleft(at, bits) + fits
+    return at.alias("seq")
 
 
 def ingest_articles(
@@ -87,8 +92,7 @@ def ingest_articles(
     out["article_authors"] = links("article_authors", placed, "author_position", ["author_id", "author_position", "is_corresponding"])
 
     places = parsed["affiliations"]
-    order = F.shiftleft(F.shiftleft("seq", ITEM_BITS // 2) + F.col("author_position"), ITEM_BITS // 2) + F.col("affiliation_position")
-    numbered = places.withColumn("doc", F.col("seq")).withColumn("seq", order)
+    numbered = places.withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("author_position", "affiliation_position"))
     out["affiliations"], place_ids = assign_keys(tables["affiliations"], numbered.select("affiliation_text", "seq"), ["affiliation_text"], "affiliation_id")
     pairs = numbered.join(place_ids, "affiliation_text").join(author_ids.drop("seq"), ["doc", "author_position"])
     out["author_affiliations"] = add_links(
@@ -118,8 +122,7 @@ def ingest_articles(
     )
 
     qualifiers = parsed["mesh_qualifiers"].withColumn("doc", F.col("seq"))
-    order = F.shiftleft(F.shiftleft("seq", ITEM_BITS // 2) + F.col("mesh_position"), ITEM_BITS // 2) + F.col("qualifier_position")
-    qualifiers = qualifiers.withColumn("seq", order)
+    qualifiers = qualifiers.withColumn("seq", _item_seq("mesh_position", "qualifier_position"))
     out["mesh_qualifiers"], qualifier_ids = assign_keys(tables["mesh_qualifiers"], qualifiers.select("qualifier_name", "seq"), ["qualifier_name"], "qualifier_id")
     headings = join_same(
         term_ids.select("doc", "mesh_position", "mesh_term_id").join(ids.withColumnRenamed("seq", "doc"), "doc"),
@@ -149,8 +152,8 @@ def _joined(c: Column) -> Column:
     return F.nullif(F.array_join(c, ", "), F.lit(""))
 
 
-def dataset_rows(records: DataFrame) -> DataFrame:
-    """Repository records as rows of the datasets table; lists become comma-separated text."""
+def dataset_rows(records: DataFrame, *more: Column) -> DataFrame:
+    """Repository records as rows of the datasets table, and ``more`` columns; lists become comma-separated text."""
     have = set(records.columns)
 
     def field(name, kind="string"):
@@ -162,21 +165,24 @@ def dataset_rows(records: DataFrame) -> DataFrame:
         (_joined(F.col("species")) if "species" in have else field("species")).alias("species"), instrument.alias("instrument"),
         "repository", field("submission_date", "date").alias("submission_date"),
         field("publication_date", "date").alias("publication_date"), field("local_filepath").alias("local_filepath"),
-        field("doi").alias("doi"), field("pmid").alias("pmid"), field("pmcid").alias("pmcid"),
+        field("doi").alias("doi"), field("pmid").alias("pmid"), field("pmcid").alias("pmcid"), *more,
     )
 
 
 def ingest_datasets(
-    datasets: DataFrame, records: DataFrame, overwrite: bool = False, seq: str | None = None
+    datasets: DataFrame, records: DataFrame, seq: str = "seq", overwrite: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Datasets table after one batch of repository records, and ``(dataset_id, status)``.
 
-    Known datasets are left alone unless ``overwrite``; then new non-NULL values replace old ones.
+    Rows count in ``seq`` order (distinct values): the first row of an unknown id makes the dataset known. Known
+    datasets are left alone unless ``overwrite``; then new non-NULL values replace old ones.
     """
-    rows = dataset_rows(records)
+    rows = dataset_rows(records, F.col(seq).alias("seq"))
     known = datasets.select("dataset_id", F.lit(True).alias("_known"))
-    checked = join_same(rows.withColumn("seq", records[seq] if seq else F.lit(1)), known, [], "left", exact=["dataset_id"])
-    exists = F.col("_known").isNotNull()
+    checked = join_same(rows, known, [], "left", exact=["dataset_id"])
+    heads = rows.groupBy("dataset_id").agg(F.min("seq").alias("_head"))
+    checked = join_same(checked, heads, [], "left", exact=["dataset_id"])
+    exists = F.col("_known").isNotNull() | (F.col("seq") > F.col("_head"))
     status = F.when(exists & F.lit(not overwrite), "already_exists").when(exists, "overwritten").otherwise("ingested")
-    new = (checked if overwrite else checked.where(~exists)).drop("_known")
+    new = (checked if overwrite else checked.where(~exists)).drop("_known", "_head")
     return upsert_datasets(datasets, new), checked.select("dataset_id", status.alias("status"))

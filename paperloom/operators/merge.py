@@ -16,7 +16,7 @@ from ..functions.ids import ARTICLE_IDS
 from ..functions.text import strip, strip_tags
 from ..session import materialize
 from .idjoin import id_anti
-from .ranking import first_by, join_same, last_by, number_rows
+from .ranking import first_by, join_same, last_by, lookup, number_rows
 
 
 def _after(old: DataFrame, new: DataFrame, seq: str) -> DataFrame:
@@ -183,11 +183,11 @@ def resolve_mesh(existing: DataFrame, new: DataFrame, seq: str = "seq") -> tuple
     bare = existing.where(ui.isNull()).select(name.alias("_n"), F.lit(-1).cast("bigint").alias("_t"))
     bare = bare.unionByName(new.where(~has_ui).select(name.alias("_n"), F.col(seq).cast("bigint").alias("_t")))
     bare = bare.groupBy("_n").agg(F.min("_t").alias("_bare_at"))
-    rows = new.join(known_ui, F.when(has_ui, ui) == F.col("_u"), "left").drop("_u")
-    rows = rows.join(bare, name == F.col("_n"), "left").drop("_n")
+    rows = lookup(new, known_ui, F.when(has_ui, ui), "_u")
+    rows = lookup(rows, bare, name, "_n")
     opens = has_ui & F.col("_ui_known").isNull() & (F.col("_bare_at").isNull() | (F.col(seq) < F.col("_bare_at")))
     opened = rows.where(opens).groupBy(ui.alias("_u2")).agg(F.min(seq).alias("_ui_at"))
-    rows = rows.join(opened, F.when(has_ui, ui) == F.col("_u2"), "left").drop("_u2")
+    rows = lookup(rows, opened, F.when(has_ui, ui), "_u2")
     use_ui = has_ui & (F.col("_ui_known").isNotNull() | (F.col("_ui_at") <= F.col(seq)))
     keyed_new = rows.withColumn("_key", F.when(F.coalesce(use_ui, F.lit(False)), by_ui).otherwise(by_name))
     # A row that meets a name key never brings its UI along.
@@ -214,8 +214,8 @@ def resolve_authors(existing: DataFrame, new: DataFrame, seq: str = "seq") -> tu
     names = existing.where(F.col("last_name").isNotNull()).groupBy(_name_key().alias("_n")).agg(
         F.min("author_id").alias("_any"), F.min(F.when(orcid.isNull(), F.col("author_id"))).alias("_bare")
     )
-    rows = new.join(by_orcid, orcid == F.col("_o"), "left").drop("_o").withColumn("_name", _name_key())
-    rows = rows.join(names, F.when(F.col("last_name").isNotNull(), F.col("_name")) == F.col("_n"), "left").drop("_n")
+    rows = lookup(new, by_orcid, orcid, "_o").withColumn("_name", _name_key())
+    rows = lookup(rows, names, F.when(F.col("last_name").isNotNull(), F.col("_name")), "_n")
     named = F.when(orcid.isNull(), F.col("_any")).otherwise(F.col("_bare"))
     rows = rows.withColumn("_known", F.coalesce("_by_orcid", named)).drop("_by_orcid", "_any", "_bare")
     met = rows.where(F.col("_known").isNotNull()).select(seq, F.col("_known").alias("author_id"))
@@ -225,7 +225,7 @@ def resolve_authors(existing: DataFrame, new: DataFrame, seq: str = "seq") -> tu
     group = open_rows.where(~alone).groupBy(F.col("_name").alias("_g")).agg(
         F.min_by(F.struct(orcid.alias("o")), F.col(seq))["o"].alias("_first")
     )
-    joined = open_rows.join(group, F.when(~alone, F.col("_name")) == F.col("_g"), "left").drop("_g")
+    joined = lookup(open_rows, group, F.when(~alone, F.col("_name")), "_g")
     key = (
         F.when(alone & orcid.isNull(), F.concat(F.lit("row "), F.col(seq).cast("string")))
         .when(alone, F.concat(F.lit("orcid "), orcid))
@@ -298,7 +298,7 @@ def replace_descriptors(old: DataFrame, new: DataFrame, seq: str = "seq") -> Dat
     rows = _after(old, new, seq)
     for k in ARTICLE_IDS:
         by = removers.where(F.col("_kind") == k).select("_value", "_model", F.col("_last").alias(f"_last_{k}"))
-        rows = rows.join(by, (F.col(k) == F.col("_value")) & (F.col("model") == F.col("_model")), "left").drop("_value", "_model")
+        rows = lookup(rows, by, F.col(k), "_value", (F.col("model"), "_model"))
     last = F.greatest(*[F.col(f"_last_{k}") for k in ARTICLE_IDS])
     return rows.where(last.isNull() | (last <= F.col(seq))).select(*old.columns)
 
@@ -379,7 +379,7 @@ def backfill_dates(
     found = snapshot.select(
         F.col("pmid").alias("_pmid"), F.struct(F.col("publication_date").alias("d"), F.col("error").alias("e")).alias("_s")
     )
-    rows = articles.join(found, F.when(eligible & (pmid != ""), pmid) == F.col("_pmid"), "left")
+    rows = lookup(articles, found, F.when(eligible & (pmid != ""), pmid), "_pmid")
     status = (
         F.when(~eligible, "not_selected")
         .when(pmid == "", "no_pmid")

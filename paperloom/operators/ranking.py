@@ -61,8 +61,30 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     renamed = {k: f"_right_{k}" for k in [*keys, *exact]}
     other = right.select(*[F.col(f"`{c}`").alias(renamed.get(c, c)) for c in right.columns])
     tests = [F.col(f"`{k}`").eqNullSafe(F.col(f"`{renamed[k]}`")) for k in keys]
-    tests += [F.col(f"`{k}`") == F.col(f"`{renamed[k]}`") for k in exact]
-    return left.join(other, reduce(lambda a, b: a & b, tests), how).drop(*renamed.values())
+    spread = exact[:1] if how == "left" else []
+    for k in spread:
+        left = left.withColumn("_spread", spread_nulls(left, F.col(f"`{k}`")))
+        tests.append(F.col("_spread") == F.col(f"`{renamed[k]}`").cast("string"))
+    tests += [F.col(f"`{k}`") == F.col(f"`{renamed[k]}`") for k in exact[len(spread):]]
+    return left.join(other, reduce(lambda a, b: a & b, tests), how).drop(*renamed.values(), "_spread")
+
+
+def spread_nulls(df: DataFrame, key: Column) -> Column:
+    """``key`` as text, with a text of its own, made from the whole row, for each row that has none."""
+    others = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), F.xxhash64(*others).cast("string")))
+
+
+def lookup(left: DataFrame, right: DataFrame, key: Column, right_key: str, *more: tuple[Column, str]) -> DataFrame:
+    """Left join on ``key == right_key`` (and ``more`` such pairs), without the right keys.
+
+    Rows whose key is NULL match nothing; instead of meeting in one task they are spread.
+    """
+    left = left.withColumn("_spread", spread_nulls(left, key))
+    test = F.col("_spread") == F.col(right_key).cast("string")
+    for k, name in more:
+        test = test & (k == F.col(name))
+    return left.join(right, test, "left").drop("_spread", right_key, *[name for _, name in more])
 
 
 def _sum_before(sizes: DataFrame, by: Sequence[str], position: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.ids import ARTICLE_IDS
 from ..functions.text import DESCRIPTOR_FIELDS, descriptor_text, methods_excerpt, strip
 from ..session import materialize
 from .idjoin import id_pairs
-from .ranking import join_same
+from .ranking import join_same, lookup
 from .scan import scan_signal
 
 EXCERPT_CHARS = 4600
@@ -38,8 +38,7 @@ def build_context(
     keep = articles.columns
     rows = articles
     if texts is not None:
-        rows = rows.join(texts.select(F.col("path").alias("_path"), F.col("text").alias("_full")),
-                         F.col("article_filepath") == F.col("_path"), "left").drop("_path")
+        rows = lookup(rows, texts.select(F.col("path").alias("_path"), F.col("text").alias("_full")), F.col("article_filepath"), "_path")
     else:
         rows = rows.withColumn("_full", F.col("text") if "text" in keep else F.lit(None).cast("string"))
     if descriptors is not None:

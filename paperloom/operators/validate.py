@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import normalize_title, similar_normalized
-from .ranking import join_same
+from .ranking import join_same, lookup
 
 
 def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -27,12 +27,10 @@ def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFram
 
     by_pmid = pubmed if "requested_pmid" in pubmed.columns else pubmed.withColumn("requested_pmid", F.col("pmid"))
     rows = articles.withColumn("_norm", normalize_title(F.col("title")))
-    lookup = F.coalesce("pmid", "pmcid")
-    rows = rows.join(snapshot(crossref, "doi", "c"), F.col("doi") == F.col("_c_id"), "left")
-    rows = rows.join(
-        snapshot(by_pmid.withColumn("requested_pmid", F.coalesce("requested_pmid", "pmcid")), "requested_pmid", "p", ("doi",)),
-        lookup == F.col("_p_id"), "left",
-    )
+    pubmed_id = F.coalesce("pmid", "pmcid")
+    rows = lookup(rows, snapshot(crossref, "doi", "c"), F.col("doi"), "_c_id")
+    asked_as = by_pmid.withColumn("requested_pmid", F.coalesce("requested_pmid", "pmcid"))
+    rows = lookup(rows, snapshot(asked_as, "requested_pmid", "p", ("doi",)), pubmed_id, "_p_id")
 
     def source(name, label, word, asked):
         s = F.col(f"_{name}")
@@ -64,7 +62,7 @@ def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFram
         return usable, title_ok, date_ok, e_ok, issues
 
     has_doi = F.coalesce(F.col("doi") != "", F.lit(False))
-    has_pm = F.coalesce(lookup != "", F.lit(False))
+    has_pm = F.coalesce(pubmed_id != "", F.lit(False))
     c_ok, c_title, c_date, c_edate, c_issues = source("c", "CrossRef", "crossref", has_doi)
     p_ok, p_title, p_date, p_edate, p_issues = source("p", "PubMed", "pubmed", has_pm)
     c, p = F.col("_c"), F.col("_p")

@@ -503,7 +503,7 @@ def proxi_datasets(t):
 
 
 _GEO = """SELECT 'GSE' || CAST(c_custkey AS STRING) AS dataset_id, '{"title":"' || c_name || '","summary":"s","gpl":"570","n_samples":' || CAST(c_nationkey AS STRING) ||
-    ',"taxon":' || CASE WHEN c_custkey % 2 = 0 THEN '"Homo sapiens"' ELSE '["Mus musculus","rat"]' END || ',"pdat":"2021/03/04"}' AS json FROM customer"""
+    ',"taxon":' || CASE WHEN c_custkey % 2 = 0 THEN '"Homo sapiens"' ELSE '["Mus musculus","rat"]' END || ',"pdat":"2021/03/04"}' AS json, c_custkey AS seq FROM customer"""
 
 
 @query("geo_series", """SELECT 'GSE' || c_custkey AS dataset_id, c_name AS title, '570' AS platform, CAST(c_nationkey AS BIGINT) AS n_samples,
@@ -535,7 +535,7 @@ def soft_sample_ids(t):
     return repositories.soft_sample_ids(t.sql(_SOFT))
 
 
-_RECORDS = f"SELECT dataset_id, json FROM ({_GEO}) g"
+_RECORDS = f"SELECT dataset_id, json, seq FROM ({_GEO}) g"
 
 
 @query("ingest_datasets", """SELECT 'GSE' || c_custkey AS dataset_id, CASE WHEN c_custkey % 3 = 0 THEN 'kept' ELSE c_name END AS title,
@@ -557,6 +557,22 @@ def ingest_datasets_status(t):
     return ingest.ingest_datasets(old, repositories.geo_series(t.sql(_RECORDS), "json"))[1]
 
 
+# Every id three times: the first record counts, the others change nothing.
+_REPEATED = f"SELECT 'GSE' || CAST(seq % 50 AS STRING) AS dataset_id, json, seq FROM ({_GEO}) g WHERE seq IS NOT NULL"
+
+
+@query("ingest_datasets_repeated", """SELECT 'GSE' || (c_custkey % 50) AS dataset_id,
+      CASE WHEN c_custkey % 50 = 7 OR row_number() OVER (PARTITION BY c_custkey % 50 ORDER BY c_custkey) > 1 THEN 'already_exists' ELSE 'ingested' END AS status,
+      CASE WHEN c_custkey % 50 = 7 THEN 'kept' ELSE first_value(c_name) OVER (PARTITION BY c_custkey % 50 ORDER BY c_custkey) END AS title FROM customer""")
+def ingest_datasets_repeated(t):
+    from .. import schemas
+
+    known = t.sql("SELECT 'GSE7' AS dataset_id, 'kept' AS title, 'GEO' AS repository FROM customer WHERE c_custkey = 7")
+    old = schemas.empty_table(t.spark, "datasets").unionByName(known, allowMissingColumns=True)
+    table, status = ingest.ingest_datasets(old, repositories.geo_series(t.sql(_REPEATED), "json"))
+    return status.join(table.select("dataset_id", "title"), "dataset_id")
+
+
 # ---- matrices ----
 
 

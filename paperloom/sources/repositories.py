@@ -41,6 +41,11 @@ def _first(items: Column, *keys: str) -> Column:
     return F.get(_present(F.transform(F.filter(items, _is_object), lambda i: _field(i, *keys))), 0)
 
 
+def _order(df: DataFrame) -> list[Column]:
+    """The order of records in a batch, kept where the input has it as ``seq``."""
+    return [F.col("seq")] if "seq" in df.columns else []
+
+
 def pride_projects(df: DataFrame, json_col: str, id_col: str = "dataset_id") -> DataFrame:
     """PRIDE project records: both API versions' member names are understood."""
     j = F.col(json_col)
@@ -58,7 +63,7 @@ def pride_projects(df: DataFrame, json_col: str, id_col: str = "dataset_id") ->
         _names(_list(j, "instruments", "instrumentNames"), "name", "cvLabel").alias("instruments"),
         date("submissionDate").alias("submission_date"), date("publicationDate").alias("publication_date"),
         _first(references, "doi").alias("doi"), _first(references, "pubmedId").alias("pmid"),
-        _list(j, "keywords").alias("keywords"), F.lit("PRIDE").alias("repository"),
+        _list(j, "keywords").alias("keywords"), F.lit("PRIDE").alias("repository"), *_order(df),
     )
 
 
@@ -81,7 +86,7 @@ def proxi_datasets(df: DataFrame, json_col: str, id_col: str = "dataset_id") ->
         iso_day(_field(j, "submissionDate", "submission_date")).alias("submission_date"),
         iso_day(_field(j, "publicationDate", "publication_date")).alias("publication_date"),
         _first(publications, "doi").alias("doi"), _first(publications, "pubmedId", "pmid").alias("pmid"),
-        F.get(F.filter(accessions, lambda a: F.startswith(a, F.lit("PXD"))), 0).alias("pxd_id"), F.lit("MassIVE").alias("repository"),
+        F.get(F.filter(accessions, lambda a: F.startswith(a, F.lit("PXD"))), 0).alias("pxd_id"), F.lit("MassIVE").alias("repository"), *_order(df),
     )
 
 
@@ -97,13 +102,13 @@ def geo_series(df: DataFrame, json_col: str, id_col: str = "dataset_id") -> Data
         F.get_json_object(j, "$.n_samples").try_cast("bigint").alias("n_samples"),
         F.coalesce(listed, F.when(taxon != "", F.array(taxon)), empty).alias("species"),
         F.replace(F.get_json_object(j, "$.pdat"), F.lit("/"), F.lit("-")).try_cast("date").alias("publication_date"),
-        F.lit("GEO").alias("repository"),
+        F.lit("GEO").alias("repository"), *_order(df),
     )
 
 
 def iprox_datasets(df: DataFrame, id_col: str = "dataset_id") -> DataFrame:
     """iProX offers no metadata: only the id and the repository are known."""
-    return df.select(F.col(id_col).alias("dataset_id"), F.lit("iProX").alias("repository"))
+    return df.select(F.col(id_col).alias("dataset_id"), F.lit("iProX").alias("repository"), *_order(df))
 
 
 def repo_file_list(df: DataFrame, json_col: str, kind: str, id_col: str = "dataset_id") -> DataFrame:

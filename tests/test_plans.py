@@ -90,3 +90,31 @@ def test_windows_are_partitioned(stored):
     for line in text.splitlines():
         if "Window [" in line:
             assert "range" in line or "_size" in line, line
+
+
+def test_missing_keys_are_spread(spark):
+    """Rows whose key is NULL do not meet in one task, even without adaptive execution or broadcasts."""
+    from paperloom.operators import merge
+    from paperloom.operators.ranking import lookup
+
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        left = spark.range(20000).select(F.col("id").alias("pmid0"), F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("k"))
+        right = spark.range(0, 20000, 10).select(F.col("id").cast("string").alias("r"), F.lit(1).alias("found"))
+        rows = lookup(left, right, F.col("k"), "r")
+        sizes = [r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(sizes) == 16 and max(sizes) < 2 * 20000 / 16
+        assert rows.where("found = 1").count() == 2000 and rows.count() == 20000 and rows.columns == ["pmid0", "k", "found"]
+        articles = spark.range(20000).select(
+            F.lit(None).cast("string").alias("doi"), F.col("id").cast("string").alias("pmid"), F.lit(None).cast("string").alias("pmcid"),
+            F.when(F.col("id") % 10 != 0, F.lit("2020-01-01").cast("date")).alias("publication_date"))
+        snapshot = right.select(F.col("r").alias("pmid"), F.lit("2021-01-01").cast("date").alias("publication_date"), F.lit(None).cast("string").alias("error"))
+        out, counters = merge.backfill_dates(articles, snapshot)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert max(sizes) < 2 * 20000 / 16 and counters.first().updated == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
