@@ -54,7 +54,8 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10) -> DataFrame:
         masks = [sum(1 << b for b in flips) for flips in combinations(range(SEGMENT_BITS), r)]  # 12,870 at most
         probes = open_.withColumn("segment", numbers).withColumn("mask", F.explode(F.expr(f"array({','.join(map(str, masks))})")))
         probes = probes.withColumn("value", segment(F.col("q"), F.col("segment")).bitwiseXOR(F.col("mask"))).drop("mask")
-        hits = probes.join(index, ["segment", "value"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int"))
+        # Merged, because the planner takes the exploded probes for as small as the queries and would broadcast them.
+        hits = probes.hint("merge").join(index, ["segment", "value"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int"))
         if r:
             hits = hits.where(F.col("bound").isNull() | (F.col("distance") <= F.col("bound")))
         # A code counts where it is met first: in the first segment that is r bits away, if none is closer.
