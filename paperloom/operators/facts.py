@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import ARTICLE_IDS
 from ..functions.text import extraction_prompt, strip
-from .idjoin import id_anti, pending_extraction
+from .idjoin import pending_extraction
 from .merge import add_links, assign_keys, replace_descriptors
 
 # Accepted names of an entry's fields.

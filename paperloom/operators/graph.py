@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import ARTICLE_IDS, article_key
 from ..functions.text import author_name, short_label
 from .idjoin import id_lookup, id_pairs
-from .ranking import first_by, join_same, number_distinct
+from .ranking import first_by, number_distinct
 
 PARTS = ("journals", "authors", "keywords", "mesh_terms", "datasets")
 

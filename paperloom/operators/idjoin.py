@@ -26,16 +26,25 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
+def _by_identifier(df: DataFrame, prefix: str, ids: Sequence[str]) -> DataFrame:
+    """One row per identifier that is present, with ``{prefix}kind`` and ``{prefix}id``."""
+    entries = [F.struct(F.lit(i).alias("kind"), F.col(f"{prefix}{k}").cast("string").alias("id")) for i, k in enumerate(ids)]
+    present = F.explode(F.filter(F.array(*entries), lambda e: e["id"].isNotNull()))
+    rows = df.withColumn("_at", present)
+    return rows.withColumns({f"_{prefix}kind": F.col("_at.kind"), f"_{prefix}id": F.col("_at.id")}).drop("_at")
+
+
 def id_pairs(left: DataFrame, right: DataFrame, ids: Sequence[str] = ARTICLE_IDS) -> DataFrame:
-    """All pairs with an equal identifier, each pair once; columns ``l_*`` and ``r_*``."""
-    a, b = _renamed(left, "l_"), _renamed(right, "r_")
-    parts = []
-    for i, key in enumerate(ids):
-        test = a[f"l_{key}"] == b[f"r_{key}"]
-        for earlier in ids[:i]:
-            test = test & ~F.coalesce(a[f"l_{earlier}"] == b[f"r_{earlier}"], F.lit(False))
-        parts.append(a.join(b, test))
-    return reduce(DataFrame.unionByName, parts)
+    """All pairs with an equal identifier, each pair once; columns ``l_*`` and ``r_*``.
+
+    Both sides are exchanged once, by kind and value of their identifiers. A pair that agrees in
+    several is kept at the first.
+    """
+    a, b = _by_identifier(_renamed(left, "l_"), "l_", ids), _by_identifier(_renamed(right, "r_"), "r_", ids)
+    met = a.join(b, (F.col("_l_kind") == F.col("_r_kind")) & (F.col("_l_id") == F.col("_r_id")))
+    for i, key in enumerate(ids[:-1]):
+        met = met.where((F.col("_l_kind") <= i) | ~F.coalesce(F.col(f"l_{key}") == F.col(f"r_{key}"), F.lit(False)))
+    return met.drop("_l_kind", "_l_id", "_r_kind", "_r_id")
 
 
 def id_anti(left: DataFrame, right: DataFrame, ids: Sequence[str] = ARTICLE_IDS, also: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import normalize_title, similar_normalized
-from .ranking import join_same, lookup
+from .ranking import lookup
 
 
 def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFrame, threshold: float = 0.85) -> DataFrame:
