@@ -13,9 +13,9 @@ from .components import connected
 #: Bands of minima and minima in each: two sets with a similarity of 0.8 share no band with a probability of 7e-10.
 BANDS, ROWS = 40, 4
 #: Minima in a packed signature, and low bits that are kept of each.
-MINIMA, LOW_BITS = 1024, 2
+MINIMA, LOW_BITS = 2048, 2
 #: Six standard errors of the estimate; true links fall below the threshold minus this with a probability of 1e-9.
-MARGIN = 0.09
+MARGIN = 0.064
 _FIELD = sum(1 << i for i in range(0, 64, LOW_BITS)) - (1 << 64 if LOW_BITS == 1 else 0)
 
 
@@ -125,17 +125,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, summaries: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives of equal sets that give the same components as all links.
 
-    Documents that share a band are candidates. In the first two rounds each candidate is held against
-    the smallest members of its bands only, which joins a large group in linear work. In the third,
-    bands that still hold several components are searched whole, pair by pair across components, each
-    pair at its first common band. Every link is confirmed on full sets; estimates only leave out
+    Documents that share a band are candidates. First each is held against the smallest member of its
+    fullest band, then against the smallest members of those of its bands that still hold several
+    components; that joins a large group in linear work. In the third round bands that hold several
+    components even so are searched whole, pair by pair across components, each pair at its first
+    common band. Every link is confirmed on full sets; estimates only leave out
     pairs that are below the threshold by MARGIN.
     """
     same = summaries.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles")
     classes = same.agg(F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands"))
     banded = classes.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "value"))
-    shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.count("*").alias("members")).where("members > 1").drop("members")
-    members = materialize(banded.join(shared, "value"), "minhash-bands")
+    shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.count("*").alias("members")).where("members > 1")
+    members = materialize(banded.join(shared, "value").drop("band"), "minhash-bands")
     wanted = members.select("doc_id").distinct()
     texts = docs.where("doc_id is not null").select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     texts = texts.withColumn("key", row_key()).dropDuplicates(["doc_id", "key"]).select("doc_id", "text")
@@ -145,20 +146,19 @@ def links(docs: DataFrame, summaries: DataFrame, size: int, percent: int) -> Dat
     def with_signatures(pairs):
         return pairs.join(_side(signed_sets, "a", "signature", "n_shingles"), "a").join(_side(signed_sets, "b", "signature", "n_shingles"), "b").where(_may_link(percent))
 
-    hubs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    hubs = materialize(with_signatures(hubs).select("a", "b", estimate(F.col("a_sig"), F.col("b_sig")).alias("similarity")), "minhash-hubs")
-    best = hubs.groupBy("a").agg(F.max_by("b", F.struct("similarity", -F.col("b"))).alias("b"))
-    found = materialize(confirmed(best, sets, percent), "minhash-links")
-    for rounds in (1, 2):
+    largest = members.where("doc_id <> hub").groupBy(F.col("doc_id").alias("a")).agg(F.max_by("hub", F.struct("members", -F.col("hub"))).alias("b"))
+    found = materialize(confirmed(with_signatures(largest), sets, percent), "minhash-links")
+    for rounds in (2, 3):
         component = materialize(connected(found), "minhash-components")
-        of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"{name}_c"))
-        apart = F.coalesce("a_c", "a") != F.coalesce("b_c", "b")
-        if rounds == 1:
-            pairs = hubs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(apart)
+        at = members.join(component, members["doc_id"] == component["node"], "left").withColumn("component", F.coalesce("component", "doc_id"))
+        at = at.select("value", "doc_id", "n_shingles", "component")
+        first = F.min(F.struct("doc_id", "component")).alias("first")
+        mixed = at.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), first).where("lo <> hi").select("value", "first")
+        if rounds == 2:
+            pairs = at.join(mixed, "value").where("component <> first.component").select(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"))
+            pairs = with_signatures(pairs.distinct())
         else:
-            at = members.join(component, members["doc_id"] == component["node"], "left").withColumn("component", F.coalesce("component", "doc_id"))
-            at = at.select("value", "band", "doc_id", "n_shingles", "component")
-            mixed = at.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value")
+            mixed = mixed.drop("first")
             at = materialize(at.join(mixed, "value"), "minhash-open")
             ids = at.select("doc_id").distinct()
             about = signed_sets.select("doc_id", "signature").join(ids, "doc_id", "left_semi")
