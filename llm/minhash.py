@@ -185,7 +185,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     columns = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
     summaries = materialize(docs.select("doc_id", "text").mapInArrow(_summaries(size), columns), "minhash-sums")
     known = summaries.where("doc_id is not null")
-    same = known.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("class"))
+    # Written, so that the joins below are between plain exchanges, which can be split where a set is frequent.
+    same = materialize(known.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("class")), "minhash-classes")
     of_class = known.join(same, ["s1", "s2", "n_shingles"]).select("doc_id", "class")
     first = of_class.groupBy("doc_id").agg(F.min("class").alias("b"), F.max("class").alias("last")).where("b < last")
     repeated = of_class.join(first, "doc_id").where("class <> b").select(F.col("class").alias("a"), "b")
