@@ -110,7 +110,9 @@ def repeated_spans(docs: DataFrame, size: int = 50) -> DataFrame:
     open_cells = known.where("not gone").groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "windows")).alias("c"))
     texts = keyed.dropDuplicates(["doc_id", "key"]).join(open_cells, ["doc_id", "key"]).select("doc_id", "key", "text", "c.first", "c.windows")
     single = materialize(texts.mapInArrow(_windows(size), "doc_id long, key long, w1 long, w2 long, first int"), "substring-windows")
+    # Written, so that the join below is between plain exchanges, which can be split where a window is frequent.
     least = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
+    least = materialize(least, "substring-owners")
     later = single.join(least, ["w1", "w2"]).where("doc_id > owner").select("doc_id", "key", "first", F.lit(1).alias("windows"))
     return known.where("gone").select("doc_id", "key", "first", "windows").unionByName(later)
 
