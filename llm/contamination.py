@@ -1,18 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, a bound on common words, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, lists, materialize, signed, text_chunks
 
-#: Words in a seed, neighbouring seeds of which the rarest is kept, and bytes of test items in one block.
-SEED, STRETCH, BLOCK_BYTES = 3, 4, 32 << 20
+#: Words in a seed, and bytes of test items in one block.
+SEED, BLOCK_BYTES = 3, 32 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -36,26 +37,20 @@ def _hits(grams: np.ndarray):
     return find
 
 
-def _documents_with(grams: np.ndarray):
-    """(gram, documents that hold it), per batch."""
-    find = _hits(grams)
+def _bounded(counts: np.ndarray, limit: int = 1 << 20):
+    """Slices of ``counts`` that add up to at most ``limit`` each, or hold one entry."""
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield slice(at, to)
+        at = to
 
-    def run(batches):
-        for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
-                row, _, found = find(Words(data, offsets))
-                order = np.lexsort((found, row))
-                row, found = row[order], found[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
-                gram, n = np.unique(found[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([signed(gram), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
-    return run
+def _passages(seeds: np.ndarray, numbers: np.ndarray, reaches: np.ndarray):
+    """Parts of texts within an item's reach of its seeds: doc_id, where the part starts, the part, number of the item.
 
-
-def _passages(seeds: np.ndarray, reach: int):
-    """Parts of texts within ``reach`` words of a seed: doc_id, the passage, where it starts, the seeds in it."""
+    ``seeds`` is sorted; an item with several seeds in it has several entries.
+    """
     find = _hits(seeds)
 
     def run(batches):
@@ -63,20 +58,29 @@ def _passages(seeds: np.ndarray, reach: int):
             for at, to, data, offsets in text_chunks(batch.column(1)):
                 words = Words(data, offsets)
                 row, start, found = find(words)
-                if not len(row):
-                    continue
-                new = np.ones(len(row), bool)  # seeds further apart than two items reach belong to separate passages
-                new[1:] = (row[1:] != row[:-1]) | (start[1:] - start[:-1] > 2 * reach)
-                head = np.flatnonzero(new)
-                tail = np.append(head[1:], len(row)) - 1
-                first = np.maximum(start[head] - reach, words.first[:-1][row[head]])
-                last = np.minimum(start[tail] + SEED + reach, words.first[1:][row[head]])
-                texts = [data[words.start[a] : words.end[b - 1]].tobytes().decode() for a, b in zip(first, last)]
-                place = (first - words.first[:-1][row[head]]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at + row[head])), pa.array(texts, pa.string()), pa.array(place), lists(found.view(np.int64), tail - head + 1)],
-                    names=["doc_id", "passage", "first", "seeds"],
-                )
+                low, high = np.searchsorted(seeds, found), np.searchsorted(seeds, found, "right")
+                for part in _bounded(high - low):
+                    yield from parts(batch, at, data, words, row[part], start[part], low[part], high[part])
+
+    def parts(batch, at, data, words, row, start, low, high):
+        n = high - low
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        row, start, number, reach = np.repeat(row, n), np.repeat(start, n), numbers[entry], reaches[entry]
+        order = np.lexsort((start, number, row))
+        row, start, number, reach = row[order], start[order], number[order], reach[order]
+        new = np.ones(len(row), bool)  # seeds of an item further apart than it reaches to both sides belong to separate parts
+        new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1]) | (start[1:] - start[:-1] > 2 * reach[1:])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(row)) - 1
+        first = np.maximum(start[head] - reach[head], words.first[:-1][row[head]])
+        last = np.minimum(start[tail] + SEED + reach[head], words.first[1:][row[head]])
+        place = (first - words.first[:-1][row[head]]).astype(np.int32)
+        for i in range(0, len(head), 1024):
+            texts = [data[words.start[a] : words.end[b - 1]].tobytes().decode() for a, b in zip(first[i : i + 1024], last[i : i + 1024])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at + row[head[i : i + 1024]])), pa.array(place[i : i + 1024]), pa.array(texts, pa.string()), pa.array(number[head[i : i + 1024]])],
+                names=["doc_id", "first", "passage", "number"],
+            )
 
     return run
 
@@ -112,17 +116,31 @@ def smith_waterman(a: list[int], b: list[int]) -> tuple[int, int, int]:
     return best
 
 
-def _align(batches):
-    for batch in batches:
-        scores, starts, ends = [], [], []
-        for passage, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            number: dict[str, int] = {}
-            a, b = ([number.setdefault(w, len(number)) for w in text.split(" ")] for text in (item, passage))
-            score, start, end = smith_waterman(a, b)
-            scores.append(score / (MATCH * len(a)))
-            starts.append(start)
-            ends.append(end)
-        yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(scores, pa.float64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[*batch.schema.names[2:], "score", "a", "b"])
+def _align(least: float):
+    """Score and place of the best alignment of each passage and item, where it is at least ``least``.
+
+    Each match adds MATCH and nothing else adds, so a passage with too few of the item's words is not aligned.
+    """
+
+    def run(batches):
+        for batch in batches:
+            rows, scores, starts, ends = [], [], [], []
+            for i, (passage, item) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                item, passage = item.split(" "), passage.split(" ")
+                if sum((Counter(item) & Counter(passage)).values()) / len(item) < least:
+                    continue
+                number: dict[str, int] = {}
+                a, b = ([number.setdefault(w, len(number)) for w in words] for words in (item, passage))
+                score, start, end = smith_waterman(a, b)
+                if score / (MATCH * len(a)) >= least:
+                    rows.append(i)
+                    scores.append(score / (MATCH * len(a)))
+                    starts.append(start)
+                    ends.append(end)
+            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[*batch.schema.names[2:], "score", "a", "b"])
+
+    return run
 
 
 def _grams(batches):
@@ -131,8 +149,8 @@ def _grams(batches):
             words = Words(data, offsets)
             start, row = words.window_starts(SEED)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at + row)), signed(words.span_hash(start, start + SEED)), pa.array((start - words.first[:-1][row]).astype(np.int32))],
-                names=["number", "gram", "position"],
+                [batch.column(0).take(pa.array(at + row)), signed(words.span_hash(start, start + SEED)), pa.array(words.count[row].astype(np.int32))],
+                names=["number", "gram", "n_words"],
             )
 
 
@@ -157,10 +175,10 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataF
     least ``least`` are returned, once each, with the place of the alignment in the normalised words
     of the document.
 
-    Seeds are SEED-word sequences of the items. How many documents hold one is counted over the whole
-    corpus, and of every STRETCH neighbouring seeds of an item the rarest is kept; so any
-    SEED + STRETCH - 1 intact words hold a seed, however often an item has leaked. Items are taken in
-    blocks of BLOCK_BYTES, each of which meets all documents by one broadcast of that bound.
+    Seeds are all SEED-word sequences of the items, however often they occur in the corpus; so every
+    document that shares one with an item is held against it. Around a seed a passage reaches as far
+    as an alignment that scores ``least`` can. Items are taken in blocks of BLOCK_BYTES, each of which
+    meets all documents by one broadcast of that bound.
 
     Null or empty texts, null ids and items of fewer than SEED words match nothing. Repeated rows and
     rows that share an id give one row per id and item, the best. Other columns are ignored.
@@ -175,24 +193,16 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataF
     return pairs.select("doc_id", "item_id", "m.score", (-F.col("m.col2")).alias("first_word"), "m.end_word")
 
 
-def _sorted_hashes(df: DataFrame) -> np.ndarray:
-    """The distinct hashes of one block of items, which has a bounded size."""
-    return np.sort(np.array([r[0] for r in df.distinct().collect()], np.int64).view(np.uint64))
-
-
 def _found(texts: DataFrame, block: DataFrame, least: float) -> DataFrame:
     block = materialize(block, "items")
-    grams = materialize(block.select("number", "words").mapInArrow(_grams, "number long, gram long, position int"), "item-grams")
-    counts = texts.select("words").mapInArrow(_documents_with(_sorted_hashes(grams.select("gram"))), "gram long, n long")
-    counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-    counted = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    stretch = Window.partitionBy("number").orderBy("position").rowsBetween(0, STRETCH - 1)
-    seeds = counted.withColumn("rarest", F.min(F.struct("n", "gram")).over(stretch)).select("number", F.col("rarest.gram").alias("seed")).distinct()
-    seeds = materialize(seeds, "item-seeds")
-    reach = int(block.agg(F.max(F.size(F.split("words", " ")))).first()[0])
+    grams = block.select("number", "words").mapInArrow(_grams, "number long, gram long, n_words int").distinct().toArrow()  # of one block
+    seeds, numbers, n_words = (grams.column(i).to_numpy() for i in (1, 0, 2))
+    seeds = np.ascontiguousarray(seeds).view(np.uint64)
+    order = np.argsort(seeds, kind="stable")
+    # An alignment of all words of an item loses at most 2 * (1 - least) of the score, one word of the text each.
+    reaches = np.ceil(n_words * (1 + MATCH * (1 - least) / -GAP)).astype(np.int64)
     id_type, item_type = dict(texts.dtypes)["doc_id"], dict(block.dtypes)["item_id"]
-    passages = texts.mapInArrow(_passages(_sorted_hashes(seeds.select("seed")), reach), f"doc_id {id_type}, passage string, first int, seeds array<long>")
-    pairs = passages.select("doc_id", "first", "passage", F.explode(F.array_distinct("seeds")).alias("seed")).join(F.broadcast(seeds), "seed")
-    pairs = pairs.select("doc_id", "first", "passage", "number").distinct().join(F.broadcast(block), "number")  # both of one block
-    scored = pairs.select("passage", "words", "doc_id", "item_id", "first").mapInArrow(_align, f"doc_id {id_type}, item_id {item_type}, first int, score double, a int, b int")
-    return scored.where(F.col("score") >= least).select("doc_id", "item_id", "score", (F.col("first") + F.col("a")).alias("first_word"), (F.col("first") + F.col("b")).alias("end_word"))
+    passages = texts.mapInArrow(_passages(seeds[order], numbers[order], reaches[order]), f"doc_id {id_type}, first int, passage string, number long")
+    pairs = passages.join(F.broadcast(block), "number")
+    scored = pairs.select("passage", "words", "doc_id", "item_id", "first").mapInArrow(_align(least), f"doc_id {id_type}, item_id {item_type}, first int, score double, a int, b int")
+    return scored.select("doc_id", "item_id", "score", (F.col("first") + F.col("a")).alias("first_word"), (F.col("first") + F.col("b")).alias("end_word"))

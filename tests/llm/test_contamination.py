@@ -48,6 +48,21 @@ def test_cases(spark):
             assert plain_score(item, docs[i][r.first_word : r.end_word]) / 80 == r.score
 
 
+def test_edited_copies_against_brute_force(spark):
+    """No copy is lost that shares a trigram with its item, with one word in four, five or six changed."""
+    tests = {n: sentence(n, 20 + n) for n in range(40)}
+    rows = []
+    for n, words in tests.items():
+        for every in (4, 5, 6):
+            copy = [w if (i + n) % every else f"changed{n}x{every}x{i}" for i, w in enumerate(words)]
+            rows.append((10 * n + every, " ".join(sentence(500 + n, 30) + copy + sentence(600 + n, 30))))
+    rows += [(1000 + n, " ".join(words)) for n, words in tests.items() if n % 2]  # whole copies, so some trigrams are frequent
+    want = {(i, n): plain_score(words, text.split()) / (2 * len(words)) for i, text in rows for n, words in tests.items()}
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(documents(spark, rows), items(spark, [(n, " ".join(words), "x", 1) for n, words in tests.items()])).collect()}
+    assert got == {pair: score for pair, score in want.items() if score >= 0.5}
+    assert len(got) == 140
+
+
 def test_empty(spark):
     docs, tests = documents(spark, [(1, "a b c d e")]), items(spark, [(1, "a b c d", "x", 1)])
     assert contaminated(documents(spark, []), tests).collect() == []
