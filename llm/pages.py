@@ -160,25 +160,35 @@ def common_lines(a: list[int], b: list[int]) -> np.ndarray:
     return kept
 
 
+def _core(found: list[tuple[str, str, bool, bool]]) -> str:
+    """The longest line of the main part; without an article or main element, of all but furniture."""
+    text = [x for x in found if not x[2]]
+    return max((x[0] for x in ([x for x in text if x[3]] or text)), key=len, default="")
+
+
 def _lines(batches):
-    """Per page the hashes of its lines and of their slots."""
+    """Per page the hashes of its lines and of their slots, of its whole line list and of its longest main line."""
     for batch in batches:
-        lines, slots, counts = [], [], []
+        lines, slots, counts, forms, cores = [], [], [], [], []
         known: dict[str, int] = {}
         for page in batch.column(batch.num_columns - 1):
             found = blocks(page.as_py() or "")
             counts.append(len(found))
-            lines += [_hash(x[0]) for x in found]
+            hashes = [_hash(x[0]) for x in found]
+            lines += hashes
             slots += [known[x[1]] if x[1] in known else known.setdefault(x[1], _hash(x[1])) for x in found]
+            forms.append(_hash(repr(hashes)))
+            cores.append(_hash(_core(found)))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], lists(np.array(lines, np.int64), np.array(counts)), lists(np.array(slots, np.int64), np.array(counts))], names=[*batch.schema.names[:-1], "lines", "slots"]
+            [*batch.columns[:-1], lists(np.array(lines, np.int64), np.array(counts)), lists(np.array(slots, np.int64), np.array(counts)), pa.array(forms, pa.int64()), pa.array(cores, pa.int64())],
+            names=[*batch.schema.names[:-1], "lines", "slots", "form", "core"],
         )
 
 
 def _shared(batches):
     for batch in batches:
         flags = [common_lines(a, b).tolist() for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(flags, pa.list_(pa.bool_()))], names=["key", "slots", "shared"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(4), pa.array(flags, pa.list_(pa.bool_()))], names=["key", "slots", "form", "shared"])
 
 
 def _text(batches):
@@ -195,24 +205,42 @@ def _text(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
-def nearest_pages(pages: DataFrame) -> DataFrame:
-    """(key, partner): each page's neighbour of the same host, by URL path; pages alone on their host have no row.
+def _guests(ends: list) -> list[tuple]:
+    """For each range the rows that its first and last pages may need from outside: one row and one of another kind on each side."""
+    other = lambda p, q: p is not None and q is not None and (p["host"], p["kind"]) != (q["host"], q["kind"])
+    guests = []
+    for side, order in (("last", ends), ("first", ends[::-1])):
+        near = far = None  # the nearest row passed so far, and the nearest of another kind than that
+        for r in order:
+            guests += [(r["range"], *p) for p in (near, far) if p is not None]
+            edge, next_ = r[side], r[f"{side}_other"]
+            far = next_ if next_ is not None else near if other(near, edge) else far
+            near = edge
+    return guests
+
+
+def nearest_pages(pages: DataFrame, kind: str = "key") -> DataFrame:
+    """(key, partner): each page's neighbour of the same host, by URL path, among pages of another ``kind``; pages without one have no row.
 
-    Pages stand in the order of host, path and key. Of the pages before and after, the one that shares
-    more leading path parts is taken, else the one before. The order is cut into ranges, so a large
-    host is spread over many; the last and first row of a range also stand in the ranges next to it.
+    Pages stand in the order of host, path and key. Of the nearest pages before and after that differ
+    in kind, the one that shares more leading path parts is taken, else the one before. The order is
+    cut into ranges, so a large host is spread over many; the rows next to a range that its pages may
+    need also stand in it, at most two on each side.
     """
     spark = pages.sparkSession
-    keys = pages.select("key", host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).distinct()
+    keys = pages.select("key", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.col(kind).alias("kind")).distinct()
     keys = keys.where("host <> ''").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "host", "path", "key")
     keys = materialize(keys.withColumn("range", F.spark_partition_id()), "page-order")
-    place = F.struct("host", "path", "key")
-    ends = keys.groupBy("range").agg(F.min(place).alias("first"), F.max(place).alias("last")).withColumn("n", F.row_number().over(Window.orderBy("range")))  # one row a range
-    ends = materialize(ends, "page-ranges")
-    near = ends.select((F.col("n") + 1).alias("n"), F.col("last").alias("p")).unionByName(ends.select((F.col("n") - 1).alias("n"), F.col("first").alias("p")))
-    guests = near.select("n", "p.*", F.lit(True).alias("guest"))
-    rows = keys.join(ends.select("range", "n"), "range").select("n", "host", "path", "key", F.lit(False).alias("guest")).unionByName(guests)
-    order = Window.partitionBy("n").orderBy("host", "path", "key")
+    place = F.struct("host", "path", "key", "kind")
+    ends = keys.groupBy("range").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    ends = materialize(ends, "page-ranges")  # one row a range
+    inner = keys.join(F.broadcast(ends), "range")
+    differs = lambda end: (F.col("host") != F.col(f"{end}.host")) | (F.col("kind") != F.col(f"{end}.kind"))
+    others = inner.groupBy("range", "first", "last").agg(F.min(F.when(differs("first"), place)).alias("first_other"), F.max(F.when(differs("last"), place)).alias("last_other"))
+    guests = _guests(others.orderBy("range").collect())
+    types = dict(keys.dtypes)
+    guests = spark.createDataFrame(guests, f"range int, host string, path string, key {types['key']}, kind {types['kind']}").withColumn("guest", F.lit(True))
+    rows = keys.select("range", "host", "path", "key", "kind", F.lit(False).alias("guest")).unionByName(guests)
     me = F.split("path", "/")
 
     def alike(other):
@@ -220,7 +248,12 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         same = F.filter(F.sequence(F.lit(1), F.least(F.size(me), F.size(parts))), lambda i: F.slice(me, 1, i) == F.slice(parts, 1, i))
         return F.when(other["host"] == F.col("host"), F.size(same)).otherwise(-1)
 
-    rows = rows.withColumns({"before": F.lag(place).over(order), "after": F.lead(place).over(order)}).where("not guest")
+    for name, order in (("before", [F.asc(c) for c in ("host", "path", "key")]), ("after", [F.desc(c) for c in ("host", "path", "key")])):
+        order = Window.partitionBy("range").orderBy(*order)
+        last = F.lag(place).over(order)
+        rows = rows.withColumn(name, F.when((last["host"] != F.col("host")) | (last["kind"] != F.col("kind")), last))  # where a run of one kind begins
+        rows = rows.withColumn(name, F.last(name, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.where("not guest")
     rows = rows.withColumns({"b": F.coalesce(alike(F.col("before")), F.lit(-1)), "a": F.coalesce(alike(F.col("after")), F.lit(-1))})
     rows = rows.where("a >= 0 or b >= 0")
     return rows.select("key", F.when(F.col("b") >= F.col("a"), F.col("before.key")).otherwise(F.col("after.key")).alias("partner"))
@@ -230,10 +263,12 @@ def main_text(pages: DataFrame, majority: float = 0.5) -> DataFrame:
     """One row per page: page_id, url, text (empty if none).
 
     Each page is aligned, line by line, with the page of its host whose URL is nearest; lines of their
-    longest common subsequence are shared. On a page without an article or main element shared lines
+    longest common subsequence are shared. Copies are no neighbours: the nearest page whose longest
+    main line differs is taken, where a host has none the nearest whose line list differs, and a page
+    whose host has only copies of it keeps all lines. On a page without an article or main element shared lines
     are deleted. Where there is one, only what it holds is text, and a shared line is deleted if its
     slot (the chain of elements and classes around it) is a template: of all lines in that slot, over
-    all pages, more than ``majority`` are shared. So boilerplate inside the article goes, and a
+    all distinct line lists, more than ``majority`` are shared. So boilerplate inside the article goes, and a
     paragraph that two pages print alike stays. Elements, roles and classes that name page furniture
     (menus, footers, adverts, forms, comments and so on) are left out everywhere.
 
@@ -241,12 +276,15 @@ def main_text(pages: DataFrame, majority: float = 0.5) -> DataFrame:
     results. Other columns are ignored.
     """
     keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("key", F.xxhash64("page_id", "url", "html"))
-    lines = keyed.select("key", "html").mapInArrow(_lines, "key long, lines array<long>, slots array<long>").dropDuplicates(["key"])
+    lines = keyed.select("key", "html").mapInArrow(_lines, "key long, lines array<long>, slots array<long>, form long, core long").dropDuplicates(["key"])
     lines = materialize(lines, "page-lines")
-    pairs = nearest_pages(keyed.select("key", "url"))
+    placed = materialize(keyed.select("key", "url").join(lines.select("key", "form", "core"), "key"), "page-kinds")
+    pairs = materialize(nearest_pages(placed, "core"), "page-pairs")
+    pairs = pairs.unionByName(nearest_pages(placed, "form").join(pairs, "key", "left_anti"))
     both = pairs.join(lines, "key").join(lines.select(F.col("key").alias("partner"), F.col("lines").alias("other")), "partner")
-    shared = materialize(both.select("key", "lines", "other", "slots").mapInArrow(_shared, "key long, slots array<long>, shared array<boolean>"), "page-shared")
-    votes = shared.select(F.explode(F.arrays_zip("slots", "shared")).alias("x")).groupBy("x.slots").agg(F.avg(F.col("x.shared").cast("int")).alias("share"))
+    shared = materialize(both.select("key", "lines", "other", "slots", "form").mapInArrow(_shared, "key long, slots array<long>, form long, shared array<boolean>"), "page-shared")
+    once = shared.join(shared.groupBy("form").agg(F.min("key").alias("key")), ["form", "key"], "left_semi")
+    votes = once.select(F.explode(F.arrays_zip("slots", "shared")).alias("x")).groupBy("x.slots").agg(F.avg(F.col("x.shared").cast("int")).alias("share"))
     templates = votes.where(F.col("share") > majority).select(F.col("slots").alias("slot"))
     holds = shared.select("key", F.explode(F.array_distinct("slots")).alias("slot")).join(templates, "slot").groupBy("key").agg(F.collect_set("slot").alias("templates"))
     decisions = shared.select("key", "shared").join(holds, "key", "left")

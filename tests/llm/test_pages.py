@@ -57,6 +57,35 @@ def test_template_slots_inside_the_article(spark):
     assert got[2] == "x2 y2 z2 Reprinted paragraph"  # the slot of the terms is shared, that of paragraphs mostly not
 
 
+def test_copies_are_no_neighbours(spark):
+    """Pages crawled twice, with a tracking query, mirrored or copied but for a date keep their text, with and without an article."""
+    page = lambda own, date="": f"<div>Site name</div><p>{own} with a long main text</p><p>More of {own}</p><span>{date}</span><div>All rights</div>"
+    rows = [(i, f"http://h.example/a/{i // 2}?ref={i % 2}", page(f"story {i // 2}")) for i in range(8)]
+    rows += [(100 + i, f"http://h.example/b/{i:03}", page("hot story", f"day {i}" if i % 3 else "")) for i in range(60)]
+    rows += [(200 + i, f"http://copies.example/{i}", page("only story")) for i in range(3)]
+    got = {r.page_id: r.text for r in main_text(pages(spark, rows)).collect()}
+    text = lambda own, date="": f"{own} with a long main text More of {own} {date}".strip()
+    assert got == {i: text(f"story {i // 2}") for i in range(8)} | {100 + i: text("hot story", f"day {i}" if i % 3 else "") for i in range(60)} | {200 + i: f"Site name {text('only story')} All rights" for i in range(3)}
+    article = [(i, u, f"<article>{html}</article>") for i, u, html in rows]
+    got = {r.page_id: r.text for r in main_text(pages(spark, article)).collect()}
+    assert all("with a long main text More of" in t for t in got.values())
+
+
+def test_nearest_of_another_kind(spark):
+    rng = random.Random(4)
+    kinds = [k for n in range(40) for k in [rng.randrange(3)] * rng.randrange(1, 40)]
+    rows = [(i, f"http://h{i // 300}.org/{i % 300 // 100}/{i:05}", k) for i, k in enumerate(kinds)]
+    got = {r.key: r.partner for r in nearest_pages(spark.createDataFrame(rows, "key long, url string, kind int"), "kind").collect()}
+    want = {}
+    for i, u, k in rows:
+        here = [(j, v) for j, v, m in rows if m != k and j // 300 == i // 300]
+        sides = [max((x for x in here if x[0] < i), default=None), min((x for x in here if x[0] > i), default=None)]
+        alike = [-1 if x is None else (x[1].split("/")[3] == u.split("/")[3]) + 0 for x in sides]
+        if max(alike) >= 0:
+            want[i] = sides[0 if alike[0] >= alike[1] else 1][0]
+    assert got == want
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, "<p>a"), (2, "nothing", None), (None, "http://h/", ""), (3, "http://h/x", "<main>m"), (3, "http://h/x", "<main>m"), (4, "http://h/x", "plain " * 30000)]
     got = sorted((repr(r.page_id), r.url, r.text) for r in main_text(pages(spark, rows)).collect())
