@@ -50,22 +50,31 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.6, lift: float = 2.0) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.6, lift: float = 2.0, deviations: float = 3.0) -> DataFrame:
     """Rules (antecedent, key, confidence, support) from rows (tokens, bad).
 
     All labelled rows are mined. A rule says that URLs with all its tokens are bad; it is kept if its
-    confidence and lift reach the bounds and no rule with fewer of its tokens is as confident. ``key``
-    is its rarest token. No labels, or none of either kind, give no rules.
+    confidence and lift reach the bounds and no rule with fewer of its tokens is as confident. Where so
+    many rows are bad that no rule can reach the lift, a rule may instead leave at most 1 / ``lift`` of
+    the share of good rows, if its bad rows are ``deviations`` standard deviations more than that many
+    rows drawn from all would hold. ``key`` is its rarest token. No labels, or none of either kind, give no rules.
     """
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "antecedent array<string>, key string, confidence double, support double")
     rows = labelled.where("bad is not null").select(F.concat("tokens", F.array(F.when(F.col("bad") > 0, _BAD).otherwise(_GOOD))).alias("items"))
     rows = materialize(rows, "url-items")
-    if not rows.where(F.array_contains("items", _BAD)).head(1):
+    n, bad = rows.agg(F.count("*"), F.count_if(F.array_contains("items", _BAD))).first()
+    if not bad:
         return empty
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     single = F.col("consequent")[0] == _BAD
-    found = materialize(model.associationRules.where(single & (F.col("lift") >= lift)).select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"), "url-rules")
+    kept = F.col("lift") >= lift
+    if bad < n and bad * lift > n:
+        base = bad / n
+        covered = F.col("support") / F.col("confidence") * n
+        significant = (F.col("confidence") - base) * F.sqrt(covered) >= deviations * (base * (1 - base)) ** 0.5
+        kept = kept | ((1 - F.col("confidence") <= (1 - base) / lift) & significant)
+    found = materialize(model.associationRules.where(single & kept).select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"), "url-rules")
     frequent = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     spread = found.select("antecedent", F.explode("antecedent").alias("token")).join(frequent, "token")
     keys = spread.groupBy("antecedent").agg(F.min_by("token", F.struct("freq", "token")).alias("key"))

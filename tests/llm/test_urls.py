@@ -61,6 +61,16 @@ def test_mining_against_brute_force(spark):
     assert got == pruned and pruned
 
 
+def test_mostly_bad_labels(spark):
+    """With 80% of the labels bad a rule is still found, and tokens that all URLs or good ones have give none."""
+    known = [(f"http://casino.x{i % 3}.org/en/{i}", 1) for i in range(120)] + [(f"http://news.x{i % 3}.org/en/{i}", int(i % 2 == 0)) for i in range(80)]
+    known += [(f"http://casino.x{i % 3}.org/en/{i}", 1) for i in range(200, 320)] + [(f"http://rare.x1.org/en/{i}", 1) for i in range(2)]
+    urls = ["http://casino.other.net/zz", "http://news.x1.org/en/7", "http://rare.net/", "http://x2.org/en/1"]
+    got = {r.page_id: r for r in judge(pages(spark, urls), labelled(spark, known), []).collect()}
+    assert sum(b for _, b in known) / len(known) > 0.8
+    assert [got[i].verdict for i in range(4)] == ["block", "allow", "allow", "allow"] and got[0].antecedent == ["host=casino"]
+
+
 def test_empty(spark):
     assert judge(pages(spark, []), labelled(spark, [("http://a.b/", 1)]), URL_RULES).collect() == []
 
