@@ -172,12 +172,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Toxicity:
     """Learns from labelled documents outside fold 0.
 
     At most ``sample`` labelled documents, those with the smallest hashes of their ids, are used; the
-    bound keeps training the same size on any corpus. A quarter of them calibrates, the others give
+    bound keeps training the same size on any corpus, and labels without a document take no place in it. A quarter of them calibrates, the others give
     the lexicon and the trees. Several labels of one document: toxic if one says so. Null labels and
     labels without a document are left out.
     """
     labelled = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = labelled.where(fold("doc_id") != 0).orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(sample)
+    labelled = labelled.where(fold("doc_id") != 0).join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(sample)
     chosen = docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id")  # at most `sample` rows
     chosen = materialize(chosen.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(4))), "toxicity-sample")
     n = {(r.toxic, r.c): r.n for r in chosen.groupBy("toxic", (F.col("part") == 0).alias("c")).agg(F.count("*").alias("n")).collect()}

@@ -55,6 +55,14 @@ def test_one_label_or_none(spark):
     assert toxicity(documents(spark, []), labels(spark, [(1, 1)])).collect() == []
 
 
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    rows = corpus(300)
+    truth = [(i, int(i % 5 == 0)) for i, _ in rows]
+    run = lambda t: {r.doc_id: r.score for r in toxicity(documents(spark, rows), labels(spark, t), 200).collect()}
+    alone = run(truth)
+    assert len(set(alone.values())) > 1 and run(truth + [(i, i % 2) for i in range(1000, 21000)]) == alone
+
+
 def test_features(spark):
     rows = [(1, "You are an Idiot, really"), (2, "an 1d1ot"), (3, "ABC def!"), (4, None), (5, "loooser lowly")]
     made = documents(spark, rows).select("doc_id", "text").mapInArrow(_features({"=idiot": 3.0, "^lowl": 2.0}), "doc_id long, values array<double>")
