@@ -11,6 +11,8 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .nearest import binary_code, nearest
 from .pages import main_text
+from .quantise import digest as codebook_digest
+from .quantise import product_codes, with_label_errors
 from .substrings import remove_repeats
 from .toxicity import toxicity
 from .urls import judge
@@ -128,3 +130,34 @@ def reply_trees(spark, folder):
 @query("op2_page_differencing")
 def page_differencing(spark, folder):
     return main_text(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _product_code_sql(parts: int = 16, entries: int = 64, length: int = 4, rounds: int = 2) -> str:
+    """The same rounds by comparing each part with its whole codebook."""
+    along = range(length)
+    each = lambda text: ", ".join(text.format(j=j) for j in along)
+    square = " + ".join(f"(c.x{j} - e.x{j}) * (c.x{j} - e.x{j})" for j in along)
+    steps = [f"""
+      k AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label, embedding FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      c AS (SELECT r, p, {each(f"CAST(floor(256 * CAST(embedding[p * {length} + {{j}} + 1] AS DOUBLE)) AS BIGINT) AS x{{j}}")} FROM k, range({parts}) t(p)),
+      e0 AS (SELECT p, r AS e, {each("x{j}")} FROM c WHERE r < {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS (SELECT c.r, c.p, min(({square}) * {entries} + e.e) AS best FROM c JOIN e{n} e ON c.p = e.p GROUP BY c.r, c.p)")
+        if n < rounds:
+            steps.append(f"""m{n} AS (SELECT a.p, a.best % {entries} AS e, {each("CAST(floor(sum(x{j}) / count(*)) AS BIGINT) AS x{j}")}
+              FROM a{n} a JOIN c ON a.r = c.r AND a.p = c.p GROUP BY ALL),
+              e{n + 1} AS (SELECT p, e, {each(f"coalesce(m{n}.x{{j}}, e{n}.x{{j}}) AS x{{j}}")} FROM e{n} LEFT JOIN m{n} USING (p, e))""")
+    book = " || ',' || ".join(f"x{j}" for j in along)
+    steps.append(f"s AS (SELECT sha256(string_agg({book}, ',' ORDER BY p, e)) AS h FROM e{rounds})")
+    steps.append(f"""o AS (SELECT r, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY r)""")
+    return f"""WITH {", ".join(steps)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+      h AS codebooks_sha256 FROM o JOIN k USING (r), s"""
+
+
+@query("op11_vector_codes", _product_code_sql())
+def vector_codes(spark, folder):
+    codes, codebooks = product_codes(table(spark, folder, "embeddings"))
+    codes = with_label_errors(codes).select(F.col("id").alias("vec_id"), "code", "error", "label_error")
+    return codes.withColumn("codebooks_sha256", F.lit(codebook_digest(codebooks)))
