@@ -15,6 +15,7 @@ from .quantise import digest as codebook_digest
 from .quantise import product_codes, with_label_errors
 from .substrings import remove_repeats
 from .toxicity import toxicity
+from .trie import borrowed_openings, prefix_trie
 from .urls import judge
 
 QUERIES = {}
@@ -161,3 +162,27 @@ def vector_codes(spark, folder):
     codes, codebooks = product_codes(table(spark, folder, "embeddings"))
     codes = with_label_errors(codes).select(F.col("id").alias("vec_id"), "code", "error", "label_error")
     return codes.withColumn("codebooks_sha256", F.lit(codebook_digest(codebooks)))
+
+
+@query(
+    "op12_conversation_trie",
+    """WITH t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS n, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+        FROM conversations WHERE conv_id IS NOT NULL),
+      b AS (SELECT DISTINCT conv_id, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)) AS bytes FROM t),
+      -- crc32 bit by bit: each byte is taken in at the first of its eight steps
+      h AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(bytes, lambda c: [c, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda a, x: xor(xor(a, x) >> 1, CASE WHEN xor(a, x) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 6 AS h FROM b),
+      o AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(n ORDER BY turn NULLS FIRST, id) AS ns FROM t GROUP BY conv_id),
+      r AS (SELECT o.conv_id, list_concat(coalesce(s.ids[1:h], []), o.ids[h + 1:]) AS ids, list_concat(coalesce(s.ns[1:h], []), o.ns[h + 1:]) AS ns
+        FROM o JOIN h USING (conv_id) LEFT JOIN o s ON s.conv_id = o.conv_id - o.conv_id % 100),
+      p AS (SELECT conv_id, d, ids[1:d] AS key, CASE WHEN d > 0 THEN ns[d] ELSE 0 END AS n, d = len(ids) AS ends FROM r, range(len(ids) + 1) u(d)),
+      k AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY key, d),
+      c AS (SELECT key[1:d - 1] AS key, count(*) AS n_children FROM k WHERE d > 0 GROUP BY ALL),
+      w AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN c USING (key)),
+      a AS (SELECT key[1:v] AS key, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM w, range(d + 1) u(v) GROUP BY ALL)
+    SELECT w.conv_id, w.d AS depth, q.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+    FROM w JOIN a ON w.key = a.key LEFT JOIN k q ON w.d > 0 AND q.key = w.key[1:w.d - 1]""",
+)
+def conversation_trie(spark, folder):
+    return prefix_trie(borrowed_openings(table(spark, folder, "conversations")))
