@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .contamination import contaminated
+from .convnet import quality
 from .conversations import CONTROL, END, MIDDLE, START, chained, digest, format_conversations
 from .hilbert import shard
 from .minhash import near_duplicates
@@ -186,3 +187,8 @@ def vector_codes(spark, folder):
 )
 def conversation_trie(spark, folder):
     return prefix_trie(borrowed_openings(table(spark, folder, "conversations")))
+
+
+@query("op13_byte_convnet")
+def byte_convnet(spark, folder):
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
