@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import lists, materialize
 
@@ -152,7 +153,7 @@ class Toxicity:
         """``keep`` columns plus score of the column text; null and empty texts are scored as empty."""
         if self.trees is None:
             return docs.select(*keep, F.lit(self.constant).alias("score"))
-        schema = ", ".join(f"`{n}` {t}" for n, t in docs.select(*keep).dtypes) + ", values array<double>"
+        schema = StructType([*docs.select(*keep).schema.fields, StructField("values", ArrayType(DoubleType()))])
         values = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(_features(self.lexicon), schema)
         return _calibrated(self.trees, self.calibration, values).select(*keep, "score")
 

@@ -13,8 +13,8 @@ def shingles(text, size=4):
     return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1)) or (frozenset([tuple(words)]) if words else frozenset())
 
 
-def brute(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
+def brute(rows, size=4):
+    sets = [(i, shingles(t, size)) for i, t in rows]
     up = {i: i for i, _ in rows}
 
     def top(x):

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 from test_hilbert import laid_out
 from test_minhash import brute
 from test_mixing import wanted
@@ -35,7 +36,7 @@ def test_toxic_documents_go(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
-    kept = {i for i, _, _, k in brute([(r["doc_id"], r["text"]) for r in stages[1]]) if k}
+    kept = {i for i, _, _, k in brute([(r["doc_id"], r["text"]) for r in stages[1]], 5) if k}
     assert sorted(r["doc_id"] for r in stages[2]) == sorted(kept)
 
 
@@ -72,3 +73,29 @@ def test_awkward_rows(spark):
         for name, stage in pipeline.STAGES:
             docs = materialize(stage(spark, docs, DATA), name)
         assert {r.doc_id for r in docs.collect()} == ({None, 3, 4} if some else set())
+
+
+CLASHES = ["values", "score", "raw", "features", "prediction", "probability", "__text", "spot", "size", "target", "copies", "source_size", "__key", "__rest", "__copy", "kept", "component_id", "a.b"]
+
+
+def test_columns_of_any_name_stay(spark):
+    """No column is lost, changed or mistaken for one that a stage makes itself."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    plain = {}
+    for extra in ([], CLASHES):
+        rows = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in extra})
+        for name, stage in pipeline.STAGES[:-1]:
+            rows = materialize(stage(spark, rows, DATA), name)
+            assert rows.columns == docs.columns + extra
+            ids = sorted(r[0] for r in rows.select("doc_id").collect())
+            assert plain.setdefault(name, ids) == ids
+        for r in rows.collect() if extra else []:
+            assert all(r[c] == f"{c} of {r['doc_id']}" for c in extra)
+
+
+def test_rows_that_share_id_and_text(spark):
+    rows = [(1, "x y z", "en", "b", 5, 1), (1, "x y z", "de", "c", 5, 2), (1, "x y z", "de", "a", 5, 3), (1, "x y z", None, None, 5, 4), (1, "other", "en", "b", 5, 5), (None, "x y z", "en", "b", 5, 6), (None, "x y z", "en", "b", 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row int")
+    for n in (1, 5):
+        got = pipeline.deduplicated(spark, docs.repartition(n), DATA).collect()
+        assert sorted(r["row"] for r in got) == [4, 5, 6, 6]
