@@ -17,6 +17,7 @@ from ..functions.text import strip, strip_tags
 from ..session import materialize
 from .idjoin import id_anti
 from .ranking import first_by, join_same, last_by, lookup, number_rows
+from .replay import first_come, groups_of, key_of, openers
 
 
 def _after(old: DataFrame, new: DataFrame, seq: str) -> DataFrame:
@@ -196,46 +197,45 @@ def resolve_mesh(existing: DataFrame, new: DataFrame, seq: str = "seq") -> tuple
     return _resolve(existing, keyed_new.drop("_ui_known", "_bare_at", "_ui_at"), keyed_old, "mesh_term_id", seq)
 
 
-def _name_key() -> Column:
-    return F.to_json(F.struct("last_name", "first_name", "initials"), {"ignoreNullFields": "false"})
-
-
 def resolve_authors(existing: DataFrame, new: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Authors by ORCID, else by equal names where one side has no ORCID, else new.
 
-    Returns the grown table and ``seq -> author_id``. Inside a batch, rows of one name that
-    meet no stored author share an author as they would one by one: all of them if the first
-    has no ORCID, else one per ORCID with ORCID-less rows going to the first. Two names that
-    share an ORCID inside one batch are one author only if each name's first row has an ORCID.
+    Returns the grown table and ``seq -> author_id``, as if rows came one by one in ``seq`` order: a new
+    author is one as soon as its first row is through. A NULL last name equals no other.
     """
     new = new.withColumn("author_orcid", F.nullif(F.col("author_orcid"), F.lit("")))
     orcid = F.col("author_orcid")
-    by_orcid = existing.where(orcid.isNotNull()).groupBy(orcid.alias("_o")).agg(F.min("author_id").alias("_by_orcid"))
-    names = existing.where(F.col("last_name").isNotNull()).groupBy(_name_key().alias("_n")).agg(
+    name = F.when(F.col("last_name").isNotNull(), key_of(F.lit("name"), F.col("last_name"), F.col("first_name"), F.col("initials")))
+    by_orcid = existing.where(orcid.isNotNull()).groupBy(key_of(F.lit("orcid"), orcid).alias("_so")).agg(F.min("author_id").alias("_by_orcid"))
+    names = existing.where(F.col("last_name").isNotNull()).groupBy(name.alias("_sn")).agg(
         F.min("author_id").alias("_any"), F.min(F.when(orcid.isNull(), F.col("author_id"))).alias("_bare")
     )
-    rows = lookup(new, by_orcid, orcid, "_o").withColumn("_name", _name_key())
-    rows = lookup(rows, names, F.when(F.col("last_name").isNotNull(), F.col("_name")), "_n")
-    named = F.when(orcid.isNull(), F.col("_any")).otherwise(F.col("_bare"))
-    rows = rows.withColumn("_known", F.coalesce("_by_orcid", named)).drop("_by_orcid", "_any", "_bare")
-    met = rows.where(F.col("_known").isNotNull()).select(seq, F.col("_known").alias("author_id"))
-    open_rows = rows.where(F.col("_known").isNull()).drop("_known")
-    # NULL last names never equal each other: such rows stand alone unless they have an ORCID.
-    alone = F.col("last_name").isNull()
-    group = open_rows.where(~alone).groupBy(F.col("_name").alias("_g")).agg(
-        F.min_by(F.struct(orcid.alias("o")), F.col(seq))["o"].alias("_first")
-    )
-    joined = lookup(open_rows, group, F.when(~alone, F.col("_name")), "_g")
-    key = (
-        F.when(alone & orcid.isNull(), F.concat(F.lit("row "), F.col(seq).cast("string")))
-        .when(alone, F.concat(F.lit("orcid "), orcid))
-        .when(F.col("_first").isNull(), F.concat(F.lit("name "), F.col("_name")))
-        .otherwise(F.concat(F.lit("orcid "), F.coalesce(orcid, F.col("_first"))))
-    )
-    keyed = joined.withColumn("_key", key).drop("_name", "_first")
-    none = existing.withColumn("_key", F.lit(None).cast("string")).limit(0)
-    table, opened = _resolve(existing, keyed, none, "author_id", seq)
-    return table, met.unionByName(opened)
+    rows = new.withColumn("_o", F.when(orcid.isNotNull(), key_of(F.lit("orcid"), orcid))).withColumn("_n", name)
+    rows = lookup(lookup(rows, by_orcid, F.col("_o"), "_so"), names, F.col("_n"), "_sn")
+    rows = rows.withColumn("_known", F.coalesce("_by_orcid", F.when(orcid.isNull(), F.col("_any"))))
+    # A name that is stored without an ORCID waits for rows whose ORCID nobody has by then.
+    rows = materialize(rows.withColumn("_waits", F.when(orcid.isNotNull(), F.col("_bare"))).drop("_by_orcid", "_any", "_bare"))
+    unmet = rows.where(F.col("_known").isNull()).drop("_known")
+    alone = F.col("_o").isNull() & F.col("_n").isNull()
+    # Rows of one name and ORCID can open an author only with the first of them.
+    pairs = unmet.where(~alone & F.col("_waits").isNull()).groupBy(F.col("_o").alias("orcid"), F.col("_n").alias("name")).agg(F.min(seq).cast("bigint").alias("seq"))
+    first = openers(pairs).unionByName(unmet.where(alone).select(F.col(seq).cast("bigint").alias("seq"))).select(F.col("seq").alias("_first"))
+    opened = number_rows(unmet.join(first, F.col(seq) == F.col("_first")).drop("_first", "_waits"), seq, name="_no")
+    opened = materialize(opened.withColumn("author_id", _max_id(existing, "author_id") + F.col("_no")).drop("_no"))
+    attributes = [c for c in existing.columns if c != "author_id" and c in new.columns]
+    table = existing.unionByName(opened.select(*attributes, "author_id"), allowMissingColumns=True)
+
+    def earliest(authors, key, to):
+        return authors.groupBy(F.col(key).alias(f"_k{to}")).agg(F.min(seq).alias(f"_at{to}"), F.min("author_id").alias(f"_id{to}"))
+
+    found = lookup(unmet, earliest(opened.where("_o is not null"), "_o", "o"), F.col("_o"), "_ko")
+    found = lookup(found, earliest(opened.where("_n is not null"), "_n", "n"), F.when(orcid.isNull(), F.col("_n")), "_kn")
+    found = lookup(found, earliest(opened.where("_o is null and _n is not null"), "_n", "b"), F.when(orcid.isNotNull(), F.col("_n")), "_kb")
+    found = lookup(found, opened.where(alone).select(F.col(seq).alias("_ks"), F.col("author_id").alias("_ids")), F.when(alone, F.col(seq)), "_ks")
+    # An author that was opened later was not there yet.
+    hits = [F.when(F.col(f"_at{to}") <= F.col(seq), F.col(f"_id{to}")) for to in "onb"]
+    assigned = found.select(seq, F.coalesce(hits[0], F.col("_waits"), *hits[1:], F.col("_ids")).alias("author_id"))
+    return table, rows.where(F.col("_known").isNotNull()).select(seq, F.col("_known").alias("author_id")).unionByName(assigned)
 
 
 def add_links(
@@ -252,9 +252,9 @@ def add_links(
 
     NULL identifiers never clash. ``null_safe`` switches to one existence test on those
     columns in which NULL equals NULL. Rows are taken in ``seq`` order: a row counts only if
-    no earlier row that counts clashes with it. This is found in rounds; the rows that are
-    first in all of their groups are settled at once, and normally nothing is left after that.
-    With ``id_col`` new rows are numbered after the existing ones. ``consistent`` promises that
+    no earlier row that counts clashes with it. Rows that are first in all of their groups settle
+    nearly everything at once; conflicts that hang on other open rows are replayed in order,
+    component by component. With ``id_col`` new rows are numbered after the existing ones. ``consistent`` promises that
     rows which share an identifier share all three; one aggregation is then enough.
     """
     payload = list(payload)
@@ -270,23 +270,16 @@ def add_links(
         fresh = join_same(firsts, existing.select(*key).distinct().withColumn("_old", F.lit(True)), key, "left")
         return grown(fresh.where(F.col("_old").isNull()).drop("_old"))
 
-    waiting = id_anti(new, existing, ids, also=payload)
+    present = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in ids])
+    # Of equal rows only the first can count, so copies are gone before anything is joined.
+    firsts = first_by(new.where(present), [*ids, *payload], seq)
+    waiting = id_anti(firsts, existing, ids, also=payload)
+    loose = new.where(~present)
     if consistent:
-        return grown(first_by(waiting, [*ids, *payload], seq))
-    taken = None
-    while True:
-        ranked, firsts = waiting, []
-        for i, key in enumerate(ids):
-            heads = waiting.where(F.col(key).isNotNull()).groupBy(key, *payload).agg(F.min(seq).alias(f"_head{i}"))
-            ranked = join_same(ranked, heads, payload, "left", exact=[key])
-            firsts.append(F.coalesce(F.col(f"_head{i}") == F.col(seq), F.lit(True)))
-        flag = reduce(lambda a, b: a & b, firsts).alias("_settled")
-        ranked = materialize(ranked.select(*[F.col(f"`{c}`") for c in waiting.columns], flag))
-        settled = ranked.where("_settled").drop("_settled")
-        taken = settled if taken is None else taken.unionByName(settled)
-        waiting = id_anti(ranked.where("NOT _settled").drop("_settled"), settled, ids, also=payload)
-        if waiting.isEmpty():
-            return grown(taken)
+        return grown(waiting.unionByName(first_by(loose, [*ids, *payload], seq)))
+    waiting = materialize(waiting)
+    counted = first_come(groups_of(waiting, ids, payload, seq)).select(F.col("seq").alias("_counted"))
+    return grown(waiting.join(counted, F.col(seq) == F.col("_counted"), "left_semi").unionByName(loose))
 
 
 def replace_descriptors(old: DataFrame, new: DataFrame, seq: str = "seq") -> DataFrame:

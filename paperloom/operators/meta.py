@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import finite
-from ..functions.tails import chi2_tail, deviate_of_p, two_sided_p
-from .ranking import HOT_ROWS, hot_keys
+from ..functions.tails import chi2_tail, deviate_of_p, let, two_sided_p
+from .ranking import join_same
 
 # Column names accepted for the effect and for its uncertainty, in order.
 EFFECT_NAMES = ("yi", "effect", "effect_size", "es", "log2fc", "logfc")
@@ -29,11 +29,8 @@ def resolve_variance(yi: Column, vi: Column | None = None, se: Column | None = N
     if se is not None:
         options.append(se * se)
     if p is not None:
-        # Only rows that need it reach the Arrow function.
         needed = F.coalesce(*options).isNull() if options else F.lit(True)
-        z = deviate_of_p(F.when(needed, p))
-        error = F.abs(yi) / F.when(z > 0, z)
-        options.append(error * error)
+        options.append(let(F.abs(yi) / let(deviate_of_p(F.when(needed, p)), lambda z: F.when(z > 0, z)), lambda error: error * error))
     return F.coalesce(*options) if options else F.lit(None).cast("double")
 
 
@@ -49,46 +46,27 @@ def with_aliases(df: DataFrame, entity: str, study: str | None = None) -> DataFr
                               (("yi", EFFECT_NAMES), ("vi", VARIANCE_NAMES), ("se", SE_NAMES), ("p", P_NAMES))])
 
 
-def _sums(w: str, y: str):
-    return F.sum(w), F.sum(F.col(w) * F.col(y))
-
-
-def _by_window(rows: DataFrame) -> DataFrame:
-    """Per-entity sums in one exchange: both passes run over windows on the entity."""
-    entity = Window.partitionBy("entity")
-    sw, swy = _sums("_w", "_y")
-    one = rows.withColumn("_sw", sw.over(entity)).withColumn("_theta", swy.over(entity) / F.col("_sw"))
-    dev = F.col("_y") - F.col("_theta")
-    two = one.withColumn("_q", F.sum(F.col("_w") * dev * dev).over(entity))
-    two = two.withColumn("_sww", F.sum(F.col("_w") * F.col("_w")).over(entity))
-    two = two.withColumn("_k", F.count("_w").over(entity)).withColumn("_tau2", _tau2())
-    return two.withColumn("_wr", 1 / (F.col("_v") + F.col("_tau2"))).groupBy("entity").agg(*_final_aggs())
-
-
-def _by_broadcast(rows: DataFrame) -> DataFrame:
-    """The same sums for entities with very many studies, without moving their rows.
-
-    There are at most ``HOT_KEYS`` such entities, so their interim sums are sent to the rows.
-    """
-    sw, swy = _sums("_w", "_y")
-    one = rows.groupBy("entity").agg(sw.alias("_sw"), (swy / sw).alias("_theta"), F.sum(F.col("_w") * F.col("_w")).alias("_sww"), F.count("_w").alias("_k"))
-    dev = F.col("_y") - F.col("_theta")
-    with_theta = rows.join(F.broadcast(one.select("entity", "_theta")), "entity")
-    q = with_theta.groupBy("entity").agg(F.sum(F.col("_w") * dev * dev).alias("_q"))
-    two = one.join(F.broadcast(q), "entity").withColumn("_tau2", _tau2())
-    with_tau = rows.join(F.broadcast(two), "entity").withColumn("_wr", 1 / (F.col("_v") + F.col("_tau2")))
-    return with_tau.groupBy("entity").agg(*_final_aggs())
-
-
 def _tau2() -> Column:
     c = F.col("_sw") - F.col("_sww") / F.col("_sw")
     return F.when(c > 0, F.greatest(F.lit(0.0), (F.col("_q") - (F.col("_k") - 1)) / c)).otherwise(0.0)
 
 
-def _final_aggs() -> list[Column]:
-    swr, swry = _sums("_wr", "_y")
-    same = [F.max(c).alias(c) for c in ("_sw", "_theta", "_q", "_k", "_tau2")]
-    return [*same, swr.alias("_swr"), (swry / swr).alias("_theta_r"), F.max("_n").alias("_n"), F.max("_bad").alias("_bad")]
+def _pooled(rows: DataFrame) -> DataFrame:
+    """Sums of each entity.
+
+    Heterogeneity is a sum of squares around the pooled effect, and the random-effects weights hang on it, so
+    two interim results go back to the rows. Every sum is combined on the map side and only one row an entity comes
+    back, so an entity of any size, and the entity NULL, is split like any other rows.
+    """
+    y, w = F.col("_y"), F.col("_w")
+    one = rows.groupBy("entity").agg(
+        F.sum(w).alias("_sw"), (F.sum(w * y) / F.sum(w)).alias("_theta"), F.sum(w * w).alias("_sww"), F.count(w).alias("_k"), F.max("_bad").alias("_bad"))
+    near = join_same(rows, one.select("entity", "_theta"), ["entity"])
+    dev = y - F.col("_theta")
+    two = join_same(one, near.groupBy("entity").agg(F.sum(w * dev * dev).alias("_q")), ["entity"]).withColumn("_tau2", _tau2())
+    weighted = join_same(rows, two.select("entity", "_tau2"), ["entity"]).withColumn("_wr", 1 / (F.col("_v") + F.col("_tau2")))
+    swr = F.sum("_wr")
+    return join_same(two, weighted.groupBy("entity").agg(swr.alias("_swr"), (F.sum(F.col("_wr") * y) / swr).alias("_theta_r")), ["entity"])
 
 
 def meta_analyze(
@@ -99,13 +77,12 @@ def meta_analyze(
     se: str | None = None,
     p: str | None = None,
     tails: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """DerSimonian-Laird meta-analysis of ``(entity, effect, uncertainty)`` rows.
 
     Studies without a finite effect and a positive finite variance are dropped; an entity left
     without studies gets an ``error``, as does one with a NULL effect. ``tails=False`` leaves
-    out the two tail probabilities, the only part that needs Python.
+    out the two tail probabilities.
     """
 
     def col(name):
@@ -116,10 +93,9 @@ def meta_analyze(
     usable = F.coalesce(finite(F.col("_y")).isNotNull() & (finite(F.col("_v")) > 0), F.lit(False))
     rows = rows.select(
         "entity", F.col("_y").isNull().cast("int").alias("_bad"), F.when(usable, F.col("_y")).alias("_y"),
-        F.when(usable, F.col("_v")).alias("_v"), F.when(usable, 1 / F.col("_v")).alias("_w"), F.lit(1).alias("_n"),
+        F.when(usable, F.col("_v")).alias("_v"), F.when(usable, 1 / F.col("_v")).alias("_w"),
     )
-    hot = F.broadcast(hot_keys(rows, ["entity"], hot_rows))
-    sums = _by_window(rows.join(hot, "entity", "left_anti")).unionByName(_by_broadcast(rows.join(hot, "entity", "left_semi")))
+    sums = _pooled(rows)
 
     k, df_, q = F.col("_k"), F.col("_k") - 1, F.col("_q")
     failed = F.when(F.col("_bad") > 0, MISSING_EFFECT).when(k == 0, NO_STUDY)

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-import zipfile
-
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators import facts, ingest, merge, validate
+from ..operators import facts, ingest, merge, ranking, validate
+from ..session import new_folder
 from ..sources import articles_xml, listings, matrices, repositories
 from .derived import oracle
 from .registry import query
@@ -145,6 +140,25 @@ def resolve_authors(t):
     return merge.resolve_authors(t.sql(_PEOPLE_OLD), t.sql(_PEOPLE_NEW))[1]
 
 
+# One name and one ORCID after the other, neither of them consistent: who comes first decides. Rows of a name have its four ORCIDs or none.
+_MIXED = """SELECT 'L' || CAST(o_custkey - o_custkey % 4 AS STRING) AS last_name, CAST(NULL AS STRING) AS first_name, CAST(NULL AS STRING) AS initials,
+    CASE WHEN o_orderkey % 5 > 1 THEN 'O' || CAST(o_custkey AS STRING) END AS author_orcid, o_orderkey AS seq FROM orders"""
+
+
+@query("resolve_authors_in_batch", f"""WITH r AS ({_MIXED}),
+    b AS (SELECT last_name, min(seq) FILTER (author_orcid IS NULL) AS bare_at, min(seq) AS any_at FROM r GROUP BY last_name),
+    -- A name is opened without an ORCID only if nobody of that name came before; from then on it meets everybody new.
+    o AS (SELECT last_name, author_orcid, min(seq) AS opened FROM r JOIN b USING (last_name) WHERE author_orcid IS NOT NULL AND (bare_at > any_at OR bare_at IS NULL) GROUP BY ALL),
+    a AS (SELECT opened FROM o UNION SELECT any_at FROM b)
+  SELECT r.seq, n.author_id FROM r JOIN b USING (last_name) LEFT JOIN o ON o.last_name = r.last_name AND o.author_orcid = r.author_orcid
+    JOIN (SELECT opened, row_number() OVER (ORDER BY opened) AS author_id FROM a) n ON n.opened = coalesce(o.opened, b.any_at)""")
+def resolve_authors_in_batch(t):
+    from .. import schemas
+
+    rows = t.sql(_MIXED)
+    return merge.resolve_authors(schemas.empty_table(t.spark, "author_info"), rows)[1]
+
+
 _LINKS_OLD = "SELECT doi, pmid, pmcid, keyword_id FROM article_keywords WHERE keyword_id % 2 = 0"
 # Each article links to a term through several orders, with all its identifiers.
 _LINKS_NEW = """SELECT a.doi, a.pmid, a.pmcid, k.keyword_id, o.o_orderkey AS seq
@@ -161,6 +175,17 @@ def add_links(t):
     return merge.add_links(t.sql(_LINKS_OLD), t.sql(_LINKS_NEW), ["keyword_id"])
 
 
+# Chains of a thousand rows, each of which clashes with the one before it and the one after it: every second one counts.
+_CHAINS = """SELECT '10.9/' || CAST(doc_id + 1 - (doc_id + 1) % 2 AS STRING) AS doi, CAST(doc_id - doc_id % 2 AS STRING) AS pmid, CAST(NULL AS STRING) AS pmcid,
+    doc_id - doc_id % 1000 AS keyword_id, doc_id AS seq FROM documents"""
+
+
+@query("add_links_chains", f"SELECT doi, pmid, pmcid, keyword_id FROM ({_CHAINS}) c WHERE seq % 2 = 0")
+def add_links_chains(t):
+    rows = t.sql(_CHAINS)
+    return merge.add_links(rows.drop("seq").limit(0), rows, ["keyword_id"])
+
+
 @query("add_mesh_links", oracle(
     f"""SELECT doi, pmid, keyword_id FROM ({_LINKS_OLD}) o UNION ALL
     SELECT DISTINCT doi, pmid, keyword_id FROM ({_LINKS_NEW}) n WHERE NOT EXISTS (SELECT 1 FROM ({_LINKS_OLD}) o
@@ -434,39 +459,14 @@ def jats_text(t):
 # ---- archives ----
 
 
-def _archives(t):
-    """A zip, tar.gz or broken archive per document, with its text and its language as members."""
-
-    @F.pandas_udf(T.BinaryType())
-    def pack(ids: pd.Series, texts: pd.Series, langs: pd.Series) -> pd.Series:
-        def one(i, text, lang):
-            out, members = io.BytesIO(), (("in/text.txt", text.encode()), ("lang", lang.encode()))
-            if i % 3 == 0:
-                with zipfile.ZipFile(out, "w") as z:
-                    z.writestr("in/", "")
-                    for name, body in members:
-                        z.writestr(name, body)
-            elif i % 3 == 1:
-                with tarfile.open(fileobj=out, mode="w:gz") as a:
-                    for name, body in members:
-                        info = tarfile.TarInfo(name)
-                        info.size = len(body)
-                        a.addfile(info, io.BytesIO(body))
-            return out.getvalue()
-
-        return pd.Series([one(*row) for row in zip(ids, texts, langs)])
-
-    ending = F.when(F.col("doc_id") % 3 == 1, ".tar.gz").otherwise(".zip")
-    docs = t["documents"]
-    return docs.select(F.concat(F.lit("/a/"), "doc_id", ending).alias("path"), pack("doc_id", "text", "lang").alias("content"))
-
-
-@query("archive_contents", """SELECT '/a/' || doc_id || CASE WHEN doc_id % 3 = 1 THEN '.tar.gz' ELSE '.zip' END AS archive_path,
-    CASE WHEN doc_id % 3 = 2 THEN 0 ELSE 2 END AS total_files, CAST(CASE WHEN doc_id % 3 = 2 THEN 0 ELSE octet_length(encode(text)) + length(lang) END AS BIGINT) AS total_size,
-    doc_id % 3 = 2 AS broken FROM documents""".replace("THEN 0 ELSE 2 END AS", "THEN CAST(0 AS BIGINT) ELSE 2 END AS"))
+@query("archive_contents", """SELECT '/a/' || source || '.zip' AS archive_path, count(*) FILTER (doc_id % 5 <> 0) AS total_files,
+    CAST(coalesce(sum(octet_length(encode(text))) FILTER (doc_id % 5 <> 0), 0) AS BIGINT) AS total_size FROM documents GROUP BY source""")
 def archive_contents(t):
-    contents = listings.archive_contents(listings.archive_members(_archives(t)))
-    return contents.select("archive_path", "total_files", "total_size", F.col("error").isNotNull().alias("broken"))
+    """Documents as members of an archive per source; every fifth stands for a folder."""
+    members = t["documents"].select(
+        F.concat(F.lit("/a/"), "source", F.lit(".zip")).alias("path"), F.octet_length("text").cast("bigint").alias("size"),
+        (F.col("doc_id") % 5 == 0).alias("is_dir"), F.lit(None).cast("string").alias("error"))
+    return listings.archive_contents(members).select("archive_path", "total_files", "total_size")
 
 
 # ---- repositories ----
@@ -595,6 +595,75 @@ def dep_columns(t):
     return matrices.dep_columns(raw, "gene", "lfc")
 
 
+def _file(df, **options):
+    """Writes rows in their order as delimited text with a header in each part; returns the folder."""
+    path = new_folder(df.sparkSession)
+    df.write.options(header=True, emptyValue="", **options).csv(path)
+    return path
+
+
+# Each line of an order is one row of a matrix with six samples, most cells empty; a part occurs in many rows.
+_WIDE = "SELECT *, l_orderkey * 8 + l_linenumber AS place FROM lineitem"
+
+
+def _wide(t, feature, sample):
+    rows = t.sql(_WIDE).orderBy("place")
+    cells = [F.when(F.col("l_suppkey") % 6 == i, F.col("l_extendedprice").cast("string")).otherwise("NA").alias(sample.format(i)) for i in range(6)]
+    return rows.select(F.concat(F.lit("P"), "l_partkey").alias(feature), F.col("l_returnflag").alias("Genes"), *cells)
+
+
+@query("read_matrix_last_row", f"""SELECT 'P' || l_partkey AS feature_id, 's' || l_suppkey % 6 AS sample, l_extendedprice AS value
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY place DESC) AS r FROM ({_WIDE}) w) x WHERE r = 1""")
+def read_matrix_last_row(t):
+    """A written matrix read again: of a repeated feature the last row counts."""
+    m = matrices.read_diann_matrix(t.spark, _file(_wide(t, "Protein.Group", "s{}"), sep="\t"), sep="\t", position="at")
+    return ranking.last_by(m, ["feature_id", "sample"], "at").where("value IS NOT NULL").drop("at")
+
+
+@query("read_maxquant_matrix", f"""SELECT 'P' || l_partkey AS feature_id, 's' || l_suppkey % 6 AS sample, count(*) AS n, round(sum(l_extendedprice), 2) AS total
+    FROM ({_WIDE}) w GROUP BY ALL""")
+def read_maxquant_matrix(t):
+    m = matrices.read_maxquant_matrix(t.spark, _file(_wide(t, "Majority protein IDs", "LFQ intensity s{}"), sep="\t"))
+    found = m.where("value IS NOT NULL").groupBy("feature_id", "sample")
+    return found.agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("read_dep_first_row", f"""SELECT 'P' || l_partkey AS feature_id, l_discount - 0.05 AS log2fc, l_tax AS pvalue, CAST(NULL AS DOUBLE) AS padj, l_returnflag = 'R' AS significant
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY place) AS r FROM ({_WIDE}) w) x WHERE r = 1""")
+def read_dep_first_row(t):
+    """A written differential-expression table read again: of a repeated feature the first row counts."""
+    rows = t.sql(_WIDE).orderBy("place").select(
+        F.concat(F.lit("P"), "l_partkey").alias("gene"), (F.col("l_discount") - 0.05).alias("lfc"), F.col("l_tax").alias("p"),
+        F.when(F.col("l_returnflag") == "R", "+").otherwise("").alias("sig"))
+    dep = matrices.read_dep(t.spark, _file(rows), ",", position="at", id_col="gene", log2fc_col="lfc", pvalue_col="p", sig_col="sig")
+    return ranking.first_by(dep, ["feature_id"], "at").drop("at")
+
+
+@query("read_unknown_text", """SELECT ';' AS delimiter, c_custkey, c_name || ', "x;y"' AS c_name, c_acctbal, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 2 = 0 END AS even,
+    CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer""")
+def read_unknown_text(t):
+    """Customers written with a delimiter that the reader has to find, and types it has to tell."""
+    c = F.col("c_custkey")
+    rows = t["customer"].select(
+        "c_custkey", F.concat("c_name", F.lit(', "x;y"')).alias("c_name"), "c_acctbal", F.when(c % 3 == 0, "").otherwise((c % 2 == 0).cast("string")).alias("even"),
+        F.when(c % 5 == 0, "NA").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"))
+    frame, report = matrices.read_table(t.spark, _file(rows, sep=";", escape='"'))
+    kinds = {n: k for n, k in frame.dtypes if k != "string"}
+    assert kinds == {"c_custkey": "bigint", "c_acctbal": "double", "even": "boolean", "c_nationkey": "bigint"}, kinds
+    return frame.withColumn("delimiter", F.lit(report.first().delimiter))
+
+
+@query("file_checksums", """SELECT CAST(c_nationkey AS BIGINT) AS nation, CAST(sum(octet_length(encode(c_name)) + 1) AS BIGINT) AS size_bytes,
+    sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256sum FROM customer GROUP BY c_nationkey""")
+def file_checksums(t):
+    """One text file of customers per nation, and the checksums of their contents."""
+    path = new_folder(t.spark)
+    rows = t["customer"].repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    rows.select(F.col("c_name").alias("value"), "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    found = listings.file_checksums(t.spark, path).where(F.col("path").endswith(".txt"))
+    return found.select(F.regexp_extract("path", r"c_nationkey=(-?\d+)", 1).cast("bigint").alias("nation"), "size_bytes", "sha256sum")
+
+
 # ---- validation ----
 
 _CHECKED = """SELECT row_id, doi, pmid, pmcid, title, publication_date, CAST(NULL AS DATE) AS electronic_publication_date FROM articles"""

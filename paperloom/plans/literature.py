@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, vectors
-from ..operators import catalog, facts, fidelity, getters, graph, idjoin, search
+from ..operators import batch_search, catalog, facts, fidelity, getters, graph, idjoin, search
 from .derived import Tables, oracle
 from .registry import query
 
@@ -61,6 +61,30 @@ def embedding_search(t):
     return search.search(t["article_embeddings"], first_vector(t), 20, ["vec_id"]).withColumn("score", F.round("score", 6))
 
 
+_MANY = """SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id) AS rank
+    FROM {0} q JOIN {0} e ON q.vec_id % 100 = 0"""
+
+
+@query("embedding_search_batch", f"SELECT query_id, id, score, CAST(rank AS INT) AS rank FROM ({_MANY.format('embeddings')}) WHERE rank <= 10")
+def embedding_search_batch(t):
+    """The ten nearest of all vectors for every vector whose id is divisible by 100."""
+    asked = t["embeddings"].where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return batch_search.search_many(t["embeddings"], asked, 10, id_col="vec_id").withColumn("score", F.round("score", 6))
+
+
+@query("embedding_search_batch_filtered", oracle(
+    f"""SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INT) AS rank FROM ({_MANY.format('embeddings')}) s
+      WHERE id IN (SELECT e.vec_id FROM article_embeddings e JOIN articles a ON a.doi = e.doi WHERE a.language = 'en' AND a.article_type = 'Review')
+      QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY rank) <= 5""", "articles", "article_embeddings"))
+def embedding_search_batch_filtered(t):
+    """The same among the articles that pass a filter."""
+    dois = search.filter_articles(SearchTables(t), language="en", article_type="Review")
+    rows = t["article_embeddings"].join(dois, "doi", "left_semi")
+    asked = t["embeddings"].where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return batch_search.search_many(rows, asked, 5, id_col="vec_id").withColumn("score", F.round("score", 6))
+
+
 def _filter(name: str, condition: str, views: tuple[str, ...], **filters):
     def build(t):
         # Over all facts every article has a dataset; those of one kind tell articles apart.

@@ -95,19 +95,65 @@ def meta_analysis(t):
     )
 
 
-@query("meta_analysis_tails")
-def meta_analysis_tails(t):
-    m = meta.meta_analyze(t["effects"])
+def _normal_tail(z: str) -> str:
+    """P(|normal| > z) in SQL: z + z^3/3 + z^5/15 + ... below 2, Laplace's continued fraction from there."""
+    density = f"2 * exp(-{z} * {z} / 2) / sqrt(2 * pi())"
+    series = f"list_reduce(list_concat([0.0::DOUBLE], list_transform(range(60), lambda i: 121.0::DOUBLE - 2 * i)), lambda s, k: (1 + s) * {z} * {z} / k)"
+    fraction = f"list_reduce(list_concat([{z}], list_transform(range(150), lambda i: 150.0::DOUBLE - i)), lambda f, k: {z} + k / f)"
+    return f"CASE WHEN {z} < 2 THEN 1 - {density} * {z} * (1 + {series}) ELSE {density} / {fraction} END"
+
+
+# The chi-square tail of whole degrees of freedom is a finite sum, with the normal tail where they are odd.
+_TAILED = f"""SELECT entity, k, q, df, z, abs(z) AS az, sqrt(greatest(q, 0)) AS rq, q / 2 AS x FROM (SELECT e.entity, coalesce(k, 0) AS k, q, k - 1 AS df, theta_r * sqrt(swr) AS z
+    FROM e LEFT JOIN r ON r.entity IS NOT DISTINCT FROM e.entity)"""
+_TAILS = f"""SELECT entity, k, round(z, 6) AS z, round({_normal_tail("az")}, 9) AS p, round(CASE WHEN df = 0 THEN NULL WHEN x <= 0 THEN 1 WHEN df % 2 = 0
+      THEN list_sum(list_transform(range(df // 2), lambda i: exp(i * ln(x) - x - lgamma(i + 1))))
+      ELSE {_normal_tail("rq")} + coalesce(list_sum(list_transform(range(df // 2), lambda i: exp((i + 0.5) * ln(x) - x - lgamma(i + 1.5)))), 0) END, 9) AS q_p
+    FROM ({_TAILED})"""
+
+
+def _tails(m):
     return m.select("entity", "k", F.round("z", 6).alias("z"), F.round("p", 9).alias("p"), F.round("q_p", 9).alias("q_p"))
 
 
-@query("meta_analysis_from_p_values")
+@query("meta_analysis_tails", oracle(_TAILS, "effects", extra=_META))
+def meta_analysis_tails(t):
+    return _tails(meta.meta_analyze(t["effects"]))
+
+
+# Every line is a study of its supplier; every seventh line has no supplier, which makes NULL the largest entity.
+_MANY_STUDIES = """SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE 'S' || CAST(l_suppkey AS STRING) END AS entity,
+    l_discount - 0.05E0 AS yi, (l_tax + 0.02E0) * (l_quantity + 1) / 500 AS vi FROM lineitem"""
+
+
+@query("meta_analysis_many_studies", f"WITH effects AS ({_MANY_STUDIES}), {_META.replace('f.entity = kept', 'f.entity IS NOT DISTINCT FROM kept').replace('ON kept.entity = f.entity', 'ON kept.entity IS NOT DISTINCT FROM f.entity').replace('ON kept.entity = t.entity', 'ON kept.entity IS NOT DISTINCT FROM t.entity')} {_TAILS}")
+def meta_analysis_many_studies(t):
+    return _tails(meta.meta_analyze(t.sql(_MANY_STUDIES)))
+
+
+# |z| of each distinct p-value by Newton's method; the tail is convex, so steps from 0 never overshoot.
+_P_ROWS = "SELECT 'P' || CAST(p_size AS STRING) AS entity, p_partkey, p_partkey % 7 - 3.5E0 AS yi, (p_partkey * 53 % 1000 + 1) / 1001.0E0 AS p FROM part"
+_DEVIATES = f"""WITH RECURSIVE rows AS ({_P_ROWS}),
+  newton AS (SELECT DISTINCT p, 0.0::DOUBLE AS z, 0 AS i FROM rows
+    UNION ALL SELECT p, z + ({_normal_tail("z")} - p) / (2 * exp(-z * z / 2) / sqrt(2 * pi())), i + 1 FROM newton WHERE i < 40),
+  deviate AS (SELECT p, z FROM newton WHERE i = 40)"""
+
+
+@query("meta_analysis_from_p_values", f"""{_DEVIATES}, effects AS (SELECT entity, yi, pow(yi / z, 2) AS vi FROM rows JOIN deviate USING (p)), {_META}
+    SELECT e.entity, coalesce(k, 0) AS k, round(theta_r, 6) AS random_estimate, round(tau2, 6) AS tau2 FROM e LEFT JOIN r ON r.entity = e.entity""")
 def meta_analysis_from_p_values(t):
-    rows = t.sql("SELECT 'P' || CAST(p_size AS STRING) AS entity, p_partkey % 7 - 3.5E0 AS yi, (p_partkey * 53 % 1000 + 1) / 1001.0E0 AS p FROM part")
-    m = meta.meta_analyze(rows, vi=None, p="p", tails=False)
+    m = meta.meta_analyze(t.sql(_P_ROWS), vi=None, p="p", tails=False)
     return m.select("entity", "k", F.round("random_estimate", 6).alias("random_estimate"), F.round("tau2", 6).alias("tau2"))
 
 
+@query("resolve_variance", f"""{_DEVIATES} SELECT p_partkey, round(1 / CASE p_partkey % 4 WHEN 0 THEN p WHEN 1 THEN p * p ELSE pow(yi / z, 2) END, 6) AS weight FROM rows JOIN deviate USING (p)""")
+def resolve_variance(t):
+    """A variance where there is one, else a squared standard error, else what a p-value implies."""
+    k, p = F.col("p_partkey") % 4, F.col("p")
+    v = meta.resolve_variance(F.col("yi"), F.when(k == 0, p), F.when(k == 1, p), p)
+    return t.sql(_P_ROWS).select("p_partkey", F.round(1 / v, 6).alias("weight"))
+
+
 _NAMED = """SELECT 'P' || CAST(p_size AS STRING) AS gene, CASE WHEN p_partkey % 50 = 7 THEN NULL ELSE p_partkey % 7 - 3.5E0 END AS effect,
     (p_partkey % 5 + 1) / 10.0E0 AS std_error FROM part"""
 

@@ -23,22 +23,28 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the folder that ``spark.checkpoint.dir`` names and read it back.
+def new_folder(spark: SparkSession) -> str:
+    """A folder name of its own below the folder that ``spark.checkpoint.dir`` names.
 
-    Used where a frame is expensive or not repeatable (a model call) or is used by an
-    iteration. Readers prune columns and rows of what was written. Every call writes a folder of
-    its own, which the caller may delete when no frame reads it any more. Where the setting is
-    missing, a local session gets a temporary folder and a cluster an error, because executors
-    would not see each other's files.
+    Where the setting is missing, a local session gets a temporary folder and a cluster an error, because
+    executors would not see each other's files.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to a new folder and read it back.
+
+    Used where a frame is expensive or not repeatable (a model call) or is used by an
+    iteration. Readers prune columns and rows of what was written. Every call writes a folder of
+    its own, which the caller may delete when no frame reads it any more.
+    """
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

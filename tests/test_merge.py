@@ -43,6 +43,53 @@ def test_add_links_is_greedy_insert_or_ignore(spark, seed):
     assert rows_of(got, *IDS, "k") == sorted(taken, key=repr)
 
 
+def jobs_of(spark, run):
+    """Number of Spark jobs that ``run`` starts."""
+    group = f"count-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "count")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def chain(n, start=0):
+    """Rows of which each clashes with the one before and the one after it only."""
+    return [(f"d{start}-{(i + 1) // 2}", f"p{start}-{i // 2}", None, start, i + start * n) for i in range(n)]
+
+
+@pytest.mark.parametrize("order", ["rising", "falling", "mixed"])
+def test_add_links_chains(spark, order):
+    rows = [r for start in range(3) for r in chain(1000, start)]
+    at = list(range(len(rows)))
+    if order != "rising":
+        at = at[::-1] if order == "falling" else random.Random(9).sample(at, len(at))
+    rows = [(*r[:4], s) for r, s in zip(rows, at)]
+    taken, seen = [], set()
+    for r in sorted(rows, key=lambda r: r[4]):
+        if not {(r[0], r[3]), (r[1], r[3])} & seen:
+            seen |= {(r[0], r[3]), (r[1], r[3])}
+            taken.append(r[:4])
+    schema = "doi string, pmid string, pmcid string, k int"
+    got = merge.add_links(frame(spark, [], schema), frame(spark, rows, schema + ", seq bigint"), ["k"])
+    assert rows_of(got, *IDS, "k") == sorted(taken, key=repr)
+
+
+def test_add_links_copies_and_rows_without_ids(spark):
+    rows = [("d", None, None, 1, i) for i in range(500)] + [(None, None, None, 1, 500 + i) for i in range(3)] + [("e", "p", None, None, 600), ("e", None, None, None, 601), ("e", None, None, 2, 602)]
+    schema = "doi string, pmid string, pmcid string, k int"
+    got = merge.add_links(frame(spark, [], schema), frame(spark, rows, schema + ", seq int"), ["k"])
+    assert rows_of(got, *IDS, "k") == sorted([("d", None, None, 1), ("e", "p", None, None), ("e", None, None, 2)] + [(None, None, None, 1)] * 3, key=repr)
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark):
+    schema = "doi string, pmid string, pmcid string, k int"
+    run = lambda n: jobs_of(spark, lambda: merge.add_links(frame(spark, [], schema), frame(spark, chain(n), schema + ", seq bigint"), ["k"]).collect())
+    short, long = run(8), run(1000)
+    assert long <= short + 8 * 10
+
+
 def test_add_links_null_safe(spark):
     schema = "doi string, pmid string, pmcid string, k int"
     old = frame(spark, [("a", None, None, 1)], schema)
@@ -104,27 +151,44 @@ def authors_one_by_one(old, new):
     return table, out
 
 
-@pytest.mark.parametrize("seed", range(4))
+AUTHOR = "author_id bigint, last_name string, first_name string, initials string, author_orcid string"
+ROW = "last_name string, first_name string, initials string, author_orcid string, seq bigint"
+
+
+def resolved(spark, old, new):
+    got, assigned = merge.resolve_authors(
+        frame(spark, [(a, b, c, None, d) for a, b, c, d in old], AUTHOR), frame(spark, [(a, b, None, c, d) for a, b, c, d in new], ROW))
+    return rows_of(got, "author_id", "last_name", "first_name", "author_orcid"), {r.seq: r.author_id for r in assigned.collect()}
+
+
+@pytest.mark.parametrize("seed", range(8))
 def test_resolve_authors(spark, seed):
+    """Random batches in which names and ORCIDs mix freely; few of either make long dependencies."""
     rnd = random.Random(seed)
-    # Each name has its own ORCIDs, as in one batch of consistent records.
-    person = lambda k: (f"L{k}", rnd.choice([None, "F"]))
-    old = []
-    for i in range(5):
-        last, first = person(i)
-        old.append((i + 1, last, first, f"o{i}{first}" if rnd.random() < 0.5 else None))
+    names, orcids = (3, 3) if seed < 2 else (9, 7) if seed < 5 else (40, 40)
+    name = lambda: (f"L{rnd.randrange(names)}", rnd.choice([None, "F"]))
+    old = [(i + 1, *name(), rnd.choice([None, f"o{rnd.randrange(orcids)}"])) for i in range(rnd.randrange(5))]
     new = []
+    for i in range(150):
+        last, first = name()
+        new.append((None if rnd.random() < 0.05 else last, first, rnd.choice(["", None, f"o{rnd.randrange(orcids)}", f"o{rnd.randrange(orcids)}"]), i * 3))
+    table, ids = authors_one_by_one(old, [(a, b, c or None, s) for a, b, c, s in new])
+    got, assigned = resolved(spark, old, new)
+    assert assigned == ids
+    assert got == sorted(table, key=repr)
+
+
+def test_resolve_authors_long_dependencies(spark):
+    """Each row's fate hangs on the row before it."""
+    new, seq = [], 0
     for i in range(60):
-        k = rnd.randrange(9)
-        last, first = person(k)
-        new.append((None if rnd.random() < 0.05 else last, first, f"o{k}{first}" if rnd.random() < 0.5 else None, i))
-    new = [(last, first, orcid if last else None, s) for last, first, orcid, s in new]
-    table, ids = authors_one_by_one(old, new)
-    got, assigned = merge.resolve_authors(
-        frame(spark, [(a, b, c, None, d) for a, b, c, d in old], "author_id bigint, last_name string, first_name string, initials string, author_orcid string"),
-        frame(spark, [(a, b, None, c, d) for a, b, c, d in new], "last_name string, first_name string, initials string, author_orcid string, seq bigint"))
-    assert {r.seq: r.author_id for r in assigned.collect()} == ids
-    assert rows_of(got, "author_id", "last_name", "first_name", "author_orcid") == sorted(table, key=repr)
+        new += [(f"L{i}", None, f"o{i}", seq), (f"L{i}", None, None, seq + 1), (f"L{i}", None, f"o{i + 1}", seq + 2)]
+        seq += 3
+    new += [("hot", "x", f"h{i % 7}" if i % 3 else None, 1000 + i) for i in range(300)]
+    table, ids = authors_one_by_one([], new)
+    got, assigned = resolved(spark, [], new)
+    assert assigned == ids and got == sorted(table, key=repr)
+    assert resolved(spark, [], []) == ([], {})
 
 
 def test_resolve_grants_and_keys(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from paperloom import schemas
 from paperloom.functions.vectors import decode_embedding
 from paperloom.operators import catalog, profile
+from paperloom.operators.ranking import first_by, last_by
 from paperloom.sources import articles_xml, listings, matrices, repositories
 
 
@@ -112,6 +113,52 @@ def test_matrices(spark):
         matrices.read_matrix(spark, csv, id_col="nope")
 
 
+def test_rows_keep_their_order(spark):
+    """Of a repeated feature the last matrix row and the first differential-expression row count, over files and splits."""
+    d = folder() + "/many"
+    rows = [(f"P{(i * 7) % 50}", i) for i in range(3000)]
+    for part in range(3):
+        some = rows[part * 1000 : part * 1000 + 1000]
+        write(f"{d}/part-{part}.tsv", "id\ts1\n" + "".join(f"{k}\t{v}\n" for k, v in some))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        m = matrices.read_matrix(spark, d, sep="\t", position="at")
+        assert m.rdd.getNumPartitions() > 10
+        last = {r.feature_id: r.value for r in last_by(m, ["feature_id", "sample"], "at").collect()}
+        assert last == {k: float(v) for k, v in rows}
+        dep = matrices.read_dep(spark, d, "\t", position="at", id_col="id", log2fc_col="s1")
+        first = {r.feature_id: r.log2fc for r in first_by(dep, ["feature_id"], "at").collect()}
+        assert first == {k: float(v) for k, v in reversed(rows)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_surplus_cells_and_quoted_line_breaks(spark):
+    d = folder()
+    path = write(d + "/s.csv", "\ufeffid,a,a\n\n1,2,3\n4,5,6,7,8\n9\n")
+    got = [tuple(r) for r in matrices.read_text_table(spark, path, surplus="more").orderBy("id").collect()]
+    assert got == [("1", "3", None), ("4", "6", "7"), ("9", None, None)]  # of two columns with one name the last counts
+    path = write(d + "/q.csv", 'id,a\n1,"x\ny"\n2,z\n')
+    assert [tuple(r) for r in matrices.read_text_table(spark, path, multi_line=True, position="at").orderBy("at").select("id", "a").collect()] == [("1", "x\ny"), ("2", "z")]
+
+
+def test_delimiters_and_types_are_found(spark):
+    d = folder()
+    lines = ["k;name;x|y;f"] + [f'{i};"a;b{i}, c";{i}|{i};{"NA" if i % 4 else "0.5"}' for i in range(50)] + ["broken line"]
+    frame, report = matrices.read_table(spark, write(d + "/unknown.dat", "\n".join(lines)))
+    assert report.first().delimiter == ";" and dict(frame.dtypes) == {"k": "string", "name": "string", "x|y": "string", "f": "double"}
+    assert frame.where("k = '7'").first()["name"] == "a;b7, c"
+    sep, kinds, share = matrices.delimiter_and_types(spark.read.text(d + "/unknown.dat"), lines[0])
+    assert (sep, kinds[0]) == (";", "string") and 0.97 < share < 1
+    frame, _ = matrices.read_table(spark, write(d + "/flags.dat", "a|b|c\ntrue|1|1e3\nFALSE||-2\n|9223372036854775807|inf\n"))
+    assert dict(frame.dtypes) == {"a": "boolean", "b": "bigint", "c": "double"}
+    assert [tuple(r) for r in frame.orderBy("b").collect()] == [(False, None, -2.0), (True, 1, 1000.0), (None, 9223372036854775807, float("inf"))]
+    one, report = matrices.read_table(spark, write(d + "/one.dat", "word\nx\ny\n"))
+    assert one.columns == ["word"] and one.count() == 2
+    empty, _ = matrices.read_table(spark, write(d + "/none.dat", "a;b\n"))
+    assert empty.columns == ["a", "b"] and empty.count() == 0
+
+
 def test_dep_table(spark):
     path = write(folder() + "/d.tsv", "gene\tlfc\tpadj\tsignificant\na\t1.5\t0.01\t+\nb\tNA\t\t\nc\t-1\t0.5\tmaybe\n")
     got = {r.feature_id: tuple(r)[1:] for r in matrices.read_dep(spark, path, id_col="gene", log2fc_col="lfc").collect()}

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.functions.tails import upper_gamma
+from paperloom.functions.tails import chi2_tail, deviate_of_p, two_sided_p
 from paperloom.operators import fidelity, meta, profile
 
 
@@ -31,9 +31,8 @@ def reference(pairs):
     return theta, (wr * y).sum() / wr.sum(), q, tau2, math.sqrt(1 / wr.sum())
 
 
-@pytest.mark.parametrize("hot_rows", [100_000, 0])
-def test_meta_analysis(spark, hot_rows):
-    got = {r.entity: r for r in meta.meta_analyze(effects(spark, PAIRS), hot_rows=hot_rows).collect()}
+def test_meta_analysis(spark):
+    got = {r.entity: r for r in meta.meta_analyze(effects(spark, PAIRS)).collect()}
     assert set(got) == set(PAIRS)
     four = got["four"]
     assert four.k == 4 and round(four.random_estimate, 3) == 1.035 and four.p < 0.001 and four.error is None
@@ -64,15 +63,39 @@ def test_alias_columns(spark):
     assert [tuple(r) for r in meta.with_aliases(df, "gene").collect()] == [("g", 1.0, None, 0.2, None), ("g", 0.3, None, None, None)]
 
 
-@pytest.mark.parametrize("df, q", [(1, 3.841459), (2, 5.991465), (3, 7.814728), (10, 18.307038), (11, 19.675138), (100, 124.342113), (1000, 1074.679449)])
-def test_chi_square_points(df, q):
-    assert abs(upper_gamma(np.array([df / 2]), np.array([q / 2]))[0] - 0.05) < 1e-6
-
-
-def test_chi_square_extremes():
-    a, x = np.array([0.5, 5.0, 50.0, 5e5]), np.array([0.0, 1e-3, 900.0, 5e5])
-    out = upper_gamma(a, x)
-    assert out[0] == 1.0 and abs(out[1] - 1) < 1e-12 and 0 <= out[2] < 1e-200 and abs(out[3] - 0.5) < 1e-3
+def chi_square_by_hand(q, df):
+    """The finite sum, with exact fractions of factorials from lgamma."""
+    x = q / 2
+    if q <= 0:
+        return 1.0
+    half = df % 2 / 2
+    total = math.fsum(math.exp((i + half) * math.log(x) - x - math.lgamma(i + 1 + half)) for i in range(df // 2))
+    return total + (math.erfc(math.sqrt(x)) if df % 2 else 0.0)
+
+
+def test_chi_square_tail(spark):
+    rows = [(float(q), df) for df in (1, 2, 3, 4, 7, 10, 11, 31, 100, 101, 1000, 4001) for q in (0.0, 1e-6, 0.3, 1.0, df * 0.5, df * 0.9, float(df), df * 1.1, df * 1.5, df + 40.0, 3000.0)]
+    points = [(3.841459, 1), (5.991465, 2), (7.814728, 3), (18.307038, 10), (19.675138, 11), (124.342113, 100), (1074.679449, 1000)]
+    df = spark.createDataFrame(rows + points, "q double, df bigint").withColumn("t", chi2_tail(F.col("q"), F.col("df")))
+    got = df.collect()
+    for r in got[: len(rows)]:
+        assert abs(r.t - chi_square_by_hand(r.q, r.df)) < 1e-11, r
+    assert all(abs(r.t - 0.05) < 1e-6 for r in got[len(rows) :])
+    far = spark.createDataFrame([(900.0, 5.0), (1e6, 1e6), (4.0, 0.0), (None, 3.0), (float("nan"), 2.0)], "q double, df double").withColumn("df", F.col("df").cast("bigint"))
+    out = [r[0] for r in far.select(chi2_tail(F.col("q"), F.col("df"))).collect()]
+    assert 0 <= out[0] < 1e-180 and abs(out[1] - 0.5) < 1e-3 and out[2:] == [None, None, None]
+
+
+def test_normal_tail_and_deviate(spark):
+    z = [0.0, 1e-9, 0.1, -0.7, 1.0, 1.96, 2.49, 2.5, 2.51, -3.3, 5.0, 8.0, 20.0, 37.0, 45.0]
+    df = spark.createDataFrame([(v,) for v in z] + [(None,), (float("nan"),)], "z double").select(two_sided_p("z"))
+    got = [r[0] for r in df.collect()]
+    assert all(abs(g - math.erfc(abs(v) / math.sqrt(2))) <= 1e-12 * math.erfc(abs(v) / math.sqrt(2)) + 1e-300 for g, v in zip(got, z)) and got[-2:] == [None, None]
+    p = [1.0, 0.999, 0.5, 0.15, 0.05, 1e-3, 1e-10, 1e-11, 1e-50, 1e-299, 0.0, 2.0]
+    df = spark.createDataFrame([(v,) for v in p] + [(None,), (float("nan"),)], "p double").select(deviate_of_p(F.col("p")))
+    got = [r[0] for r in df.collect()]
+    want = [-NormalDist().inv_cdf(min(max(v, 1e-300), 1 - 1e-12) / 2) for v in p]
+    assert np.allclose(got[:-2], want, rtol=1e-12, atol=1e-15) and got[-2:] == [None, None]
 
 
 def matrix(spark, rows, extra=""):
