@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.files import CATEGORIES, DATASET_ARCHIVE_ENDINGS, base_name, file_category
-from .ranking import number_rows
+from .ranking import lookup, number_rows
 
 
 def filename_batches(df: DataFrame, seq: str, size: int = 50, by: str = "dataset_id") -> DataFrame:
@@ -122,7 +122,8 @@ def full_text(ids: DataFrame, articles: DataFrame, texts: DataFrame) -> DataFram
         F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("doi", "pmid", "pmcid")])).alias("_e"),
     ).where(F.col("_e.v").isNotNull()).select(F.col("_e.k").alias("_k"), F.col("_e.v").alias("_v"), "article_filepath", F.lit(True).alias("_known"))
     rows = asked.join(stored, (F.col("id_type") == F.col("_k")) & (F.col("_value") == F.col("_v")), "left")
-    rows = rows.join(texts.select(F.col("path").alias("_path"), "text"), F.col("article_filepath") == F.col("_path"), "left")
+    # Articles without a path, and identifiers without an article, are spread.
+    rows = lookup(rows, texts.select(F.col("path").alias("_path"), "text"), F.col("article_filepath"), "_path")
     status = (
         F.when(F.col("_known").isNull(), "not_found")
         .when(F.coalesce(F.col("article_filepath"), F.lit("")) == "", "no_filepath")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import ARTICLE_IDS
 from ..functions.text import extraction_prompt, strip
+from ..session import materialize
 from .idjoin import pending_extraction
 from .merge import add_links, assign_keys, replace_descriptors
 
@@ -182,7 +183,11 @@ def extraction_requests(
     if overwrite:
         chosen = with_file if limit is None else with_file.orderBy(*ARTICLE_IDS).limit(limit)
     else:
-        chosen = pending_extraction(articles, facts, model, limit)
+        # Both the requests and the counters need the pending set, so it is found and written once.
+        columns = [*ARTICLE_IDS, "article_filepath", *(["created_at"] if "created_at" in articles.columns else [])]
+        pending = materialize(pending_extraction(articles.select(*columns), facts, model))
+        newest = [F.desc("created_at")] if "created_at" in articles.columns else []
+        chosen = pending if limit is None else pending.orderBy(*newest, *ARTICLE_IDS).limit(limit)
     rows = chosen.join(texts.withColumnRenamed("path", "_path"), F.col("article_filepath") == F.col("_path"), "left")
     requests = rows.where(F.col("text").isNotNull()).select(
         *ARTICLE_IDS, F.lit(model).alias("model"), extraction_prompt(F.col("text"), sections).alias("prompt")
@@ -191,9 +196,7 @@ def extraction_requests(
         F.count("*").alias("n_articles"), F.count_if(F.col("article_filepath").isNull()).alias("skipped_no_fulltext")
     )
     picked = rows.agg(F.count("*").alias("requested"), F.count_if(F.col("text").isNull()).alias("failed"))
-    done = F.lit(0).cast("bigint") if overwrite else F.col("n_articles") - F.col("skipped_no_fulltext") - pending_extraction(
-        articles, facts, model
-    ).agg(F.count("*")).scalar()
+    done = F.lit(0).cast("bigint") if overwrite else F.col("n_articles") - F.col("skipped_no_fulltext") - pending.agg(F.count("*")).scalar()
     counters = totals.select(
         "n_articles", "skipped_no_fulltext", done.alias("already_extracted"),
         picked.select("requested").scalar().alias("requested"), picked.select("failed").scalar().alias("failed"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import finite, is_significant, log_value, sign
 from ..session import materialize
-from .ranking import cumulative, first_by, join_same, last_by, range_splits, with_ranges
+from .ranking import first_by, join_same, last_by, value_ranks
 
 
 def membership(a: DataFrame, b: DataFrame, key: str = "feature_id") -> DataFrame:
@@ -79,7 +79,7 @@ def _correlation(x: Column, y: Column) -> Column:
     return F.when((F.count(x) >= 2) & r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
-def correlate(pairs: DataFrame, by: list[str], splits: dict | None = None, pooled: bool = False) -> DataFrame:
+def correlate(pairs: DataFrame, by: list[str], pooled: bool = False) -> DataFrame:
     """``n``, ``pearson`` and ``spearman`` of the finite ``(x, y)`` pairs of each group.
 
     With ``pooled`` one more row for all pairs together, marked by the column ``pooled``. Both
@@ -87,21 +87,16 @@ def correlate(pairs: DataFrame, by: list[str], splits: dict | None = None, poole
     read by running counts; no group is sorted as a whole.
     """
     finite_pairs = pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(*by, "x", "y")
-    splits = splits or range_splits(finite_pairs, ["x", "y"])
-    ranged = with_ranges(finite_pairs, splits)
     levels = F.array(F.lit(False), F.lit(True)) if pooled else F.array(F.lit(False))
-    rows = ranged.withColumn("pooled", F.explode(levels))
-    rows = rows.select("pooled", *[F.when(~F.col("pooled"), F.col(c)).alias(c) for c in by], "x", "y", "x_range", "y_range")
+    rows = finite_pairs.withColumn("pooled", F.explode(levels))
+    rows = rows.select("pooled", *[F.when(~F.col("pooled"), F.col(c)).alias(c) for c in by], "x", "y")
     keys = ["pooled", *by]
-    axes = [F.struct(F.lit(a).alias("axis"), F.col(a).alias("value"), F.col(f"{a}_range").alias("range")) for a in ("x", "y")]
-    hist = rows.select(*keys, F.inline(F.array(*axes))).groupBy(*keys, "axis", "value", "range").agg(F.count("*").alias("n"))
-    below = cumulative(hist, [*keys, "axis"], "value", "range")
-    ranked = rows.drop("x_range", "y_range")
+    axes = [F.struct(F.lit(a).alias("axis"), F.col(a).alias("value")) for a in ("x", "y")]
+    ranks = value_ranks(rows.select(*keys, F.inline(F.array(*axes))), [*keys, "axis"], "value", "_rank")
+    ranked = rows
     for axis in ("x", "y"):
-        ranks = below.where(F.col("axis") == axis).select(
-            *keys, F.col("value").alias(axis), (F.col("below") + (F.col("n") + 1) / 2).alias(f"_r{axis}")
-        )
-        ranked = join_same(ranked, ranks, keys, exact=[axis])
+        of_axis = ranks.where(F.col("axis") == axis).select(*keys, F.col("value").alias(axis), F.col("_rank").alias(f"_r{axis}"))
+        ranked = join_same(ranked, of_axis, keys, exact=[axis])
     return ranked.groupBy(*keys).agg(
         F.count("*").alias("n"), _correlation(F.col("x"), F.col("y")).alias("pearson"),
         _correlation(F.col("_rx"), F.col("_ry")).alias("spearman"),
@@ -109,15 +104,15 @@ def correlate(pairs: DataFrame, by: list[str], splits: dict | None = None, poole
 
 
 def sample_pairs(a: DataFrame, b: DataFrame, sample_map: dict[str, str] | None = None, log: bool = True,
-                 base: float = 2.0, pseudocount: float = 0.0, seq: str | None = None) -> DataFrame:
+                 base: float = 2.0, pseudocount: float = 0.0, *, seq: str) -> DataFrame:
     """``feature_id, reproduced_sample, published_sample, x, y`` for shared features and paired samples.
 
-    Of a repeated feature the last row (by ``seq``) counts; without ``seq`` rows are distinct.
+    Of a repeated feature the last row counts, by the column ``seq`` of both matrices, which is not NULL.
     """
 
     def prepared(m, value):
-        if seq is not None:
-            m = last_by(m.select("feature_id", "sample", "value", seq), ["feature_id", "sample"], seq)
+        m = m.select("feature_id", "sample", "value", F.col(seq).alias("_seq"))
+        m = last_by(m, ["feature_id", "sample"], "_seq")
         v = log_value(F.col("value"), base, pseudocount) if log else finite(F.col("value"))
         return m.select("feature_id", "sample", v.alias(value))
 
@@ -137,14 +132,15 @@ def sample_pairs(a: DataFrame, b: DataFrame, sample_map: dict[str, str] | None =
 
 
 def compare_quantitative(a: DataFrame, b: DataFrame, sample_map: dict[str, str] | None = None, log: bool = True,
-                         base: float = 2.0, pseudocount: float = 0.0, seq: str | None = None) -> DataFrame:
+                         base: float = 2.0, pseudocount: float = 0.0, *, seq: str) -> DataFrame:
     """Correlations per sample pair and pooled; the pooled row has NULL samples.
 
-    Pairs without any finite value are listed with ``n`` 0.
+    Pairs without any finite value are listed with ``n`` 0. ``seq`` orders the rows of both matrices, see
+    :func:`sample_pairs`.
     """
     names = ["reproduced_sample", "published_sample"]
     # Ranks, splits and sums all read the joined pairs, so the join is done and written once.
-    pairs = materialize(sample_pairs(a, b, sample_map, log, base, pseudocount, seq).select(*names, "x", "y"))
+    pairs = materialize(sample_pairs(a, b, sample_map, log, base, pseudocount, seq=seq).select(*names, "x", "y"))
     found = correlate(pairs, names, pooled=True)
     # Sample pairs are few; those without finite values still get a row.
     every = pairs.select(*names).distinct()
@@ -156,13 +152,15 @@ def compare_quantitative(a: DataFrame, b: DataFrame, sample_map: dict[str, str]
 
 
 def dep_buckets(rep: DataFrame, pub: DataFrame, quantified: DataFrame | None = None, alpha: float = 0.05,
-                lfc: float = 0.0, use_padj: bool = True, seq: str | None = None) -> DataFrame:
-    """One row per feature: significance on both sides, directions, and the bucket of published hits."""
+                lfc: float = 0.0, use_padj: bool = True, *, seq: str) -> DataFrame:
+    """One row per feature: significance on both sides, directions, and the bucket of published hits.
+
+    Of a repeated feature the first row counts, by the column ``seq`` of both tables, which is not NULL.
+    """
     metrics = ["log2fc", "pvalue", "padj", "significant"]
 
     def side(t, name):
-        order = F.col(seq) if seq else F.lit(0)
-        t = first_by(t.select("feature_id", *metrics, order.alias("_seq")), ["feature_id"], "_seq")
+        t = first_by(t.select("feature_id", *metrics, F.col(seq).alias("_seq")), ["feature_id"], "_seq")
         significant = is_significant(*[F.col(c) for c in ("significant", "padj", "pvalue", "log2fc")], alpha, lfc, use_padj)
         return t.select("feature_id", F.lit(name).alias("_side"), significant.alias("_sig"), sign(F.col("log2fc")).alias("_dir"))
 
@@ -208,9 +206,9 @@ def summarize_buckets(buckets: DataFrame) -> DataFrame:
     )
 
 
-def compare_dep(rep, pub, quantified=None, alpha=0.05, lfc=0.0, use_padj=True, seq=None) -> DataFrame:
+def compare_dep(rep, pub, quantified=None, alpha=0.05, lfc=0.0, use_padj=True, *, seq: str) -> DataFrame:
     """Overlap, direction agreement and the four-way split of published hits, as one row."""
-    return summarize_buckets(dep_buckets(rep, pub, quantified, alpha, lfc, use_padj, seq))
+    return summarize_buckets(dep_buckets(rep, pub, quantified, alpha, lfc, use_padj, seq=seq))
 
 
 def fidelity_report(
@@ -218,17 +216,24 @@ def fidelity_report(
     sample_map=None, log=True, base=2.0, pseudocount=0.0, alpha=0.05, lfc=0.0, use_padj=True,
     label_a="version_a", label_b="version_b", matrix_seq=None, dep_seq=None,
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """The comparisons whose two inputs are given, and a note for each that has only one."""
+    """The comparisons whose two inputs are given, and a note for each that has only one.
+
+    Matrices need ``matrix_seq`` and differential-expression tables ``dep_seq``, the columns that order their rows.
+    """
+    if rep_matrix is not None and pub_matrix is not None and matrix_seq is None:
+        raise ValueError("matrix_seq has to name the column that orders the rows of both matrices")
+    if rep_dep is not None and pub_dep is not None and dep_seq is None:
+        raise ValueError("dep_seq has to name the column that orders the rows of both tables")
     sections, notes = {}, []
     if rep_matrix is not None and pub_matrix is not None:
         sections["identification"] = compare_identifications(rep_matrix, pub_matrix)
-        sections["quantitative"] = compare_quantitative(rep_matrix, pub_matrix, sample_map, log, base, pseudocount, matrix_seq)
+        sections["quantitative"] = compare_quantitative(rep_matrix, pub_matrix, sample_map, log, base, pseudocount, seq=matrix_seq)
     elif rep_matrix is not None or pub_matrix is not None:
         notes.append("Both matrices are required for identification/quantitative comparison; skipping those sections.")
     if rep_dep is not None and pub_dep is not None:
         # As in the matrix sections, both matrices must be present for the quantified features to count.
         quantified = rep_matrix if rep_matrix is not None and pub_matrix is not None else None
-        sections["dep"] = compare_dep(rep_dep, pub_dep, quantified, alpha, lfc, use_padj, dep_seq)
+        sections["dep"] = compare_dep(rep_dep, pub_dep, quantified, alpha, lfc, use_padj, seq=dep_seq)
     elif rep_dep is not None or pub_dep is not None:
         notes.append("Both DEP tables are required for the DEP decomposition; skipping that section.")
     if version_a is not None and version_b is not None:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import ARTICLE_IDS, article_key
 from ..functions.text import author_name, short_label
+from ..session import materialize
 from .idjoin import id_lookup, id_pairs
-from .ranking import first_by, number_distinct
+from .ranking import first_by, number_in_order
 
 PARTS = ("journals", "authors", "keywords", "mesh_terms", "datasets")
 
@@ -31,9 +32,9 @@ def _fact(t: DataFrame) -> DataFrame:
 def datasets_of_articles(articles: DataFrame, raw: DataFrame, processed: DataFrame, keep: Sequence[str] = ARTICLE_IDS) -> DataFrame:
     """Datasets named for each article: every raw row, then processed rows not yet listed.
 
-    Raw duplicates stay. Processed rows are listed once, and only if no raw row of the same
+    Raw duplicates stay, each as a row. Processed rows are listed once, and only if no raw row of the same
     article has the same dataset, repository and address. ``articles`` rows must be distinct
-    in ``keep``.
+    in ``keep``. The pairs of articles and facts are written once.
     """
     entry = ["dataset_id", "repository", "url"]
     keep = list(keep)
@@ -42,15 +43,10 @@ def datasets_of_articles(articles: DataFrame, raw: DataFrame, processed: DataFra
         found = id_pairs(articles, _fact(t))
         return found.select(*[F.col(f"l_{c}").alias(c) for c in keep], *[F.col(f"r_{c}").alias(c) for c in entry])
 
-    from_raw, from_processed = pairs(raw), pairs(processed)
-    # One aggregation instead of distinct + anti join: how often is an entry raw, is it processed?
-    both = from_raw.withColumn("_raw", F.lit(1)).unionByName(from_processed.withColumn("_raw", F.lit(0)))
-    counted = both.groupBy(*keep, *entry).agg(F.sum("_raw").cast("int").alias("_raw"))
-    copies = F.sequence(F.lit(1), F.greatest(F.col("_raw"), F.lit(1)))
-    source = F.when(F.col("_raw") > 0, "raw").otherwise("processed")
-    return counted.select(*keep, *entry, source.alias("source"), copies.alias("_copies")).withColumn(
-        "_copies", F.explode("_copies")
-    ).drop("_copies")
+    # Written once: raw rows are read as they are, and processed rows are left out where a raw one says the same.
+    both = materialize(pairs(raw).withColumn("source", F.lit("raw")).unionByName(pairs(processed).withColumn("source", F.lit("processed"))))
+    new = both.groupBy(*keep, *entry).agg(F.max("source").alias("source")).where("source = 'processed'")
+    return both.where("source = 'raw'").unionByName(new)
 
 
 def _json(**fields: Column) -> Column:
@@ -93,20 +89,14 @@ def literature_graph(
         )
     ]
     edges = []
+    found_links, term_tables = [], []
 
     def add(links: DataFrame, terms: DataFrame, key: str, kind: str, edge: str, label: Column, attributes: Column,
             edge_attributes: Column, to_article: bool = False) -> None:
-        """Nodes of one term table that some article uses, and the edges to them."""
-        prefix = F.lit(f"{kind}:")
+        """One term table whose terms some articles use."""
         found = links.join(terms.select(key), key, "left_semi")
-        used = found.select(key).distinct()
-        nodes.append(terms.join(used, key, "left_semi").select(
-            F.concat(prefix, F.col(key).cast("string")).alias("id"), F.lit(kind).alias("type"),
-            label.alias("label"), attributes.alias("attributes")))
-        other = F.concat(prefix, F.col(key).cast("string"))
-        ends = (other, F.col("article")) if to_article else (F.col("article"), other)
-        edges.append(found.select(ends[0].alias("source"), ends[1].alias("target"), F.lit(edge).alias("type"),
-                                  edge_attributes.alias("attributes")))
+        found_links.append(found.select("article", F.lit(kind).alias("kind"), F.col(key).cast("string").alias("term"), edge_attributes.alias("attributes")))
+        term_tables.append((kind, terms.select(F.col(key).cast("string").alias("term"), label.alias("label"), attributes.alias("attributes")), edge, to_article))
 
     def linked(link_table: str, columns: Sequence[str]) -> DataFrame:
         found = id_pairs(ids, tables[link_table].select(*ARTICLE_IDS, *columns))
@@ -140,6 +130,15 @@ def literature_graph(
             _json(mesh_term_id=F.col("mesh_term_id"), descriptor_name=F.col("descriptor_name"),
                   descriptor_ui=_column(tables["mesh_terms"], "descriptor_ui")),
             _json(is_major_topic=F.coalesce(F.col("is_major_topic"), F.lit(False))))
+    if found_links:
+        # The links of all kinds are found by one job and written; nodes, edges and counts only read them.
+        index = materialize(reduce(DataFrame.unionByName, found_links))
+        for kind, terms, edge, to_article in term_tables:
+            of_kind = index.where(F.col("kind") == kind)
+            other = F.concat(F.lit(f"{kind}:"), F.col("term"))
+            nodes.append(terms.join(of_kind.select("term").distinct(), "term", "left_semi").select(other.alias("id"), F.lit(kind).alias("type"), "label", "attributes"))
+            ends = (other, F.col("article")) if to_article else (F.col("article"), other)
+            edges.append(of_kind.select(ends[0].alias("source"), ends[1].alias("target"), F.lit(edge).alias("type"), "attributes"))
     if "datasets" in include:
         used = datasets_of_articles(ids, tables["llm_raw_data"], tables["llm_processed_data"], ["article"])
         key = F.concat(F.lit("dataset:"), F.col("dataset_id"))
@@ -232,7 +231,7 @@ def export_graph(nodes: DataFrame, edges: DataFrame, fmt: str = "standard", path
         head = F.struct("id", "label", F.col("type").alias("group"), title.alias("title"))
         plain = F.struct("id", "label", F.col("type").alias("group"))
         n = F.when(F.get_json_object(a, "$.title").isNotNull(), _merged(plain, a)).otherwise(_merged(head, a))
-        edges = number_distinct(edges, "_no")
+        edges = number_in_order(edges, edges.columns, "_no")
         e = _merged(
             F.struct(F.concat(F.lit("edge_"), (F.col("_no") - 1).cast("string")).alias("id"), F.col("source").alias("from"),
                      F.col("target").alias("to"), F.col("type").alias("label"), F.lit("to").alias("arrows")), a)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import ARTICLE_IDS
@@ -47,6 +47,27 @@ def id_pairs(left: DataFrame, right: DataFrame, ids: Sequence[str] = ARTICLE_IDS
     return met.drop("_l_kind", "_l_id", "_r_kind", "_r_id")
 
 
+def id_left(left: DataFrame, right: DataFrame, ids: Sequence[str] = ARTICLE_IDS) -> DataFrame:
+    """The pairs of id_pairs, and each row of ``left`` without a pair once, with NULL ``r_*``.
+
+    A row of ``left`` comes to the join once for each identifier it has and once for itself; that last one meets nothing
+    and stays if none of the others met anything. So pairs and rows without one come out of the same join.
+    """
+    a = _renamed(left, "l_").withColumn("_row", F.monotonically_increasing_id())
+    alone = F.struct(F.lit(-1).alias("kind"), F.concat(F.lit("\u0000"), F.col("_row").cast("string")).alias("id"))
+    entries = [F.struct(F.lit(i).alias("kind"), F.col(f"l_{k}").cast("string").alias("id")) for i, k in enumerate(ids)]
+    a = a.withColumn("_at", F.explode(F.filter(F.array(alone, *entries), lambda e: e["id"].isNotNull())))
+    a = a.withColumns({"_l_kind": F.col("_at.kind"), "_l_id": F.col("_at.id")}).drop("_at")
+    b = _by_identifier(_renamed(right, "r_"), "r_", ids)
+    met = a.join(b, (F.col("_l_kind") == F.col("_r_kind")) & (F.col("_l_id") == F.col("_r_id")), "left")
+    pair = F.col("_r_kind").isNotNull()
+    met = met.where(pair | (F.col("_l_kind") < 0))
+    for i, key in enumerate(ids[:-1]):
+        met = met.where(~pair | (F.col("_l_kind") <= i) | ~F.coalesce(F.col(f"l_{key}") == F.col(f"r_{key}"), F.lit(False)))
+    met = met.withColumn("_any", F.max(pair).over(Window.partitionBy("_row")))
+    return met.where(pair | ~F.col("_any")).drop("_l_kind", "_l_id", "_r_kind", "_r_id", "_row", "_any")
+
+
 def id_anti(left: DataFrame, right: DataFrame, ids: Sequence[str] = ARTICLE_IDS, also: Sequence[str] = ()) -> DataFrame:
     """Rows of ``left`` that share no identifier (and equal ``also`` columns) with ``right``."""
     out = left
@@ -78,12 +99,11 @@ def id_join(left: DataFrame, right: DataFrame, how: str = "inner", ids: Sequence
         return id_semi(left, right, ids)
     if how == "anti":
         return id_anti(left, right, ids)
-    pairs = id_pairs(left, right, ids)
     if how == "inner":
-        return pairs
+        return id_pairs(left, right, ids)
     if how != "left":
         raise ValueError(f"unsupported join type: {how}")
-    return pairs.unionByName(_renamed(id_anti(left, right, ids), "l_"), allowMissingColumns=True)
+    return id_left(left, right, ids)
 
 
 def id_lookup(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str = "", ids: Sequence[str] = ARTICLE_IDS) -> DataFrame:

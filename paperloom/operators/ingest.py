@@ -13,10 +13,7 @@ from ..session import materialize
 from ..sources.articles_xml import pubmed_records, record_tables
 from .idjoin import id_anti
 from .merge import add_links, assign_keys, resolve_authors, resolve_grants, resolve_mesh, upsert_articles, upsert_datasets, upsert_embeddings
-from .ranking import join_same
-
-# Items of one article are numbered inside the block of 2 ** ITEM_BITS that follows its seq; two positions share the bits.
-ITEM_BITS = 36
+from .ranking import join_same, number_in_order
 
 
 def article_status(records: DataFrame, articles: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -46,24 +43,22 @@ def article_status(records: DataFrame, articles: DataFrame, overwrite: bool = Fa
     return rows.select("seq", status.alias("status"))
 
 
-def _item_seq(*positions: str) -> Column:
-    """Order of an item: its article's seq, then its positions. A position that does not fit is an error."""
-    bits, at = ITEM_BITS // len(positions), F.col("seq").cast("bigint")
-    for p in positions:
-        fits = F.when(F.col(p) < (1 << bits), F.col(p)).otherwise(F.raise_error(F.lit(f"{p} does not fit {bits} bits")).cast("bigint"))
-        at = F.shiftleft(at, bits) + fits
-    return at.alias("seq")
+def _in_order(items: DataFrame, *positions: str) -> DataFrame:
+    """Items with ``doc``, the seq of their article, and ``seq``, their number in the order of articles and positions."""
+    return number_in_order(items.withColumnRenamed("seq", "doc"), ["doc", *positions], "seq")
 
 
 def ingest_articles(
     tables: dict[str, DataFrame], raw_xml: DataFrame, overwrite: bool = False, xml_col: str = "xml",
     pmid_col: str | None = None, embedder: Callable[[Column], Column] | None = None, embedding_model: str | None = None,
+    partitions: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All literature tables after one batch of PubMed documents ``(seq, xml)``, and outcome counters.
 
-    The parsed records are materialised once, since a dozen tables are derived from them.
+    ``seq`` holds distinct integers of any size; items are ordered by it and their positions. The parsed records are
+    materialised once, since a dozen tables are derived from them, and so are the numbered items of each kind.
     """
-    records = materialize(pubmed_records(raw_xml, xml_col, "seq", pmid_col))
+    records = materialize(pubmed_records(raw_xml, xml_col, "seq", pmid_col, partitions))
     status = materialize(article_status(records, tables["articles"], overwrite))
     accepted = status.where(F.col("status").isin("newly_processed", "overwritten")).select("seq")
     parsed = {name: t.join(accepted, "seq", "left_semi") for name, t in record_tables(records).items() if name != "errors"}
@@ -78,54 +73,43 @@ def ingest_articles(
     out["articles"] = upsert_articles(tables["articles"], articles)
     ids = articles.select("seq", *ARTICLE_IDS)
 
-    def links(table, items, position, payload, **kwargs):
-        rows = items.join(ids, "seq").withColumn("_at", _item_seq(position)).drop("seq").withColumnRenamed("_at", "seq")
+    of_doc = ids.withColumnRenamed("seq", "doc")
+
+    def links(table, items, payload, **kwargs):
+        rows = items.join(of_doc, "doc").select(*ARTICLE_IDS, *payload, "seq")
         # Without overwriting, accepted articles share no identifier, so their links are consistent.
-        return add_links(
-            tables[table], rows.select(*ARTICLE_IDS, *payload, "seq"), payload[:1], id_col="id", consistent=not overwrite, **kwargs
-        )
+        return add_links(tables[table], rows, payload[:1], id_col="id", consistent=not overwrite, **kwargs)
 
-    people = parsed["authors"].withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("author_position"))
+    people = _in_order(parsed["authors"], "author_position")
     out["author_info"], author_ids = resolve_authors(tables["author_info"], people)
     author_ids = materialize(people.select("doc", "seq", "author_position").join(author_ids, "seq"))
-    placed = author_ids.select(F.col("doc").alias("seq"), "author_position", "author_id", F.lit(False).alias("is_corresponding"))
-    out["article_authors"] = links("article_authors", placed, "author_position", ["author_id", "author_position", "is_corresponding"])
+    out["article_authors"] = links("article_authors", author_ids.withColumn("is_corresponding", F.lit(False)), ["author_id", "author_position", "is_corresponding"])
 
-    places = parsed["affiliations"]
-    numbered = places.withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("author_position", "affiliation_position"))
-    out["affiliations"], place_ids = assign_keys(tables["affiliations"], numbered.select("affiliation_text", "seq"), ["affiliation_text"], "affiliation_id")
-    pairs = numbered.join(place_ids, "affiliation_text").join(author_ids.drop("seq"), ["doc", "author_position"])
+    places = _in_order(parsed["affiliations"], "author_position", "affiliation_position")
+    out["affiliations"], place_ids = assign_keys(tables["affiliations"], places.select("affiliation_text", "seq"), ["affiliation_text"], "affiliation_id")
+    pairs = places.join(place_ids, "affiliation_text").join(author_ids.drop("seq"), ["doc", "author_position"])
     out["author_affiliations"] = add_links(
         tables["author_affiliations"], pairs.select("author_id", "affiliation_id", "seq"), ["affiliation_id"],
         null_safe=["author_id"], id_col="id",
     )
 
-    def dimension(name, items, position, column, table, id_col, link):
-        ordered = items.withColumn("doc", F.col("seq")).withColumn("seq", _item_seq(position))
-        out[table], keys = assign_keys(tables[table], ordered.select(column, "seq"), [column], id_col)
-        linked = ordered.join(keys, column).select(F.col("doc").alias("seq"), position, id_col)
-        out[link] = links(link, linked, position, [id_col])
+    words = _in_order(parsed["keywords"], "keyword_position")
+    out["keywords"], word_ids = assign_keys(tables["keywords"], words.select("keyword", "seq"), ["keyword"], "keyword_id")
+    out["article_keywords"] = links("article_keywords", words.join(word_ids, "keyword"), ["keyword_id"])
 
-    dimension("keywords", parsed["keywords"], "keyword_position", "keyword", "keywords", "keyword_id", "article_keywords")
-
-    grants = parsed["grants"].withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("grant_position"))
+    grants = _in_order(parsed["grants"], "grant_position")
     out["grants"], grant_ids = resolve_grants(tables["grants"], grants)
-    linked = grants.select("doc", "seq", "grant_position").join(grant_ids, "seq")
-    out["article_grants"] = links("article_grants", linked.select(F.col("doc").alias("seq"), "grant_position", "grant_id"), "grant_position", ["grant_id"])
+    out["article_grants"] = links("article_grants", grants.select("doc", "seq").join(grant_ids, "seq"), ["grant_id"])
 
-    terms = parsed["mesh_terms"].withColumn("doc", F.col("seq")).withColumn("seq", _item_seq("mesh_position"))
+    terms = _in_order(parsed["mesh_terms"], "mesh_position")
     out["mesh_terms"], term_ids = resolve_mesh(tables["mesh_terms"], terms)
     term_ids = materialize(terms.select("doc", "seq", "mesh_position", "is_major_topic").join(term_ids, "seq"))
-    headed = term_ids.select(F.col("doc").alias("seq"), "mesh_position", "mesh_term_id", "is_major_topic")
-    out["article_mesh_terms"] = materialize(
-        links("article_mesh_terms", headed, "mesh_position", ["mesh_term_id", "is_major_topic"], null_safe=["doi", "pmid"])
-    )
+    out["article_mesh_terms"] = materialize(links("article_mesh_terms", term_ids, ["mesh_term_id", "is_major_topic"], null_safe=["doi", "pmid"]))
 
-    qualifiers = parsed["mesh_qualifiers"].withColumn("doc", F.col("seq"))
-    qualifiers = qualifiers.withColumn("seq", _item_seq("mesh_position", "qualifier_position"))
+    qualifiers = _in_order(parsed["mesh_qualifiers"], "mesh_position", "qualifier_position")
     out["mesh_qualifiers"], qualifier_ids = assign_keys(tables["mesh_qualifiers"], qualifiers.select("qualifier_name", "seq"), ["qualifier_name"], "qualifier_id")
     headings = join_same(
-        term_ids.select("doc", "mesh_position", "mesh_term_id").join(ids.withColumnRenamed("seq", "doc"), "doc"),
+        term_ids.select("doc", "mesh_position", "mesh_term_id").join(of_doc, "doc"),
         out["article_mesh_terms"].select("doi", "pmid", "mesh_term_id", F.col("id").alias("article_mesh_term_id")),
         ["doi", "pmid"], exact=["mesh_term_id"],
     )

@@ -2,7 +2,8 @@
 
 A group (or the whole table) may be far larger than one task should see, so positions are
 built in two levels: rows are split into ordered chunks, each chunk is numbered on its own,
-and the chunk sizes (a small table) give the offset of each chunk.
+and the chunk sizes (a small table) give the offset of each chunk. Chunks of values are the ranges that
+a range partitioning makes, so there are as many as the data fills.
 """
 
 from __future__ import annotations
@@ -10,17 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Rows per chunk when numbering by an integer sequence: 2 ** CHUNK_BITS.
 CHUNK_BITS = 20
-# Number of value ranges used when ranking by a measured value.
-RANGES = 512
-# A key with more rows than this is "hot" if it is also among the HOT_KEYS most frequent keys.
-HOT_ROWS = 100_000
-HOT_KEYS = 10_000
 
 
 def first_by(df: DataFrame, keys: Sequence[str], seq: Column | str) -> DataFrame:
@@ -43,15 +40,6 @@ def _one_by(df, keys, seq, pick):
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with very many rows: never more than ``limit`` keys, so safe to broadcast.
-
-    A key outside the ``limit`` most frequent ones holds less than 1/``limit`` of all rows.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows)
-    return counts.orderBy(F.desc("_rows"), *keys).limit(limit).drop("_rows")
-
-
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", exact: Sequence[str] = ()) -> DataFrame:
     """Join in which NULL keys are equal; adds the non-key columns of ``right``.
 
@@ -120,44 +108,25 @@ def number_rows(
     )
 
 
-def number_distinct(df: DataFrame, name: str = "row_no", chunks: int = 4096) -> DataFrame:
-    """1-based number of each distinct row in an arbitrary but repeatable order."""
-    columns = df.columns
-    chunked = df.withColumn("_chunk", F.pmod(F.xxhash64(*columns), F.lit(chunks)))
-    sizes = chunked.groupBy("_chunk").agg(F.count("*").alias("_size"))
-    offsets = _sum_before(sizes, [], "_chunk").drop("_size")
-    inside = Window.partitionBy("_chunk").orderBy(*columns)
-    ranked = chunked.withColumn("_in_chunk", F.row_number().over(inside))
-    return join_same(ranked, offsets, [], exact=["_chunk"]).select(*columns, (F.col("_in_chunk") + F.col("_before")).alias(name))
+def in_ranges(df: DataFrame, columns: Sequence[str], name: str = "range") -> DataFrame:
+    """``df`` in the order of ``columns``, cut into ranges whose number is in ``name``.
+
+    The cut is written, so that later reads see the same ranges. Rows that are equal in ``columns`` share a
+    range; there are as many ranges as the rows fill shuffle partitions.
+    """
+    return materialize(df.repartitionByRange(*[F.col(f"`{c}`") for c in columns]).withColumn(name, F.spark_partition_id()))
 
 
-def range_splits(df: DataFrame, columns: Sequence[str], ranges: int = RANGES) -> dict[str, list[float]]:
-    """Split points that cut each column into about equal row counts.
+def number_in_order(df: DataFrame, columns: Sequence[str], name: str = "row_no") -> DataFrame:
+    """Add the 1-based position of each row in the order of ``columns``, whatever their types and values.
 
-    One aggregate whose result is at most ``ranges`` numbers per column. The points only
-    steer how work is divided: results do not depend on them.
+    Rows that are equal in ``columns`` get neighbouring numbers.
     """
-    points = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    row = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), points, 4 * ranges).alias(c) for c in columns]).first()
-    return {
-        c: [float("-inf"), *sorted({float(p) for p in row[c] or [] if abs(p) != float("inf")}), float("inf")]
-        for c in columns
-    }
-
-
-def with_ranges(df: DataFrame, splits: dict[str, list[float]], suffix: str = "_range") -> DataFrame:
-    """Add the range number of each split column as ``<column><suffix>``."""
-    usable = {c: s for c, s in splits.items() if len(s) >= 3}
-    for c in splits:
-        if c not in usable:
-            df = df.withColumn(c + suffix, F.when(F.col(f"`{c}`").isNotNull(), F.lit(0.0)))
-    if not usable:
-        return df
-    cutter = Bucketizer(
-        splitsArray=list(usable.values()), inputCols=list(usable), outputCols=[c + suffix for c in usable],
-        handleInvalid="keep",
-    )
-    return cutter.transform(df)
+    ranged = in_ranges(df, columns, "_range")
+    offsets = _sum_before(ranged.groupBy("_range").agg(F.count("*").alias("_size")), [], "_range").drop("_size")
+    inside = Window.partitionBy("_range").orderBy(*[F.col(f"`{c}`") for c in columns])
+    ranked = ranged.withColumn("_in_range", F.row_number().over(inside))
+    return join_same(ranked, offsets, [], exact=["_range"]).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_in_range") + F.col("_before")).alias(name))
 
 
 def cumulative(hist: DataFrame, by: Sequence[str], value: str, range_col: str, count: str = "n") -> DataFrame:
@@ -172,16 +141,18 @@ def cumulative(hist: DataFrame, by: Sequence[str], value: str, range_col: str, c
     )
 
 
-def avg_rank(df: DataFrame, by: Sequence[str], col: str, name: str = "rank", splits: dict | None = None) -> DataFrame:
-    """Add the 1-based rank of ``col`` inside ``by``, ties sharing their mean rank.
+def value_ranks(df: DataFrame, by: Sequence[str], col: str, name: str = "rank") -> DataFrame:
+    """``by, col, name``: the 1-based rank of each distinct non-NULL value inside ``by``, ties sharing their mean rank.
 
     Equal values are counted before anything is ordered, so neither a large group nor a
-    very frequent value ends up in one task. NULL values get a NULL rank.
+    very frequent value ends up in one task.
     """
     by = list(by)
-    splits = range_splits(df, [col]) if splits is None else splits
-    ranged = with_ranges(df.select(*by, col).where(F.col(col).isNotNull()), {col: splits[col]})
-    hist = ranged.groupBy(*by, col, f"{col}_range").agg(F.count("*").alias("n"))
-    below = cumulative(hist, by, col, f"{col}_range")
-    ranks = below.select(*by, col, (F.col("below") + (F.col("n") + 1) / 2).alias(name))
-    return join_same(df, ranks, by, "left", exact=[col])
+    counted = df.where(F.col(f"`{col}`").isNotNull()).groupBy(*by, col).agg(F.count("*").alias("_n"))
+    below = cumulative(in_ranges(counted, [*by, col], "_range"), by, col, "_range", "_n")
+    return below.select(*by, col, (F.col("below") + (F.col("_n") + 1) / 2).alias(name))
+
+
+def avg_rank(df: DataFrame, by: Sequence[str], col: str, name: str = "rank") -> DataFrame:
+    """Add the 1-based rank of ``col`` inside ``by``, ties sharing their mean rank; NULL values get a NULL rank."""
+    return join_same(df, value_ranks(df.select(*by, col), by, col, name), list(by), "left", exact=[col])

@@ -12,32 +12,41 @@ from pyspark.sql import functions as F
 from ..functions import injection as inj
 
 
-def _counts(df: DataFrame, text: str, max_chars: int | None, min_base64_len: int) -> DataFrame:
-    """Add one match count per category, and the scanned text's length."""
+def _counts(df: DataFrame, text: str, max_chars: int | None, min_base64_len: int, hits: bool = False) -> DataFrame:
+    """Add one match count per category, and the scanned text's length; with ``hits`` the numbers of the patterns that match."""
     value = F.coalesce(F.col(text), F.lit(""))
     scanned = value if max_chars is None else F.substring(value, 1, max_chars)
     base = df.withColumn("_text", scanned).withColumn("_low", inj.search_form(F.col("_text")))
     patterns = (*inj.PATTERNS, inj.base64_pattern(min_base64_len))
-    per_category: dict[str, list[Column]] = {c: [] for c in inj.WEIGHTS}
-    for p in patterns:
-        per_category[p.category].append(inj.pattern_count(F.col("_text"), F.col("_low"), p))
-    totals = {c: reduce(lambda a, b: a + b, counts).cast("bigint") for c, counts in per_category.items()}
+    counts = [inj.pattern_count(F.col("_text"), F.col("_low"), p).alias(f"p{i}") for i, p in enumerate(patterns)]
     row = F.struct(
         F.char_length("_text").alias("n_chars"),
-        (F.char_length(value) > F.char_length("_text")).alias("truncated"),
-        *[total.alias(f"n_{c}") for c, total in totals.items()],
+        (F.char_length(value) > F.char_length("_text")).alias("truncated"), *counts,
     )
     # As a generated row the counts are plain columns afterwards: a filter on the score is not
     # pushed below them, which would run every regular expression a second time.
-    return base.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(row)))
+    counted = base.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(row)))
+    totals = [
+        reduce(lambda a, b: a + b, [F.col(f"p{i}") for i, p in enumerate(patterns) if p.category == c]).cast("bigint").alias(f"n_{c}") for c in inj.WEIGHTS
+    ]
+    matched = [F.filter(F.array(*[F.when(F.col(f"p{i}") > 0, i) for i in range(len(patterns))]), lambda i: i.isNotNull()).alias("_hits")] if hits else []
+    return counted.select(*[F.col(f"`{c}`") for c in df.columns], "n_chars", "truncated", *totals, *matched)
 
 
-def scan_signal(df: DataFrame, text: str = "text", max_chars: int | None = None, min_base64_len: int = 48) -> DataFrame:
+def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df if partitions is None else df.repartition(partitions)
+
+
+def scan_signal(
+    df: DataFrame, text: str = "text", max_chars: int | None = None, min_base64_len: int = 48, partitions: int | None = None
+) -> DataFrame:
     """Replace ``text`` by its signal: counts per category, score, level, matched categories.
 
-    Only column expressions, so it also runs unchanged on a streaming frame.
+    Only column expressions, so it also runs unchanged on a streaming frame. With ``partitions`` the rows of ``df`` are
+    first dealt out over so many tasks, which costs one exchange of them: for inputs that come in fewer files and row groups
+    than there are cores, because a scan takes far longer than an exchange.
     """
-    counted = _counts(df, text, max_chars, min_base64_len).drop(text)
+    counted = _counts(_dealt(df, partitions), text, max_chars, min_base64_len).drop(text)
     names = list(inj.WEIGHTS)
     total = reduce(lambda a, b: a + b, [F.col(f"n_{c}") for c in names])
     weighted = reduce(lambda a, b: a + b, [F.col(f"n_{c}") * F.lit(inj.WEIGHTS[c]) for c in names])
@@ -61,16 +70,16 @@ def scan_spans(
     max_per_category: int | None = None,
     max_chars: int | None = None,
     min_base64_len: int = 48,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per matched span: offsets, label and snippet; all of them, or ``max_per_category`` a category.
 
-    Spans are taken in pattern order and numbered by start. Python ``re`` runs only on the
-    texts in which the column expressions found a match; ``truncated`` marks a category with
-    more matches than are listed.
+    Spans are taken in pattern order and numbered by start. Python ``re`` runs only those patterns, on those
+    texts, for which the column expressions counted a match; ``truncated`` marks a category with
+    more matches than are listed. ``partitions`` as in :func:`scan_signal`.
     """
-    counted = _counts(df.select(id_col, text), text, max_chars, min_base64_len)
-    found = F.filter(F.array(*[F.when(F.col(f"n_{c}") > 0, c) for c in inj.WEIGHTS]), lambda x: x.isNotNull())
-    hits = counted.select(id_col, text, found.alias("_found")).where(F.size("_found") > 0)
+    counted = _counts(_dealt(df.select(id_col, text), partitions), text, max_chars, min_base64_len, hits=True)
+    hits = counted.select(id_col, text, "_hits").where(F.size("_hits") > 0)
     patterns = (*inj.PATTERNS, inj.base64_pattern(min_base64_len))
     schema = (
         f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, category string, span_no int, pattern string, "
@@ -92,12 +101,11 @@ def scan_spans(
 
         for batch in batches:
             rows = []
-            for key, body, matched in zip(batch[id_col], batch[text], batch["_found"]):
+            for key, body, matched in zip(batch[id_col], batch[text], batch["_hits"]):
                 body = body if max_chars is None else body[:max_chars]
-                spans, counts, matched = {}, {}, set(matched)
-                for category, label, regex in compiled:
-                    if category not in matched:
-                        continue
+                spans, counts = {}, {}
+                for i in matched:
+                    category, label, regex = compiled[i]
                     kept = spans.setdefault(category, [])
                     for m in regex.finditer(body):
                         counts[category] = counts.get(category, 0) + 1

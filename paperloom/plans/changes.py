@@ -351,7 +351,7 @@ _OK = "row_id % 50 <> 49"
       CASE WHEN row_id % 13 <> 5 THEN 'AIM: ' || trim(abstract, ' ' || chr(10)) END AS abstract, publication_date, 'Journal ' || journal_id AS journal_name, language
     FROM ({_XML_ARTICLES}) a WHERE {_OK}""", "articles"))
 def pubmed_articles(t):
-    a = articles_xml.pubmed_tables(pubmed_xml(t), "xml")["articles"]
+    a = articles_xml.pubmed_tables(pubmed_xml(t), "xml", partitions=t.partitions)["articles"]
     return a.select("seq", "doi", "pmid", "pmcid", "title", "abstract", "publication_date", "journal_name", "language")
 
 
@@ -360,14 +360,14 @@ def pubmed_articles(t):
       CASE WHEN o_custkey % 2 = 0 THEN CAST(o_custkey % 400 AS STRING) END AS author_orcid FROM (SELECT DISTINCT row_id, o_custkey FROM ({_AUTHORED}) o)
     WHERE {_OK}"""))
 def pubmed_authors(t):
-    return articles_xml.pubmed_tables(pubmed_xml(t), "xml")["authors"].select("seq", "author_position", "last_name", "author_orcid")
+    return articles_xml.pubmed_tables(pubmed_xml(t), "xml", partitions=t.partitions)["authors"].select("seq", "author_position", "last_name", "author_orcid")
 
 
 @query("pubmed_terms", oracle(
     f"""SELECT row_id AS seq, 'mesh' AS kind, 'Term ' || row_id % 40 AS name FROM articles WHERE {_OK} UNION ALL SELECT row_id, 'qualifier', 'q' || row_id % 3 FROM articles WHERE {_OK}
     UNION ALL SELECT row_id, 'keyword', 'kw' || row_id % 30 FROM articles WHERE {_OK} UNION ALL SELECT row_id, 'keyword', 'common' FROM articles WHERE {_OK}""", "articles"))
 def pubmed_terms(t):
-    p = articles_xml.pubmed_tables(pubmed_xml(t), "xml")
+    p = articles_xml.pubmed_tables(pubmed_xml(t), "xml", partitions=t.partitions)
     return (
         p["mesh_terms"].select("seq", F.lit("mesh").alias("kind"), F.col("descriptor_name").alias("name"))
         .unionByName(p["mesh_qualifiers"].select("seq", F.lit("qualifier").alias("kind"), F.col("qualifier_name").alias("name")))
@@ -378,7 +378,7 @@ def pubmed_terms(t):
 @query("pubmed_snapshot", oracle(
     f"SELECT row_id AS seq, pmid, doi, pmcid, publication_date FROM ({_XML_ARTICLES}) a WHERE {_OK}", "articles"))
 def pubmed_snapshot(t):
-    s = articles_xml.pubmed_snapshot(pubmed_xml(t), "xml").where("error IS NULL")
+    s = articles_xml.pubmed_snapshot(pubmed_xml(t), "xml", partitions=t.partitions).where("error IS NULL")
     return s.select("seq", "pmid", "doi", "pmcid", "publication_date")
 
 
@@ -400,7 +400,7 @@ _STATUS = """SELECT row_id AS seq, CASE WHEN row_id % 50 = 49 THEN 'failed' WHEN
 
 @query("ingest_status", oracle(_STATUS, "articles"))
 def ingest_status(t):
-    records = articles_xml.pubmed_records(pubmed_xml(t), "xml")
+    records = articles_xml.pubmed_records(pubmed_xml(t), "xml", partitions=t.partitions)
     return ingest.article_status(records, _stored(t)["articles"])
 
 
@@ -409,7 +409,7 @@ def ingest_status(t):
     count(*) FILTER (status = 'overwritten') AS overwritten, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped_no_abstract') AS skipped_no_abstract
     FROM ({_STATUS}) s""", "articles"))
 def ingest_counters(t):
-    records = articles_xml.pubmed_records(pubmed_xml(t), "xml")
+    records = articles_xml.pubmed_records(pubmed_xml(t), "xml", partitions=t.partitions)
     return ingest.ingest_counters(ingest.article_status(records, _stored(t)["articles"]))
 
 
@@ -428,7 +428,7 @@ _ACCEPTED = f"SELECT a.row_id, coalesce(a.doi, 'pmid:' || CAST(a.row_id + 100000
     UNION ALL SELECT 'author_info', count(DISTINCT o.o_custkey % 400) FROM ({_AUTHORED}) o JOIN ({_ACCEPTED}) a ON a.row_id = o.row_id
     UNION ALL SELECT 'author_affiliations', count(*) FROM (SELECT DISTINCT o.o_custkey % 400, o.o_custkey % 50 FROM ({_AUTHORED}) o JOIN ({_ACCEPTED}) a ON a.row_id = o.row_id)""", "articles"))
 def ingest_articles(t):
-    out, _ = ingest.ingest_articles(_stored(t), pubmed_xml(t))
+    out, _ = ingest.ingest_articles(_stored(t), pubmed_xml(t), partitions=t.partitions)
     counted = None
     for name in ("articles", "journals", "keywords", "article_keywords", "mesh_terms", "article_mesh_terms", "article_mesh_qualifiers", "article_authors",
                  "author_info", "author_affiliations"):
@@ -437,6 +437,29 @@ def ingest_articles(t):
     return counted
 
 
+# Seven articles with more than a thousand authors each, numbered beyond 2^28; some people appear several times in one of them.
+_CROWDS = """SELECT o_orderkey % 7 AS k, o_orderkey, 'L' || CAST(o_custkey AS STRING) AS last_name FROM orders"""
+
+
+@query("ingest_many_authors", f"""WITH a AS (SELECT k, k * 268435456 + 268435457 AS seq, last_name, row_number() OVER (PARTITION BY k ORDER BY o_orderkey) AS author_position FROM ({_CROWDS}) c),
+    n AS (SELECT last_name, row_number() OVER (ORDER BY min(seq * 1000000 + author_position)) AS author_id FROM a GROUP BY last_name)
+    SELECT CAST(seq AS STRING) AS pmid, last_name, author_id, CAST(min(author_position) AS INT) AS author_position FROM a JOIN n USING (last_name) GROUP BY ALL""")
+def ingest_many_authors(t):
+    from .. import schemas
+
+    lit, seq = F.lit, F.col("k") * 268435456 + 268435457
+    people = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "last_name"))), lambda p: F.concat(
+        lit("<Author><LastName>"), p["last_name"], lit("</LastName><ForeName>F</ForeName></Author>")))
+    rows = t.sql(_CROWDS).groupBy(seq.alias("seq")).agg(F.array_join(people, "").alias("people"))
+    xml = F.concat(
+        lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("seq").cast("string"), lit("</PMID><Article><Journal><Title>J</Title></Journal><ArticleTitle>T</ArticleTitle>"),
+        lit("<Abstract><AbstractText>A</AbstractText></Abstract><AuthorList>"), F.col("people"), lit("</AuthorList></Article></MedlineCitation></PubmedArticle>"))
+    names = ("journals", "articles", "author_info", "affiliations", "author_affiliations", "article_authors", "keywords", "article_keywords", "grants", "article_grants",
+             "mesh_terms", "mesh_qualifiers", "article_mesh_terms", "article_mesh_qualifiers")
+    out, _ = ingest.ingest_articles({n: schemas.empty_table(t.spark, n) for n in names}, rows.select("seq", xml.alias("xml")))
+    return out["article_authors"].join(out["author_info"].select("author_id", "last_name"), "author_id").select("pmid", "last_name", "author_id", "author_position")
+
+
 _JATS = """SELECT doc_id, trim(replace(replace(replace(replace(substr(text, 1, 60), '&', ' '), '<', ' '), '>', ' '), chr(10), ' ')) AS head,
     trim(replace(replace(replace(replace(text, '&', ' '), '<', ' '), '>', ' '), chr(10), ' ')) AS body FROM documents"""
 
@@ -452,7 +475,7 @@ def jats_text(t):
                          c("doc_id").cast("string"), lit("</p></notes><ref-list><ref/><ref/></ref-list></back></article>"))
     plain = F.concat(front, lit("<body><p>"), c("body"), lit("</p></body></article>"))
     xml = F.when(n == 0, sectioned).when(n == 1, plain).otherwise(F.concat(lit("<article><body>"), c("body")))
-    parsed = articles_xml.jats_text(t.sql(_JATS).select("doc_id", xml.alias("xml")), "xml")
+    parsed = articles_xml.jats_text(t.sql(_JATS).select("doc_id", xml.alias("xml")), "xml", partitions=t.partitions)
     return parsed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
@@ -603,7 +626,7 @@ def _file(df, **options):
 
 
 # Each line of an order is one row of a matrix with six samples, most cells empty; a part occurs in many rows.
-_WIDE = "SELECT *, l_orderkey * 8 + l_linenumber AS place FROM lineitem"
+_WIDE = "SELECT *, (l_orderkey * 8 + l_linenumber) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS place FROM lineitem"
 
 
 def _wide(t, feature, sample):

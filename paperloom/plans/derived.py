@@ -153,6 +153,11 @@ class Tables:
         self._frames: dict[str, DataFrame] = {}
         self._sizes: dict[str, int] = {}
 
+    @property
+    def partitions(self) -> int:
+        """Tasks over which rows of costly work are dealt: what the session is set up for."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def size(self, name: str) -> int:
         if name not in self._sizes:
             self._sizes[name] = self[name].count()

@@ -167,12 +167,16 @@ def id_join_inner(t):
     return pairs.select(F.col("l_row_id").alias("row_id"), F.col("r_id").alias("fact_id"))
 
 
+_MOVED = """SELECT CASE WHEN vec_id % 4 = 1 THEN doi || 'x' ELSE doi END AS doi, CASE WHEN vec_id % 4 = 1 THEN NULL WHEN vec_id % 4 = 2 THEN CAST(vec_id + 100001 AS STRING) ELSE pmid END AS pmid,
+    CASE WHEN vec_id % 4 = 1 THEN NULL ELSE pmcid END AS pmcid, vec_id FROM article_embeddings WHERE embedding IS NOT NULL"""
+
+
 @query("id_join_left", oracle(
-    f"""SELECT f.vec_id, a.row_id FROM article_embeddings f LEFT JOIN (SELECT * FROM articles WHERE row_id % 2 = 0) a ON {SAME}
-    WHERE f.embedding IS NOT NULL""", "articles", "article_embeddings"))
+    f"""SELECT f.vec_id, a.row_id FROM ({_MOVED}) f LEFT JOIN articles a ON {SAME}""", "articles", "article_embeddings"))
 def id_join_left(t):
-    left = t["article_embeddings"].where("embedding IS NOT NULL").select("doi", "pmid", "pmcid", "vec_id")
-    right = _ids(t, "articles", "row_id").where("row_id % 2 = 0")
+    """Vectors whose identifiers are those of an article, of two articles, of none that is stored, or missing."""
+    left = t.sql(_MOVED)
+    right = _ids(t, "articles", "row_id")
     return idjoin.id_join(left, right, "left").select(F.col("l_vec_id").alias("vec_id"), F.col("r_row_id").alias("row_id"))
 
 

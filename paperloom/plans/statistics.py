@@ -208,7 +208,7 @@ _Q = """pairs AS (SELECT r.sample, log2(r.value) AS x, log2(p.value) AS y FROM m
       FROM ranks GROUP BY sample
     UNION ALL SELECT NULL, NULL, count(*), round(corr(x, y), 8), round(corr(px, py), 8) FROM ranks""", *_M, extra=_Q))
 def compare_quantitative(t):
-    q = fidelity.compare_quantitative(t[_M[0]], t[_M[1]])
+    q = fidelity.compare_quantitative(t[_M[0]], t[_M[1]], seq="feature_id")
     return q.select("reproduced_sample", "published_sample", "n", F.round("pearson", 8).alias("pearson"), F.round("spearman", 8).alias("spearman"))
 
 
@@ -219,7 +219,7 @@ def compare_quantitative(t):
     UNION ALL SELECT NULL, NULL, count(*), round(corr(r.value, p.value), 8) FROM matrix_reproduced r JOIN matrix_published p
       ON p.feature_id = r.feature_id AND ((r.sample = 's0' AND p.sample = 's3') OR (r.sample = 's1' AND p.sample = 's1'))""", *_M))
 def compare_quantitative_mapped(t):
-    q = fidelity.compare_quantitative(t[_M[0]], t[_M[1]], {"s0": "s3", "s1": "s1"}, log=False)
+    q = fidelity.compare_quantitative(t[_M[0]], t[_M[1]], {"s0": "s3", "s1": "s1"}, log=False, seq="feature_id")
     return q.select("reproduced_sample", "published_sample", "n", F.round("pearson", 8).alias("pearson"))
 
 
@@ -242,25 +242,79 @@ _DEPS = f"""b AS (SELECT coalesce(r.feature_id, p.feature_id) AS feature_id, {_S
       count(*) FILTER (bucket = 'quantified_not_significant') AS quantified_not_significant,
       count(*) FILTER (bucket = 'significant_different_direction') AS significant_different_direction FROM c""", *_D, "matrix_reproduced", extra=_DEPS))
 def compare_dep(t):
-    return fidelity.compare_dep(t[_D[0]], t[_D[1]], t["matrix_reproduced"])
+    return fidelity.compare_dep(t[_D[0]], t[_D[1]], t["matrix_reproduced"], seq="feature_id")
 
 
 @query("dep_buckets", oracle("SELECT feature_id, rep AS rep_significant, pub AS pub_significant, bucket FROM c", *_D, "matrix_reproduced", extra=_DEPS))
 def dep_buckets(t):
-    b = fidelity.dep_buckets(t[_D[0]], t[_D[1]], t["matrix_reproduced"])
+    b = fidelity.dep_buckets(t[_D[0]], t[_D[1]], t["matrix_reproduced"], seq="feature_id")
     return b.where("feature_id IS NOT NULL").join(
         t[_D[0]].select("feature_id").union(t[_D[1]].select("feature_id")).distinct(), "feature_id", "left_semi"
     ).select("feature_id", "rep_significant", "pub_significant", "bucket")
 
 
-@query("fidelity_report", oracle(
-    """SELECT 'identification' AS section, count(*) FILTER (a AND b) AS n FROM (SELECT x.feature_id IS NOT NULL AS a, y.feature_id IS NOT NULL AS b
-      FROM (SELECT DISTINCT feature_id FROM matrix_reproduced) x FULL JOIN (SELECT DISTINCT feature_id FROM matrix_published) y ON x.feature_id = y.feature_id)
-    UNION ALL SELECT 'dep', count(*) FILTER (bucket = 'not_quantified') FROM c""", *_M, *_D, extra=_DEPS))
+_SECTIONS = """SELECT 'identification' AS section, 'n_shared' AS name, CAST(count(*) FILTER (a AND b) AS DOUBLE) AS value FROM members
+    UNION ALL SELECT 'identification', 'jaccard', round(CAST(count(*) FILTER (a AND b) AS DOUBLE) / count(*), 8) FROM members
+    UNION ALL SELECT 'quantitative', sample || ' n', count(*) FROM ranks GROUP BY sample
+    UNION ALL SELECT 'quantitative', sample || ' pearson', round(corr(x, y), 8) FROM ranks GROUP BY sample
+    UNION ALL SELECT 'quantitative', sample || ' spearman', round(corr(rx, ry), 8) FROM ranks GROUP BY sample
+    UNION ALL SELECT 'quantitative', 'pooled n', count(*) FROM ranks
+    UNION ALL SELECT 'quantitative', 'pooled pearson', round(corr(x, y), 8) FROM ranks
+    UNION ALL SELECT 'quantitative', 'pooled spearman', round(corr(px, py), 8) FROM ranks
+    UNION ALL SELECT 'dep', 'overlap_pct_of_published', round(100.0 * count(*) FILTER (rep AND pub) / count(*) FILTER (pub), 8) FROM c
+    UNION ALL SELECT 'dep', 'not_quantified', count(*) FILTER (bucket = 'not_quantified') FROM c
+    UNION ALL SELECT 'dep', 'quantified_not_significant', count(*) FILTER (bucket = 'quantified_not_significant') FROM c
+    UNION ALL SELECT 'version', 'n_gained', count(*) FILTER (b AND NOT a) FROM members
+    UNION ALL SELECT 'version', 'n_lost', count(*) FILTER (a AND NOT b) FROM members"""
+_MEMBERS = """members AS (SELECT x.feature_id IS NOT NULL AS a, y.feature_id IS NOT NULL AS b
+    FROM (SELECT DISTINCT feature_id FROM matrix_reproduced) x FULL JOIN (SELECT DISTINCT feature_id FROM matrix_published) y ON x.feature_id = y.feature_id)"""
+
+
+@query("fidelity_report", oracle(_SECTIONS, *_M, *_D, extra=f"{_MEMBERS}, {_Q}, {_DEPS}"))
 def fidelity_report(t):
-    sections, _ = fidelity.fidelity_report(t[_M[0]], t[_M[1]], t[_D[0]], t[_D[1]])
-    found = sections["identification"].select(F.lit("identification").alias("section"), F.col("n_shared").alias("n"))
-    return found.unionByName(sections["dep"].select(F.lit("dep").alias("section"), F.col("not_quantified").alias("n")))
+    """Every section of a report, one row a number."""
+    m, d = [t[n] for n in _M], [t[n] for n in _D]
+    sections, _ = fidelity.fidelity_report(*m, *d, *m, matrix_seq="feature_id", dep_seq="feature_id")
+    sample = F.coalesce("reproduced_sample", F.lit("pooled"))
+    wanted = {"identification": ("n_shared", "jaccard"), "quantitative": ("n", "pearson", "spearman"),
+              "dep": ("overlap_pct_of_published", "not_quantified", "quantified_not_significant"), "version": ("n_gained", "n_lost")}
+    rows = None
+    for section, names in wanted.items():
+        named = lambda n: F.concat_ws(" ", sample, F.lit(n)) if section == "quantitative" else F.lit(n)  # noqa: E731, B023
+        cells = F.array(*[F.struct(named(n).alias("name"), F.round(F.col(n).cast("double"), 8).alias("value")) for n in names])
+        part = sections[section].select(F.lit(section).alias("section"), F.inline(cells))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+# Lines as they come: a feature has many rows in each sample, of which the last counts.
+_LINES = """SELECT 'P' || CAST(l_partkey AS STRING) AS feature_id, 's' || CAST(l_suppkey % 3 AS STRING) AS sample,
+    {0} AS value, (l_orderkey * 8 + l_linenumber) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS place FROM lineitem WHERE {1}"""
+_REPEATED = (_LINES.format("l_extendedprice", "l_returnflag <> 'A'"), _LINES.format("l_extendedprice * (1 + l_discount)", "l_returnflag <> 'R'"))
+_LAST = "SELECT * FROM ({0}) l QUALIFY row_number() OVER (PARTITION BY feature_id, sample ORDER BY place DESC) = 1"
+
+
+@query("compare_quantitative_repeated", f"""WITH matrix_reproduced AS ({_LAST.format(_REPEATED[0])}), matrix_published AS ({_LAST.format(_REPEATED[1])}), {_Q}
+    SELECT sample AS reproduced_sample, sample AS published_sample, count(*) AS n, round(corr(x, y), 8) AS pearson, round(corr(rx, ry), 8) AS spearman
+      FROM ranks GROUP BY sample
+    UNION ALL SELECT NULL, NULL, count(*), round(corr(x, y), 8), round(corr(px, py), 8) FROM ranks""")
+def compare_quantitative_repeated(t):
+    q = fidelity.compare_quantitative(t.sql(_REPEATED[0]), t.sql(_REPEATED[1]), seq="place")
+    return q.select("reproduced_sample", "published_sample", "n", F.round("pearson", 8).alias("pearson"), F.round("spearman", 8).alias("spearman"))
+
+
+_DEP_LINES = """SELECT 'P' || CAST(l_partkey AS STRING) AS feature_id, CASE WHEN l_linenumber = 6 THEN NULL ELSE l_discount - 0.05E0 END AS log2fc,
+    l_tax AS pvalue, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_tax * 1.5E0 END AS padj, CAST(NULL AS BOOLEAN) AS significant,
+    (l_orderkey * 8 + l_linenumber) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS place FROM lineitem WHERE {0}"""
+_DEP_REPEATED = (_DEP_LINES.format("l_returnflag <> 'A'"), _DEP_LINES.format("l_returnflag <> 'R'"))
+_FIRST = "SELECT * FROM ({0}) l QUALIFY row_number() OVER (PARTITION BY feature_id ORDER BY place) = 1"
+
+
+@query("compare_dep_repeated", f"""WITH dep_reproduced AS ({_FIRST.format(_DEP_REPEATED[0])}), dep_published AS ({_FIRST.format(_DEP_REPEATED[1])}),
+    matrix_reproduced AS (SELECT NULL::VARCHAR AS feature_id WHERE false), {_DEPS}
+    SELECT feature_id, rep AS rep_significant, pub AS pub_significant, bucket FROM c""")
+def compare_dep_repeated(t):
+    return fidelity.dep_buckets(t.sql(_DEP_REPEATED[0]), t.sql(_DEP_REPEATED[1]), seq="place").select("feature_id", "rep_significant", "pub_significant", "bucket")
 
 
 @query("dep_significance", oracle(

@@ -46,7 +46,7 @@ _N = ", ".join(f"n_{c}" for c in inj.WEIGHTS)
     f"SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, {_N}, total_matches, weighted_score, risk_score, {_LEVEL} AS risk_level, matched FROM signal",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_signal(t):
-    s = scan.scan_signal(t["scan_texts"])
+    s = scan.scan_signal(t["scan_texts"], partitions=t.partitions)
     return s.select(
         "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), *[f"n_{c}" for c in inj.WEIGHTS], "total_matches", "weighted_score",
         "risk_score", "risk_level", F.array_join("matched_categories", ",").alias("matched"),
@@ -57,26 +57,26 @@ def scan_signal(t):
     "SELECT count(*) AS n_items, count(*) FILTER (risk_score >= 40) AS n_flagged, CAST(0 AS BIGINT) AS n_errors, CAST(40 AS DOUBLE) AS flag_threshold FROM signal",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_summary(t):
-    return scan.scan_summary(scan.scan_signal(t["scan_texts"]))
+    return scan.scan_summary(scan.scan_signal(t["scan_texts"], partitions=t.partitions))
 
 
 @query("scan_flagged", oracle(f"SELECT doc_id, risk_score, {_LEVEL} AS risk_level FROM signal WHERE risk_score >= 40", "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_flagged(t):
-    return scan.flagged_items(scan.scan_signal(t["scan_texts"]), "doc_id")
+    return scan.flagged_items(scan.scan_signal(t["scan_texts"], partitions=t.partitions), "doc_id")
 
 
 @query("scan_spans", oracle(
     f"SELECT doc_id, {_N} FROM signal WHERE total_matches > 0",
     "scan_texts", extra=_signal_sql("scan_texts")))
 def scan_spans(t):
-    spans = scan.scan_spans(t["scan_texts"], "doc_id")
+    spans = scan.scan_spans(t["scan_texts"], "doc_id", partitions=t.partitions)
     return spans.groupBy("doc_id").agg(*[F.count_if(F.col("category") == c).alias(f"n_{c}") for c in inj.WEIGHTS])
 
 
 @query("scan_pages", f"""WITH {_signal_sql("(SELECT page_id AS doc_id, html AS text FROM pages)")}
     SELECT doc_id, total_matches, risk_score FROM signal""")
 def scan_pages(t):
-    s = scan.scan_signal(t["pages"].select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")))
+    s = scan.scan_signal(t["pages"].select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")), partitions=t.partitions)
     return s.select("doc_id", "total_matches", "risk_score")
 
 

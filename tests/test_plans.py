@@ -66,16 +66,19 @@ def test_statistics_stay_in_the_jvm(stored):
     no_python(scan.flagged_items(scan.scan_signal(stored["scan_texts"]), "doc_id"))
     for df in (
         profile.profile_table(stored["dep_reproduced"]),
-        meta.meta_analyze(stored["effects"], tails=False),
+        meta.meta_analyze(stored["effects"]),
         fidelity.compare_identifications(stored["matrix_reproduced"], stored["matrix_published"]),
-        fidelity.compare_quantitative(stored["matrix_reproduced"], stored["matrix_published"]),
-        fidelity.compare_dep(stored["dep_reproduced"], stored["dep_published"], stored["matrix_reproduced"]),
+        fidelity.compare_quantitative(stored["matrix_reproduced"], stored["matrix_published"], seq="feature_id"),
+        fidelity.compare_dep(stored["dep_reproduced"], stored["dep_published"], stored["matrix_reproduced"], seq="feature_id"),
     ):
         no_python(df), no_pairs(df)
 
 
 def test_scan_runs_each_pattern_once(stored):
+    conf = stored["scan_texts"].sparkSession.conf
+    conf.set("spark.sql.debug.maxToStringFields", "1000")
     text = plan(scan.flagged_items(scan.scan_signal(stored["scan_texts"]), "doc_id"))
+    conf.unset("spark.sql.debug.maxToStringFields")
     assert text.count("jailbreak\\b") == 1
 
 

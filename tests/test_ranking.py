@@ -41,11 +41,12 @@ def test_number_rows_sparse_sequence(spark):
                 assert got[s] == i
 
 
-def test_number_distinct(spark):
+def test_number_in_order(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("a"), "id")
-    got = ranking.number_distinct(df, chunks=16)
-    assert sorted(r.row_no for r in got.collect()) == list(range(1, 1001))
-    assert sorted(got.collect()) == sorted(ranking.number_distinct(df.repartition(5), chunks=16).collect())
+    got = [tuple(r) for r in ranking.number_in_order(df.repartition(5), ["a", "id"]).collect()]
+    assert sorted(got) == [(a, i, n) for n, (a, i) in enumerate(sorted((i % 7, i) for i in range(1000)), 1)]
+    large = spark.createDataFrame([(1 << 62, 1), (-(1 << 62), 5), (1 << 62, 0), (None, 2)], "s bigint, p int")
+    assert sorted((r["row_no"], r.p) for r in ranking.number_in_order(large, ["s", "p"]).collect()) == [(1, 2), (2, 5), (3, 0), (4, 1)]
 
 
 def test_first_and_last(spark):
@@ -54,16 +55,24 @@ def test_first_and_last(spark):
     assert {r.v for r in ranking.last_by(df, ["k"], "seq").collect()} == {"x", "w"}
 
 
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).when(F.col("id") < 700, 1).otherwise(F.col("id")).alias("k"))
-    assert {r.k for r in ranking.hot_keys(df, ["k"], rows=100).collect()} == {0, 1}
-    assert ranking.hot_keys(df, ["k"], rows=0, limit=3).count() == 3
+def test_ranges_come_from_the_data(spark):
+    """No split points are taken on the driver, and equal values share a range."""
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little data fills one range
+    try:
+        ranged = ranking.in_ranges(df, ["v"])
+        assert ranking.avg_rank(df, [], "v").agg(F.sum("rank")).first()[0] == 4000 * 4001 / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranged.select("range").distinct().count() > 1
+    assert ranged.groupBy("v").agg(F.countDistinct("range").alias("n")).where("n > 1").count() == 0
+    plan = ranking.avg_rank(df, [], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "SinglePartition" in plan  # the sizes of ranges are added up, nothing else
 
 
 def test_cumulative_equals_numpy(spark):
     values = np.round(np.random.default_rng(0).normal(size=500), 1)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    splits = ranking.range_splits(df, ["v"], 16)
-    hist = ranking.with_ranges(df, splits).groupBy("v", "v_range").agg(F.count("*").alias("n"))
-    for r in ranking.cumulative(hist, [], "v", "v_range").collect():
+    hist = ranking.in_ranges(df.groupBy("v").agg(F.count("*").alias("n")), ["v"])
+    for r in ranking.cumulative(hist, [], "v", "range").collect():
         assert r.below == int((values < r.v).sum())

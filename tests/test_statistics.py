@@ -111,7 +111,7 @@ def test_quantitative_agreement(spark):
     rnd = random.Random(0)
     a = [(f"f{i}", s, rnd.choice([None, 0.0, 2.0 ** rnd.randrange(8)])) for i in range(60) for s in ("s1", "s2", "only_a")]
     b = [(f"f{i}", s, rnd.choice([None, 2.0 ** rnd.randrange(8), rnd.random() * 50])) for i in range(20, 80) for s in ("s1", "s2")]
-    got = {r.reproduced_sample: r for r in fidelity.compare_quantitative(matrix(spark, a), matrix(spark, b)).collect()}
+    got = {r.reproduced_sample: r for r in fidelity.compare_quantitative(matrix(spark, a), matrix(spark, b), seq="feature_id").collect()}
     assert set(got) == {"s1", "s2", None}
     right = {(f, s): v for f, s, v in b}
     for sample in got:
@@ -124,13 +124,13 @@ def test_quantitative_agreement(spark):
 
 def test_quantitative_edge_cases(spark):
     a = matrix(spark, [("f1", "s", 1.0), ("f2", "s", 1.0), ("f1", "t", 4.0), ("f1", "u", -1.0)])
-    got = {r.reproduced_sample: r for r in fidelity.compare_quantitative(a, a).collect()}
+    got = {r.reproduced_sample: r for r in fidelity.compare_quantitative(a, a, seq="feature_id").collect()}
     assert got["s"].n == 2 and got["s"].pearson is None and got["s"].spearman is None
     assert got["t"].n == 1 and got["t"].pearson is None and got["u"].n == 0
     twice = matrix(spark, [("f1", "s", 1.0, 1), ("f1", "s", 8.0, 2), ("f2", "s", 2.0, 3)], ", seq int")
     kept = {r.feature_id: r.x for r in fidelity.sample_pairs(twice, twice, seq="seq").collect()}
     assert kept == {"f1": 3.0, "f2": 1.0}
-    mapped = fidelity.sample_pairs(a, a, {"s": "t"}, log=False).collect()
+    mapped = fidelity.sample_pairs(a, a, {"s": "t"}, log=False, seq="feature_id").collect()
     assert [(r.feature_id, r.x, r.y) for r in mapped] == [("f1", 1.0, 4.0)]
 
 
@@ -151,14 +151,14 @@ def test_dep_decomposition(spark):
     assert row.overlap_pct_of_published == 50.0
     strict = fidelity.compare_dep(rep, pub, lfc=1.5, seq="seq").first()
     assert strict.n_published_significant == 1
-    none = fidelity.compare_dep(rep.limit(0), pub.limit(0)).first()
+    none = fidelity.compare_dep(rep.limit(0), pub.limit(0), seq="seq").first()
     assert none.jaccard_significant == 0.0 and none.overlap_pct_of_published == 0.0
 
 
 def test_report_sections(spark):
     a = matrix(spark, [("f1", "s", 1.0), ("f2", "s", 2.0), ("f3", "s", 5.0)])
     d = deps(spark, [("f1", 1.0, 0.01, 0.01, None, 1)])
-    sections, notes = fidelity.fidelity_report(a, a, d, None, a, a)
+    sections, notes = fidelity.fidelity_report(a, a, d, None, a, a, matrix_seq="feature_id")
     assert set(sections) == {"identification", "quantitative", "version"} and len(notes) == 1
     assert sections["version"].first().asDict() == {"label_a": "version_a", "label_b": "version_b", "n_a": 3, "n_b": 3, "n_shared": 3, "n_gained": 0, "n_lost": 0, "jaccard": 1.0}
     row = fidelity.report_row(sections).first()
