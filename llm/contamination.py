@@ -1,4 +1,9 @@
-"""Benchmark decontamination: n-gram seeds, a bound on common words, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, a bound on common words, then Smith-Waterman alignment.
+
+A seed names candidates only. Before a passage leaves the task that reads it, the words of the item that stand in it
+are counted: an alignment that scores enough matches a known number of them, and rare words, not a stock phrase,
+decide that. So a phrase that many items and documents share makes no pairs.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +18,10 @@ from pyspark.sql import functions as F
 from .common import Words, lists, materialize, signed, text_chunks
 
 #: Words in a seed, and bytes of test items in one block.
-SEED, BLOCK_BYTES = 3, 32 << 20
+SEED, BLOCK_BYTES = 3, 16 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words of items that are looked up at once.
+LOOKUPS = 1 << 21
 
 
 def normal(text):
@@ -46,45 +53,115 @@ def _bounded(counts: np.ndarray, limit: int = 1 << 20):
         at = to
 
 
-def _passages(seeds: np.ndarray, numbers: np.ndarray, reaches: np.ndarray):
-    """Parts of texts within an item's reach of its seeds: doc_id, where the part starts, the part, number of the item.
+class Items:
+    """A block of test items: number, hashes of its words, and the entries (seed, item) of its distinct seeds, sorted by seed."""
 
-    ``seeds`` is sorted; an item with several seeds in it has several entries.
-    """
-    find = _hits(seeds)
+    def __init__(self, numbers: np.ndarray, texts: pa.Array, least: float):
+        self.numbers, seeds, entries, hashes, counts, at = numbers, [], [], [], [], 0
+        for _, _, data, offsets in text_chunks(texts):
+            words = Words(data, offsets)
+            start, row = words.window_starts(SEED)
+            seeds.append(words.span_hash(start, start + SEED))
+            entries.append(row + at)
+            hashes.append(words.hash)
+            counts.append(words.count)
+            at += len(words.count)
+        self.words, self.count = np.concatenate(hashes), np.concatenate(counts)
+        self.first = np.concatenate([[0], np.cumsum(self.count)])
+        pairs = np.unique(np.rec.fromarrays([np.concatenate(seeds), np.concatenate(entries)], names="seed,item"))
+        self.seeds, self.items = np.ascontiguousarray(pairs["seed"]), np.ascontiguousarray(pairs["item"])
+        # An alignment of all words of an item loses at most 2 * (1 - least) of the score, one word of the text each.
+        self.reach = np.ceil(self.count * (1 + MATCH * (1 - least) / -GAP)).astype(np.int64)
+        # Only matches add to a score.
+        self.needed = np.ceil(self.count * least - 1e-9).astype(np.int64)
+
+
+def _passages(items: Items):
+    """Parts of texts within an item's reach of its seeds that hold enough of its words: doc_id, where the part starts, the part, number of the item."""
+    find = _hits(items.seeds)
 
     def run(batches):
         for batch in batches:
             for at, to, data, offsets in text_chunks(batch.column(1)):
                 words = Words(data, offsets)
                 row, start, found = find(words)
-                low, high = np.searchsorted(seeds, found), np.searchsorted(seeds, found, "right")
-                for part in _bounded(high - low):
-                    yield from parts(batch, at, data, words, row[part], start[part], low[part], high[part])
-
-    def parts(batch, at, data, words, row, start, low, high):
+                low, high = np.searchsorted(items.seeds, found), np.searchsorted(items.seeds, found, "right")
+                place = None
+                # Seeds of one row stay together, so that what they share a passage with is known.
+                for part in _rowwise(row, high - low):
+                    place = place or Places(words)
+                    yield from parts(batch, at, data, words, place, row[part], start[part], low[part], high[part])
+
+    def parts(batch, at, data, words, place, row, start, low, high):
         n = high - low
         entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        row, start, number, reach = np.repeat(row, n), np.repeat(start, n), numbers[entry], reaches[entry]
-        order = np.lexsort((start, number, row))
-        row, start, number, reach = row[order], start[order], number[order], reach[order]
+        row, start, item = np.repeat(row, n), np.repeat(start, n), items.items[entry]
+        order = np.lexsort((start, item, row))
+        row, start, item = row[order], start[order], item[order]
+        reach = items.reach[item]
         new = np.ones(len(row), bool)  # seeds of an item further apart than it reaches to both sides belong to separate parts
-        new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1]) | (start[1:] - start[:-1] > 2 * reach[1:])
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > 2 * reach[1:])
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(row)) - 1
-        first = np.maximum(start[head] - reach[head], words.first[:-1][row[head]])
-        last = np.minimum(start[tail] + SEED + reach[head], words.first[1:][row[head]])
-        place = (first - words.first[:-1][row[head]]).astype(np.int32)
-        for i in range(0, len(head), 1024):
+        row, item, reach, end = row[head], item[head], reach[head], start[tail]
+        first = np.maximum(start[head] - reach, words.first[:-1][row])
+        last = np.minimum(end + SEED + reach, words.first[1:][row])
+        held = np.zeros(len(head), np.int64)
+        for some in _bounded(items.count[item], LOOKUPS):
+            count = items.count[item[some]]
+            pair = np.repeat(np.arange(len(count)), count)
+            word = items.words[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(items.first[:-1][item[some]], count)]
+            held[some] = np.bincount(pair, place.within(word, first[some][pair], last[some][pair]), len(count))
+        keep = np.flatnonzero(held >= items.needed[item])
+        row, item, first, last = row[keep], item[keep], first[keep], last[keep]
+        begin = (first - words.first[:-1][row]).astype(np.int32)
+        for i in range(0, len(row), 1024):
             texts = [data[words.start[a] : words.end[b - 1]].tobytes().decode() for a, b in zip(first[i : i + 1024], last[i : i + 1024])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at + row[head[i : i + 1024]])), pa.array(place[i : i + 1024]), pa.array(texts, pa.string()), pa.array(number[head[i : i + 1024]])],
+                [batch.column(0).take(pa.array(at + row[i : i + 1024])), pa.array(begin[i : i + 1024]), pa.array(texts, pa.string()), pa.array(items.numbers[item[i : i + 1024]])],
                 names=["doc_id", "first", "passage", "number"],
             )
 
     return run
 
 
+def _rowwise(row: np.ndarray, counts: np.ndarray, limit: int = 1 << 20):
+    """Slices of hits, ordered by row, with about ``limit`` entries each; a row is not divided unless it has more alone.
+
+    The parts of a row that is divided may overlap; that costs a repeated alignment, of which the best counts.
+    """
+    if not len(row):
+        return
+    heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    per_row = np.add.reduceat(counts, heads)
+    ends = np.append(heads[1:], len(row))
+    for some in _bounded(per_row, limit):
+        whole = slice(int(heads[some.start]), int(ends[some.stop - 1]))
+        for piece in _bounded(counts[whole], limit):
+            yield slice(whole.start + piece.start, whole.start + piece.stop)
+
+
+class Places:
+    """Where each word stands, for looking up many words within many spans."""
+
+    def __init__(self, words: Words):
+        self.order = np.argsort(words.hash, kind="stable")  # by hash, then by place
+        self.hash = words.hash[self.order]
+        self.known, self.first = np.unique(self.hash, return_index=True)
+        self.first = np.append(self.first, len(self.hash))
+        # Number of the word and place as one rising key.
+        self.key = np.repeat(np.arange(len(self.known)), np.diff(self.first)) * np.int64(1 << 32) + self.order
+
+    def within(self, word: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether each word stands somewhere from ``first`` to before ``last``."""
+        if not len(self.known):
+            return np.zeros(len(word), bool)
+        number = np.minimum(np.searchsorted(self.known, word), len(self.known) - 1)
+        at = np.searchsorted(self.key, number * np.int64(1 << 32) + first)
+        next_ = self.key[np.minimum(at, len(self.key) - 1)]
+        return (self.known[number] == word) & (at < len(self.key)) & (next_ < number * np.int64(1 << 32) + last)
+
+
 def smith_waterman(a: list[int], b: list[int]) -> tuple[int, int, int]:
     """Best local alignment score of two word sequences, and where it begins and ends in ``b``.
 
@@ -143,21 +220,10 @@ def _align(least: float):
     return run
 
 
-def _grams(batches):
-    for batch in batches:
-        for at, to, data, offsets in text_chunks(batch.column(1)):
-            words = Words(data, offsets)
-            start, row = words.window_starts(SEED)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at + row)), signed(words.span_hash(start, start + SEED)), pa.array(words.count[row].astype(np.int32))],
-                names=["number", "gram", "n_words"],
-            )
-
-
 def item_blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> list[DataFrame]:
     """Test items (number, item_id, words) in blocks of at most about ``limit`` bytes.
 
-    Items of fewer than SEED words cannot be told from chance and are left out; so are null ids.
+    Items of fewer than SEED words, which have no seed, are left out (see short_items); so are null ids.
     """
     items = items.where("item_id is not null").select("item_id", normal(F.col("text")).alias("words")).distinct()
     items = items.where(F.size(F.split("words", " ")) >= SEED)
@@ -167,6 +233,25 @@ def item_blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> list[DataFrame]:
     return [items.where(F.pmod(F.col("number"), F.lit(n)) == i) for i in range(n)]
 
 
+def short_items(items: DataFrame, limit: int = BLOCK_BYTES) -> list[DataFrame]:
+    """Items (item_id, words) of one or two words, in blocks of at most about ``limit`` bytes."""
+    items = items.where("item_id is not null").select("item_id", normal(F.col("text")).alias("words")).where("words <> ''").distinct()
+    items = items.where(F.size(F.split("words", " ")) < SEED)
+    size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    n = -(-size // limit) if size else 0
+    return [items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == i) for i in range(n)]
+
+
+def _exact(texts: DataFrame, block: DataFrame) -> DataFrame:
+    """First place of each item of one or two words in each document."""
+    word = F.split("words", " ")
+    places = F.transform(word, lambda w, i: F.struct(i.alias("first"), w.alias("words"), (i + 1).alias("end")))
+    pairs = F.transform(F.slice(word, 1, F.size(word) - 1), lambda w, i: F.struct(i.alias("first"), F.concat(w, F.lit(" "), F.get(word, i + 1)).alias("words"), (i + 2).alias("end")))
+    met = texts.select("doc_id", F.inline(F.concat(places, pairs))).join(F.broadcast(block), "words")  # at most about BLOCK_BYTES
+    spans = met.groupBy("doc_id", "item_id").agg(F.min("first").alias("first"), F.min("end").alias("end"))
+    return spans.select("doc_id", "item_id", F.lit(1.0).alias("score"), F.col("first").alias("first_word"), F.col("end").alias("end_word"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataFrame:
     """Pairs (doc_id, item_id, score, first_word, end_word) of documents and test items they hold a copy of.
 
@@ -175,17 +260,20 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataF
     least ``least`` are returned, once each, with the place of the alignment in the normalised words
     of the document.
 
-    Seeds are all SEED-word sequences of the items, however often they occur in the corpus; so every
-    document that shares one with an item is held against it. Around a seed a passage reaches as far
-    as an alignment that scores ``least`` can. Items are taken in blocks of BLOCK_BYTES, each of which
-    meets all documents by one broadcast of that bound.
+    Seeds are all SEED-word sequences of the items, however often they occur in the corpus. Around a
+    seed a passage reaches as far as an alignment that scores ``least`` can; it leaves its task only if it holds
+    as many words of the item as such an alignment matches, so stock phrases alone make no pair. Items are taken
+    in blocks of BLOCK_BYTES, each of which reads all documents once. A block's words and seeds go out with the
+    tasks, about eight times its bytes, and its texts by one broadcast.
 
-    Null or empty texts, null ids and items of fewer than SEED words match nothing. Repeated rows and
-    rows that share an id give one row per id and item, the best. Other columns are ignored.
+    An item of fewer than SEED words is found where its words stand in the document one after the other. Null or
+    empty texts and null ids match nothing. Repeated rows and rows that share an id give one row per id and item, the
+    best. Other columns are ignored.
     """
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", normal(F.col("text")).alias("words"))
     found = [_found(texts, block, least) for block in item_blocks(items)]
+    found += [_exact(texts, block) for block in short_items(items)]
     if not found:
         return spark.createDataFrame([], f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}, score double, first_word int, end_word int")
     best = F.max(F.struct("score", -F.col("first_word"), "end_word")).alias("m")
@@ -195,14 +283,10 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataF
 
 def _found(texts: DataFrame, block: DataFrame, least: float) -> DataFrame:
     block = materialize(block, "items")
-    grams = block.select("number", "words").mapInArrow(_grams, "number long, gram long, n_words int").distinct().toArrow()  # of one block
-    seeds, numbers, n_words = (grams.column(i).to_numpy() for i in (1, 0, 2))
-    seeds = np.ascontiguousarray(seeds).view(np.uint64)
-    order = np.argsort(seeds, kind="stable")
-    # An alignment of all words of an item loses at most 2 * (1 - least) of the score, one word of the text each.
-    reaches = np.ceil(n_words * (1 + MATCH * (1 - least) / -GAP)).astype(np.int64)
+    rows = block.select("number", "words").toArrow()  # of one block
+    known = Items(rows.column(0).to_numpy(), rows.column(1).combine_chunks(), least)
     id_type, item_type = dict(texts.dtypes)["doc_id"], dict(block.dtypes)["item_id"]
-    passages = texts.mapInArrow(_passages(seeds[order], numbers[order], reaches[order]), f"doc_id {id_type}, first int, passage string, number long")
+    passages = texts.mapInArrow(_passages(known), f"doc_id {id_type}, first int, passage string, number long")
     pairs = passages.join(F.broadcast(block), "number")
     scored = pairs.select("passage", "words", "doc_id", "item_id", "first").mapInArrow(_align(least), f"doc_id {id_type}, item_id {item_type}, first int, score double, a int, b int")
     return scored.select("doc_id", "item_id", "score", (F.col("first") + F.col("a")).alias("first_word"), (F.col("first") + F.col("b")).alias("end_word"))

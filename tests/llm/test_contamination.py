@@ -1,10 +1,14 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from conftest import DATA
 from frames import documents, sentence
 
-from llm.contamination import contaminated, item_blocks, smith_waterman
+from llm import contamination
+from llm.common import Words
+from llm.contamination import Items, Places, _passages, contaminated, item_blocks, smith_waterman
 from llm.queries import QUERIES
 
 
@@ -36,10 +40,11 @@ def test_cases(spark):
     filler = lambda n: " ".join(sentence(50 + n, 80))
     rows = [(n, f"{filler(n)} {' '.join(words)} {filler(n + 1)}") for n, words in enumerate((item, edited, gaps, item[:10], [w.upper() + "," for w in item]), 1)]
     rows += [(i, f"{filler(i)} {' '.join(item)}") for i in range(100, 160)]  # so frequent that no seed of the item is rare
-    rows += [(6, None), (7, ""), (None, " ".join(item)), (8, filler(8)), (1, " ".join(item)), (9, " ".join(item[20:] + item[:20])), (10, "one two three")]
+    rows += [(6, None), (7, ""), (None, " ".join(item)), (8, filler(8)), (1, " ".join(item)), (9, " ".join(item[20:] + item[:20])), (10, "one two three"), (11, "x A, B a b")]
     tests = items(spark, [(1, " ".join(item), "x", 1), (2, None, "x", 1), (3, "", "x", 1), (4, "a b", "x", 1), (None, " ".join(item), "x", 1), (5, "One, two: three!", "x", 1), (1, " ".join(item), "x", 1)])
     got = {(r.doc_id, r.item_id): r for r in contaminated(documents(spark, rows), tests).collect()}
-    assert set(got) == {(i, 1) for i in (1, 2, 3, 5, 9, *range(100, 160))} | {(10, 5)}
+    assert set(got) == {(i, 1) for i in (1, 2, 3, 5, 9, *range(100, 160))} | {(10, 5), (11, 4)}
+    assert (got[11, 4].score, got[11, 4].first_word, got[11, 4].end_word) == (1, 1, 3)
     assert got[1, 1].score == got[5, 1].score == 1
     docs = {i: re.findall(r"\w+", (t or "").lower()) for i, t in rows if i != 1}
     for (i, j), r in got.items():
@@ -86,3 +91,41 @@ def test_query(spark):
     assert whole <= set(got)
     for (i, j), score in got.items():
         assert score == plain_score(tests[j], docs[i]) / (2 * len(tests[j]))
+
+
+def test_stock_phrases_make_no_pairs(spark):
+    """As many items as documents, all with one phrase: what leaves the tasks grows with their number, not its square."""
+    phrase = "all rights reserved by the holder of this".split()
+    n = 400
+    tests = [sentence(n, 12) + phrase + sentence(n + 5000, 12) for n in range(n)]
+    docs = [sentence(9000 + i, 30) + phrase + sentence(20000 + i, 30) for i in range(n)]
+    docs += [sentence(40000 + i, 30) + tests[i] + sentence(50000 + i, 30) for i in range(0, n, 4)]  # real copies among them
+    known = Items(np.arange(n), pa.array([" ".join(t) for t in tests]), 0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array([" ".join(d) for d in docs])], names=["doc_id", "words"])
+    left = [(d, i) for out in _passages(known)(iter([batch])) for d, i in zip(out.column(0).to_pylist(), out.column(3).to_pylist())]
+    assert sorted(left) == [(n + k, 4 * k) for k in range(n // 4)]
+
+
+def test_passages_in_slices(monkeypatch):
+    """The same pairs come out however many are looked at together."""
+    rng = random.Random(3)
+    tests = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(3, 25))] for _ in range(60)]
+    docs = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(200))] + rng.choice(tests) for _ in range(40)]
+    known = Items(np.arange(60), pa.array([" ".join(t) for t in tests]), 0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([" ".join(d) for d in docs])], names=["doc_id", "words"])
+    run = lambda: {(d, f, p, i) for out in _passages(known)(iter([batch])) for d, f, p, i in zip(*[c.to_pylist() for c in out.columns])}
+    whole = run()
+    monkeypatch.setattr(contamination, "LOOKUPS", 50)
+    assert run() == whole and len(whole) > 40
+    for d, first, passage, i in whole:
+        assert passage.split() == docs[d][first : first + len(passage.split())]
+        assert 2 * sum(w in passage.split() for w in tests[i]) >= len(tests[i])
+
+
+def test_places():
+    words = Words(np.frombuffer(b"a b c ab b", np.uint8), np.array([0, 7, 7, 10]))
+    assert list(words.count) == [4, 0, 2]
+    place = Places(words)
+    h = words.hash
+    spans = [(0, 0, 4, True), (0, 1, 3, False), (0, 3, 4, True), (1, 2, 4, False), (1, 4, 6, True), (2, 2, 3, True), (2, 0, 2, False)]
+    assert place.within(h[[s[0] for s in spans]], np.array([s[1] for s in spans]), np.array([s[2] for s in spans])).tolist() == [s[3] for s in spans]
