@@ -44,7 +44,7 @@ def upsert_embeddings(t):
 
 
 _DATASETS_NEW = """SELECT 'PXD' || CAST(user_id AS STRING) AS dataset_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'title ' || CAST(event_id AS STRING) END AS title,
-    CAST(NULL AS STRING) AS species, event_type AS repository, event_id AS seq FROM events WHERE event_id % 7 = 0"""
+    CAST(NULL AS STRING) AS species, event_type AS repository, event_id AS seq FROM events"""
 
 
 @query("upsert_datasets", oracle(
@@ -57,7 +57,7 @@ def upsert_datasets(t):
 
 
 _CLASSES_OLD = "SELECT 'A' || CAST(p_size AS STRING) AS archive_path, p_name AS file_path, min(p_type) AS classification, 'old' AS justification, min(p_brand) AS doi FROM part GROUP BY 1, 2"
-_CLASSES_NEW = "SELECT 'A' || CAST(p_size AS STRING) AS archive_path, p_name AS file_path, p_brand AS classification, CAST(NULL AS STRING) AS justification, CAST(NULL AS STRING) AS doi, p_partkey AS seq FROM part WHERE p_partkey % 2 = 0"
+_CLASSES_NEW = "SELECT 'A' || CAST(p_size AS STRING) AS archive_path, p_name AS file_path, p_brand AS classification, CAST(NULL AS STRING) AS justification, CAST(NULL AS STRING) AS doi, p_partkey AS seq FROM part"
 
 
 @query("upsert_classes", f"""SELECT o.archive_path, o.file_path, coalesce(n.classification, o.classification) AS classification,
@@ -194,8 +194,8 @@ def add_mesh_links(t):
     return merge.add_links(t.sql(_LINKS_OLD), t.sql(_LINKS_NEW), ["keyword_id"], null_safe=["doi", "pmid"]).select("doi", "pmid", "keyword_id")
 
 
-_DESC_OLD = "SELECT doi, pmid, pmcid, species, model FROM descriptors WHERE id % 4 = 0"
-_DESC_NEW = "SELECT doi, pmid, pmcid, 'new ' || CAST(id AS STRING) AS species, model, id AS seq FROM descriptors WHERE id % 4 = 2"
+_DESC_OLD = "SELECT doi, pmid, pmcid, species, model FROM descriptors WHERE id % 2 = 0"
+_DESC_NEW = "SELECT doi, pmid, pmcid, 'new ' || CAST(id AS STRING) AS species, model, id AS seq FROM descriptors WHERE id % 2 = 1"
 
 
 @query("replace_descriptors", oracle(
@@ -272,7 +272,7 @@ def decode_json(t):
 # ---- stored facts ----
 
 _FACTS_NEW = """SELECT a.doi, a.pmid, a.pmcid, 'm0' AS model, 'PXD' || CAST(f.user_id AS STRING) AS dataset_id, 'PRIDE' AS data_repository, f.event_id AS seq
-    FROM (SELECT event_id, user_id, event_id % {documents} AS row_id FROM events WHERE event_id % 4 = 0) f JOIN articles a ON a.row_id = f.row_id
+    FROM (SELECT event_id, user_id, event_id % {documents} AS row_id FROM events) f JOIN articles a ON a.row_id = f.row_id
     WHERE coalesce(a.doi, a.pmid, a.pmcid) IS NOT NULL"""
 
 
@@ -322,7 +322,7 @@ def pubmed_xml(t):
     article_id = F.concat(
         F.when(c("doi").isNotNull(), tag("ArticleId", c("doi"), ' IdType="doi"')).otherwise(lit("")),
         F.when(c("pmcid").isNotNull(), tag("ArticleId", c("pmcid"), ' IdType="pmc"')).otherwise(lit("")))
-    title = F.concat(F.substring("title", 1, 20), lit("<i>"), F.substring("title", 21, 20), lit("</i>"), F.substring("title", 41, 200))
+    title = F.concat(F.substring("title", 1, 20), lit("<i>"), F.substring("title", 21, 20), lit("</i>"), F.expr("substr(title, 41)"))
     xml = tag("PubmedArticleSet", tag("PubmedArticle", F.concat(
         tag("MedlineCitation", F.concat(
             tag("PMID", c("pmid")), tag("Article", F.concat(
@@ -347,7 +347,7 @@ _OK = "row_id % 50 <> 49"
 
 
 @query("pubmed_articles", oracle(
-    f"""SELECT row_id AS seq, doi, pmid, pmcid, trim(trim(substr(title, 1, 20) || trim(substr(title, 21, 20), ' ' || chr(10)) || substr(title, 41, 200)), ' ' || chr(10)) AS title,
+    f"""SELECT row_id AS seq, doi, pmid, pmcid, trim(trim(substr(title, 1, 20) || trim(substr(title, 21, 20), ' ' || chr(10)) || substr(title, 41)), ' ' || chr(10)) AS title,
       CASE WHEN row_id % 13 <> 5 THEN 'AIM: ' || trim(abstract, ' ' || chr(10)) END AS abstract, publication_date, 'Journal ' || journal_id AS journal_name, language
     FROM ({_XML_ARTICLES}) a WHERE {_OK}""", "articles"))
 def pubmed_articles(t):
@@ -460,7 +460,7 @@ def ingest_many_authors(t):
     return out["article_authors"].join(out["author_info"].select("author_id", "last_name"), "author_id").select("pmid", "last_name", "author_id", "author_position")
 
 
-_JATS = """SELECT doc_id, trim(replace(replace(replace(replace(substr(text, 1, 60), '&', ' '), '<', ' '), '>', ' '), chr(10), ' ')) AS head,
+_JATS = """SELECT doc_id, trim(replace(replace(replace(replace(split_part(text, chr(10), 1), '&', ' '), '<', ' '), '>', ' '), chr(10), ' ')) AS head,
     trim(replace(replace(replace(replace(text, '&', ' '), '<', ' '), '>', ' '), chr(10), ' ')) AS body FROM documents"""
 
 

@@ -26,15 +26,15 @@ VIEWS = {
           CASE WHEN doc_id % 7 = 3 THEN NULL ELSE '10.1000/' || CAST(doc_id AS STRING) END AS doi,
           CASE WHEN doc_id % 5 = 4 THEN NULL ELSE CAST(doc_id + 100000 AS STRING) END AS pmid,
           CASE WHEN doc_id % 3 = 0 THEN 'PMC' || CAST(doc_id AS STRING) END AS pmcid,
-          substr(text, 1, 120) AS title, text AS abstract,
+          split_part(text, chr(10), 1) AS title, text AS abstract,
           DATE '2020-01-01' + CAST(doc_id % 1500 AS INT) AS publication_date,
-          CAST(doc_id % 20 + 1 AS INT) AS journal_id, lang AS language,
+          CAST(doc_id % 27 + 1 AS INT) AS journal_id, lang AS language,
           CASE WHEN doc_id % 4 = 0 THEN 'Review' ELSE 'Journal Article' END AS article_type,
           CASE WHEN doc_id % 4 <> 1 THEN '/ft/' || CAST(doc_id AS STRING) || '.txt' END AS article_filepath,
           CAST(doc_id % 97 AS INT) AS created_at
         FROM documents""",
     "texts": "SELECT '/ft/' || CAST(doc_id AS STRING) || '.txt' AS path, text FROM documents",
-    "journals": "SELECT n_nationkey + 1 AS journal_id, 'Journal of ' || n_name AS name FROM nation WHERE n_nationkey < 20",
+    "journals": "SELECT n_nationkey + 1 AS journal_id, 'Journal of ' || n_name AS name FROM nation",
     "author_info": "SELECT c_custkey AS author_id, c_mktsegment AS first_name, c_name AS last_name FROM customer",
     "article_authors": """
         SELECT o_orderkey AS id, a.doi, a.pmid, CAST(NULL AS STRING) AS pmcid, o_custkey AS author_id,
@@ -44,17 +44,17 @@ VIEWS = {
     "keywords": "SELECT min(p_partkey) AS keyword_id, p_name AS keyword FROM part GROUP BY p_name",
     "article_keywords": """
         SELECT DISTINCT a.doi, CAST(NULL AS STRING) AS pmid, a.pmcid, k.keyword_id
-        FROM (SELECT l_partkey, l_orderkey % {documents} AS row_id FROM lineitem WHERE l_linenumber = 1) l
+        FROM (SELECT l_partkey, l_orderkey % {documents} AS row_id FROM lineitem) l
         JOIN part p ON p.p_partkey = l.l_partkey JOIN keywords k ON k.keyword = p.p_name JOIN articles a ON a.row_id = l.row_id""",
     "llm_raw_data": """
-        SELECT e.event_id AS id, a.doi, CAST(NULL AS STRING) AS pmid, a.pmcid,
+        SELECT e.event_id AS id, CASE WHEN e.row_id % 4 = 1 THEN NULL ELSE a.doi END AS doi, CAST(NULL AS STRING) AS pmid, a.pmcid,
           'PXD' || CAST(e.user_id AS STRING) AS dataset_id, e.event_type AS data_repository, 'm' || CAST(e.event_id % 2 AS STRING) AS model
-        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events WHERE event_id % 3 = 0) e
+        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events) e
         JOIN articles a ON a.row_id = e.row_id""",
     "llm_processed_data": """
-        SELECT e.event_id AS id, a.doi, CAST(NULL AS STRING) AS pmid, a.pmcid,
-          'PXD' || CAST(e.user_id AS STRING) AS dataset_id, e.event_type AS data_repository, 'm' || CAST(e.event_id % 2 AS STRING) AS model
-        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events WHERE event_id % 5 = 1) e
+        SELECT e.event_id AS id, CASE WHEN e.row_id % 5 = 2 THEN NULL ELSE a.doi END AS doi, CAST(NULL AS STRING) AS pmid, a.pmcid,
+          CASE WHEN e.event_id % 5 = 1 THEN 'PXD' ELSE 'MSV' END || CAST(e.user_id AS STRING) AS dataset_id, e.event_type AS data_repository, 'm' || CAST(e.event_id % 2 AS STRING) AS model
+        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events) e
         JOIN articles a ON a.row_id = e.row_id""",
     "article_embeddings": """
         SELECT a.doi, a.pmid, a.pmcid, v.embedding, v.vec_id FROM embeddings v JOIN articles a ON a.row_id = v.vec_id""",
@@ -122,14 +122,14 @@ VIEWS = {
         FROM (SELECT DISTINCT p_size FROM part) p""",
     "article_mesh_terms": """
         SELECT DISTINCT a.doi, a.pmid, a.pmcid, p.p_size AS mesh_term_id, p.p_size % 2 = 0 AS is_major_topic
-        FROM (SELECT l_partkey, l_orderkey % {documents} AS row_id FROM lineitem WHERE l_linenumber = 2) l
+        FROM (SELECT l_partkey, l_orderkey % {documents} AS row_id FROM lineitem) l
         JOIN part p ON p.p_partkey = l.l_partkey JOIN articles a ON a.row_id = l.row_id""",
     "descriptors": """
-        SELECT event_id AS id, a.doi, a.pmid, a.pmcid, 'system ' || CAST(user_id AS STRING) AS biological_system,
+        SELECT event_id AS id, CASE WHEN e.row_id % 3 < 2 THEN a.doi END AS doi, CASE WHEN e.row_id % 3 < 2 THEN a.pmid END AS pmid, CASE WHEN e.row_id % 3 < 2 THEN a.pmcid END AS pmcid, 'system ' || CAST(user_id AS STRING) AS biological_system,
           CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS measured_compartment,
           CASE WHEN event_id % 2 = 0 THEN 'human' ELSE 'mouse' END AS species, CAST(NULL AS STRING) AS perturbations,
           'assay ' || CAST(event_id % 7 AS STRING) AS omics_assay, 'm' || CAST(event_id % 2 AS STRING) AS model, event_id % 11 AS created_at
-        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events WHERE event_id % 6 = 0) e
+        FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events) e
         JOIN articles a ON a.row_id = e.row_id""",
 }
 

@@ -318,7 +318,7 @@ _KEYED = """keyed AS (SELECT a.*, 'article:' || coalesce(doi, pmid, pmcid) AS no
   e_mesh AS (SELECT a.node, f.mesh_term_id, f.is_major_topic FROM keyed a JOIN article_mesh_terms f ON """ + SAME + """),
   used AS (""" + _USED.replace("FROM articles a", "FROM keyed a").replace("a.row_id", "a.node") + """),
   edges AS (
-    SELECT node AS source, 'journal:' || CAST(journal_id AS STRING) AS target, 'published_in' AS type, NULL AS position FROM keyed
+    SELECT node AS source, 'journal:' || CAST(journal_id AS STRING) AS target, 'published_in' AS type, NULL AS position FROM keyed WHERE journal_id IN (SELECT journal_id FROM journals)
     UNION ALL SELECT 'author:' || CAST(author_id AS STRING), node, 'authored', author_position FROM e_authors
     UNION ALL SELECT node, 'keyword:' || CAST(keyword_id AS STRING), 'has_keyword', NULL FROM e_keywords
     UNION ALL SELECT node, 'mesh:' || CAST(mesh_term_id AS STRING), 'has_mesh_term', NULL FROM e_mesh

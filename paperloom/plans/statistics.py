@@ -55,12 +55,12 @@ def profile_documents(t):
     return _profile(t["documents"])
 
 
-_DEP = ("feature_id", "log2fc", "pvalue", "padj")
+_DEP = ("feature_id", "log2fc", "pvalue", "padj", "significant")
 
 
 @query("profile_dep", oracle(_profile_sql("dep_reproduced", _DEP[1:], _DEP[:1], _DEP), "dep_reproduced"))
 def profile_dep(t):
-    return _profile(t["dep_reproduced"].drop("significant"))
+    return _profile(t["dep_reproduced"])
 
 
 @query("profile_header", "SELECT 'lineitem' AS source, count(*) AS n_rows, 11 AS n_cols, 4 AS n_columns_described, 'Described the first 4 of 11 columns.' AS notes FROM lineitem")

@@ -299,12 +299,11 @@ def coerce_answers(t):
     return t.sql(_ANSWERS).select("doc_id", cells.coerce_score(F.col("score")).alias("score"), cells.coerce_flag(F.col("flag")).alias("flag"))
 
 
-# Every third article has a descriptor, every second of the others a text.
+# Two of three articles may have descriptors, three of four a text.
 _STUDIES = "SELECT row_id, doi, pmid, pmcid, title, abstract, article_filepath FROM articles WHERE coalesce(doi, pmid, pmcid) IS NOT NULL"
-_SOME = "SELECT * FROM descriptors WHERE id % 3 = 0"
 _NEWEST = f"""newest AS (SELECT * FROM (SELECT a.row_id, f.biological_system, f.measured_compartment, f.species, f.omics_assay,
       row_number() OVER (PARTITION BY a.row_id ORDER BY f.created_at DESC, f.id DESC) AS r
-    FROM articles a JOIN ({_SOME}) f ON (f.doi = a.doi OR f.pmid = a.pmid OR f.pmcid = a.pmcid)) WHERE r = 1),
+    FROM articles a JOIN descriptors f ON (f.doi = a.doi OR f.pmid = a.pmid OR f.pmcid = a.pmcid)) WHERE r = 1),
   built AS (SELECT s.row_id, 'TITLE: ' || s.title || chr(10) || 'ABSTRACT: ' || s.abstract AS header, x.text,
       'MEASUREMENT DESCRIPTOR (cached):' || chr(10) || concat_ws(chr(10), '- biological system / cell type: ' || n.biological_system,
         '- measured compartment: ' || n.measured_compartment, '- species: ' || n.species, '- omics / assay: ' || n.omics_assay) AS described,
@@ -313,7 +312,7 @@ _NEWEST = f"""newest AS (SELECT * FROM (SELECT a.row_id, f.biological_system, f.
 
 
 def _contexts(t):
-    return relevance.build_context(t.sql(_STUDIES), t["texts"], t.sql(_SOME))
+    return relevance.build_context(t.sql(_STUDIES), t["texts"], t["descriptors"])
 
 
 @query("build_context", oracle(
@@ -452,8 +451,9 @@ def filename_batches(t):
     return catalog.filename_batches(t["file_names"], "file_id").select("file_id", "dataset_id", "batch")
 
 
-_LISTING = """SELECT '/data/PXD' || CAST(user_id AS STRING) || CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN '.zip' ELSE '.tar.gz' END AS path,
-    event_id % 3 = 0 AS is_dir FROM events WHERE user_id % 4 <> event_id % 4"""
+# A quarter of the paths are of datasets that nobody asks for.
+_LISTING = """SELECT '/data/PXD' || CAST(user_id + CASE WHEN user_id % 4 = event_id % 4 THEN 100000000 ELSE 0 END AS STRING) || CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN '.zip' ELSE '.tar.gz' END AS path,
+    event_id % 3 = 0 AS is_dir FROM events"""
 
 
 @query("dataset_availability", oracle(
