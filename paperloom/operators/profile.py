@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import truncate_cell
-from ..session import materialize
-from .ranking import cumulative
+from .ranking import cumulative, in_ranges
 
 # Columns with more distinct values than this get no list of top values.
 CATEGORICAL_MAX = 50
@@ -30,7 +29,9 @@ def profile_table(
     """One row per described column: counts, distinct values, numeric statistics, top values.
 
     NaN counts as missing and an infinite statistic is NULL. ``n_unique`` is -1 for nested
-    types. ``top_values`` is filled for non-numeric columns of few distinct values.
+    types. ``top_values`` is filled for non-numeric columns of few distinct values. ``min``, ``max`` and ``median`` are
+    DOUBLE; for DECIMAL and BIGINT columns ``min_exact``, ``max_exact`` and ``median_exact`` have all digits as
+    text (of an even number of values the lower middle one).
 
     Everything comes from one pass of plain aggregates and one ``(column, value)`` histogram,
     which is combined before it is shuffled and written once; medians are read off it by
@@ -52,9 +53,13 @@ def profile_table(
             return F.nanvl(value.cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
         return value
 
-    base = df.select(*[cell(f).alias(c) for c, f in zip(short, fields)])
+    wide = {c: f for c, f in zip(short, fields) if isinstance(f.dataType, (T.LongType, T.DecimalType))}
+    raws = [F.col(f"`{f.name}`").alias(f"{c}_raw") for c, f in wide.items()]
+    base = df.select(*[cell(f).alias(c) for c, f in zip(short, fields)], *raws)
 
     aggs = [F.count("*").alias("rows")]
+    for c in wide:
+        aggs += [F.min(f"{c}_raw").alias(f"{c}_least"), F.max(f"{c}_raw").alias(f"{c}_most")]
     for c in short:
         aggs.append(F.count(c).alias(f"{c}_n"))
     for c in numeric:
@@ -77,48 +82,52 @@ def profile_table(
             F.lit(c in numeric).alias("is_numeric"),
             F.lit(c in flat).alias("_flat"),
             *[stat(c, s) for s in ("min", "max", "mean", "std")],
+            *[(F.col(f"{c}_{s}") if c in wide else F.lit(None)).cast("string").alias(f"{n}_exact") for s, n in (("least", "min"), ("most", "max"))],
         )
         for i, (c, f) in enumerate(zip(short, fields))
     ]
     described = moments.select(F.inline(F.array(*per_column)))
 
     # Histogram of (column, value). Numbers are their own key, except that decimals, and integers
-    # beyond the exact range of a double, are told apart by their text. Texts are counted by their
-    # digest, so that they are not shuffled whole.
+    # beyond the exact range of a double, are told apart by their text and ordered by their whole and
+    # fractional parts. Texts are counted by their digest, so that they are not shuffled whole.
     entries = []
+    none, whole, part = F.lit(None).cast("string"), F.lit(None).cast("decimal(38,0)"), F.lit(None).cast("decimal(38,38)")
+
+    def entry(i, key, value, shown, whole, part):
+        return F.struct(F.lit(i).alias("column_no"), key.alias("key"), value.alias("value"), shown.alias("shown"), whole.alias("whole"), part.alias("part"))
+
     for i, (c, f) in enumerate(zip(short, fields)):
         if c not in flat:
             continue
-        none = F.lit(None).cast("string")
-        if c in numeric:
-            wide = isinstance(f.dataType, (T.LongType, T.DecimalType))
-            raw = F.col(f"{c}_raw")
-            exact_double = F.abs(F.col(c)) < EXACT_LIMIT
-            key = raw if isinstance(f.dataType, T.DecimalType) else F.when(~exact_double, raw) if wide else none
-            entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.col(c).alias("value"), none.alias("shown")))
-            continue
-        text = F.col(c).cast("string")
-        key, shown = F.sha2(text, 256), truncate_cell(text, max_cell_chars)
-        entries.append(F.struct(F.lit(i).alias("column_no"), key.alias("key"), F.lit(None).cast("double").alias("value"), shown.alias("shown")))
-    exact = [
-        F.col(f"`{f.name}`").cast("string").alias(f"{c}_raw")
-        for c, f in zip(short, fields) if isinstance(f.dataType, (T.LongType, T.DecimalType))
-    ]
-    cells = df.select(*[cell(f).alias(c) for c, f in zip(short, fields)], *exact)
+        raw = F.col(f"{c}_raw")
+        if isinstance(f.dataType, T.DecimalType):
+            rest = raw % F.lit(1).cast("decimal(1,0)")
+            entries.append(entry(i, raw.cast("string"), F.col(c), none, F.floor(raw).cast("decimal(38,0)"), F.when(rest < 0, rest + 1).otherwise(rest).cast("decimal(38,38)")))
+        elif c in wide:
+            entries.append(entry(i, F.when(F.abs(F.col(c)) >= EXACT_LIMIT, raw.cast("string")), F.col(c), none, raw.cast("decimal(38,0)"), part))
+        elif c in numeric:
+            entries.append(entry(i, none, F.col(c), none, whole, part))
+        else:
+            text = F.col(c).cast("string")
+            entries.append(entry(i, F.sha2(text, 256), F.lit(None).cast("double"), truncate_cell(text, max_cell_chars), whole, part))
+    cells = base
     hist = (
         cells.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull() | F.col("value").isNotNull())
         # ``shown`` follows from the key; as a grouping column it keeps the aggregation hash-based.
-        .groupBy("column_no", "key", "value", "shown").agg(F.count("*").alias("n"))
+        .groupBy("column_no", "key", "value", "shown", "whole", "part").agg(F.count("*").alias("n"))
     )
     # The histogram is used four times, so it is written once. Its partitions are value ranges;
     # their numbers, fixed by the write, let running counts be taken range by range.
-    hist = materialize(hist.repartitionByRange("column_no", "value", "key").withColumn("range", F.spark_partition_id()))
+    order = ["value", "whole", "part"]
+    hist = in_ranges(hist, ["column_no", *order, "key"])
     distinct = hist.groupBy("column_no").agg(F.count("*").alias("_unique"), F.sum("n").alias("_n"))
 
     low = F.floor((F.col("_n") - 1) / 2)
     high = F.floor(F.col("_n") / 2)
-    numbers = hist.where(F.col("value").isNotNull()).select("column_no", "value", "range", "n")
-    below = cumulative(numbers, ["column_no"], "value", "range")
+    exact = F.when(F.col("whole").isNotNull(), F.coalesce("key", F.col("whole").cast("string")))
+    numbers = hist.where(F.col("value").isNotNull()).select("column_no", *order, "range", "n", exact.alias("exact"))
+    below = cumulative(numbers, ["column_no"], order, "range")
     # ``distinct`` has one row per described column, so it is as small as the schema.
     sized = below.join(F.broadcast(distinct), "column_no")
 
@@ -126,7 +135,8 @@ def profile_table(
         return (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
 
     median = sized.where(holds(low) | holds(high)).groupBy("column_no").agg(
-        ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias("_median")
+        ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias("_median"),
+        F.max(F.when(holds(low), F.col("exact"))).alias("_median_exact"),
     )
 
     few = F.broadcast(distinct.where(F.col("_unique") <= CATEGORICAL_MAX).select("column_no"))
@@ -146,6 +156,7 @@ def profile_table(
         "is_numeric", "min", "max", "mean",
         F.when(~F.isnan(m) & (F.abs(m) != float("inf")), m).alias("median"), "std",
         F.coalesce("_top", F.expr("cast(array() as array<struct<value:string,count:bigint>>)")).alias("top_values"),
+        "min_exact", "max_exact", F.col("_median_exact").alias("median_exact"),
     )
 
 

@@ -129,12 +129,12 @@ def number_in_order(df: DataFrame, columns: Sequence[str], name: str = "row_no")
     return join_same(ranked, offsets, [], exact=["_range"]).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_in_range") + F.col("_before")).alias(name))
 
 
-def cumulative(hist: DataFrame, by: Sequence[str], value: str, range_col: str, count: str = "n") -> DataFrame:
+def cumulative(hist: DataFrame, by: Sequence[str], value: str | Sequence[str], range_col: str, count: str = "n") -> DataFrame:
     """Add ``below``: rows of the group with a smaller value, from a histogram of distinct values."""
-    by = list(by)
+    by, value = list(by), [value] if isinstance(value, str) else list(value)
     sizes = hist.groupBy(*by, range_col).agg(F.sum(count).alias("_size"))
     offsets = _sum_before(sizes, by, range_col).drop("_size")
-    inside = Window.partitionBy(*by, range_col).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, range_col).orderBy(*value).rowsBetween(Window.unboundedPreceding, -1)
     summed = hist.withColumn("_inside", F.coalesce(F.sum(count).over(inside), F.lit(0)))
     return join_same(summed, offsets, by, exact=[range_col]).select(
         *[F.col(f"`{c}`") for c in hist.columns], (F.col("_inside") + F.col("_before")).alias("below")

@@ -63,6 +63,19 @@ def profile_dep(t):
     return _profile(t["dep_reproduced"])
 
 
+# Values that differ in digits a double does not have.
+_WIDE = """SELECT CAST('1234567890123456789.' || lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING), 8, '0') AS DECIMAL(38, 8)) AS d,
+    CASE WHEN l_linenumber % 2 = 0 THEN 9007199254740993 ELSE -9007199254740993 END + l_partkey AS b,
+    CAST(CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_discount - 0.05 END AS DECIMAL(10, 4)) AS s FROM lineitem"""
+
+
+@query("profile_decimals", " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count({c}) AS non_null, count(DISTINCT {c}) AS n_unique, CAST(min({c}) AS STRING) AS min_exact, CAST(max({c}) AS STRING) AS max_exact, "
+    f"CAST(quantile_disc({c}, 0.5) AS STRING) AS median_exact FROM ({_WIDE}) w" for c in "dbs"))
+def profile_decimals(t):
+    return profile.profile_table(t.sql(_WIDE)).select("name", "non_null", "n_unique", "min_exact", "max_exact", "median_exact")
+
+
 @query("profile_header", "SELECT 'lineitem' AS source, count(*) AS n_rows, 11 AS n_cols, 4 AS n_columns_described, 'Described the first 4 of 11 columns.' AS notes FROM lineitem")
 def profile_header(t):
     h = profile.table_header(t["lineitem"], "lineitem", max_columns=4)

@@ -73,6 +73,28 @@ def scan_spans(t):
     return spans.groupBy("doc_id").agg(*[F.count_if(F.col("category") == c).alias(f"n_{c}") for c in inj.WEIGHTS])
 
 
+def _marked_sql() -> str:
+    """Each match between two marks; what lies before a mark gives the offsets."""
+    parts = []
+    for p in inj.PATTERNS:
+        regex = p.regex.replace("'", "''")
+        parts.append(f"SELECT doc_id, '{p.category}' AS category, '{p.label}' AS pattern, string_split(regexp_replace(text, '({regex})', chr(1) || '\\1' || chr(2), 'gi'), chr(1)) AS parts FROM scan_texts")
+    return " UNION ALL ".join(parts)
+
+
+# The encoded payload has look-arounds, which the checking engine does not know; scan_spans counts it.
+@query("scan_offsets", oracle(
+    """SELECT doc_id, category, pattern, CAST(list_sum(list_transform(parts[1:i], lambda t: length(replace(t, chr(2), '')))) AS BIGINT) AS start,
+      CAST(list_sum(list_transform(parts[1:i], lambda t: length(replace(t, chr(2), '')))) + length(string_split(parts[i + 1], chr(2))[1]) AS BIGINT) AS "end",
+      CASE WHEN length(s) > 60 THEN rtrim(substr(s, 1, 59)) || '…' ELSE s END AS snippet
+    FROM (SELECT *, trim(regexp_replace(string_split(parts[i + 1], chr(2))[1], '\\s+', ' ', 'g')) AS s FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM marked))""",
+    "scan_texts", extra=f"marked AS ({_marked_sql()})"))
+def scan_offsets(t):
+    """Offsets, labels and snippets of all spans of the listed patterns."""
+    spans = scan.scan_spans(t["scan_texts"], "doc_id", snippet_len=60, partitions=t.partitions).where("pattern <> 'base64_blob'")
+    return spans.select("doc_id", "category", "pattern", "start", "end", "snippet")
+
+
 @query("scan_pages", f"""WITH {_signal_sql("(SELECT page_id AS doc_id, html AS text FROM pages)")}
     SELECT doc_id, total_matches, risk_score FROM signal""")
 def scan_pages(t):

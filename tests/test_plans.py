@@ -121,3 +121,27 @@ def test_missing_keys_are_spread(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_left_join_shares_the_inner_joins_exchanges(stored):
+    """One exchange a side, and one by left row that tells which met nothing."""
+    from paperloom.operators.idjoin import id_join
+
+    left = stored["article_embeddings"].select("doi", "pmid", "pmcid", "vec_id")
+    right = stored["articles"].select("doi", "pmid", "pmcid", "row_id")
+    conf = left.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(id_join(left, right, "left"))
+    finally:
+        conf.unset("spark.sql.adaptive.enabled")
+        conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("SortMergeJoin") == 1
+
+
+def test_graph_reads_its_links(stored):
+    """Nodes, edges and counts plan no join of articles and links again."""
+    for part in graph.literature_graph(stored, include=("journals", "authors", "keywords")):
+        text = plan(part)
+        assert "article_authors" not in text and "article_keywords" not in text

@@ -200,3 +200,14 @@ def test_profile_counts_decimals_and_wide_tables(spark):
     wide = spark.range(3).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(120)])
     assert profile.profile_table(wide).count() == 120
     assert profile.table_header(wide).first().n_columns_described == 120 and len(profile.example_rows(wide).columns) == 120
+
+
+def test_profile_keeps_all_digits(spark):
+    rows = [("12345678901234567890.00000001", 9007199254740993), ("12345678901234567890.00000002", 9007199254740992), ("12345678901234567890.00000003", 1),
+            ("-0.50000000", None), (None, -9007199254740995)]
+    df = spark.createDataFrame(rows, "d string, b bigint").select(F.col("d").cast("decimal(38,8)").alias("d"), "b", F.col("b").cast("double").alias("f"))
+    got = {r.name: r for r in profile.profile_table(df).collect()}
+    assert (got["d"].min_exact, got["d"].max_exact, got["d"].median_exact, got["d"].n_unique) == ("-0.50000000", rows[2][0], rows[0][0], 4)
+    assert (got["b"].min_exact, got["b"].max_exact, got["b"].median_exact) == ("-9007199254740995", "9007199254740993", "1")
+    assert (got["f"].min_exact, got["f"].median_exact) == (None, None) and got["f"].max == 9007199254740992.0
+    assert got["b"].min == -9007199254740996.0 and got["d"].max == 1.2345678901234567e19
