@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,6 +43,21 @@ PROCESSING_PATTERNS = (
 CATEGORIES = (
     "raw_data", "instrument_parameters", "quantitative_data", "summary", "processing_parameters", "unknown",
 )
+# The rules in their order: what is found, the category, and the reason with what was found.
+CATEGORY_RULES = (
+    ("raw_extension", "raw_data", "Extension {joined} indicates raw instrument data"),
+    ("d_folder", "raw_data", "Agilent/Bruker .d directory indicates raw instrument data"),
+    ("instrument_extension", "instrument_parameters", "Extension {joined} indicates instrument parameters"),
+    ("instrument_name", "instrument_parameters", "Filename contains '{instrument}' indicating instrument parameters"),
+    ("summary_extension", "summary", "Extension {last} indicates summary/figure file"),
+    ("ambiguous_with_processing_name", "processing_parameters", "Extension {last} with '{processing}' indicates processing parameters"),
+    ("processing_extension", "processing_parameters", "Extension {last} indicates processing parameters"),
+    ("table_with_quantitative_name", "quantitative_data", "Extension {last} with '{quantitative}' indicates quantitative data"),
+    ("table_with_summary_name", "summary", "Extension {last} with '{summary}' indicates summary data"),
+    ("raw_name", "raw_data", "Filename contains '{raw}' indicating raw data"),
+    ("summary_name", "summary", "Filename contains '{summary}'"),
+    ("any_name", "unknown", "Could not classify by heuristics"),
+)
 # Name stored for each category.
 STORED_CATEGORIES = {
     "raw_data": "raw_data",
@@ -97,58 +113,36 @@ def _first_pattern(name: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def file_category(c: Column) -> Column:
-    """``struct(category, reason)`` by extension and name rules; the first rule that fits decides."""
+    """``struct(category, reason)`` by extension and name; the first of CATEGORY_RULES that fits decides."""
     name = F.lower(c)
     joined, last = suffixes(name)
-
-    def result(category: str, *reason) -> Column:
-        text = F.concat(*[F.lit(r) if isinstance(r, str) else r for r in reason])
-        return F.struct(F.lit(category).alias("category"), text.alias("reason"))
-
-    def has(extensions: tuple[str, ...], either: bool = False) -> Column:
-        return last.isin(*extensions) | joined.isin(*extensions) if either else last.isin(*extensions)
-
-    instrument = _first_pattern(name, INSTRUMENT_PATTERNS)
-    processing = _first_pattern(name, PROCESSING_PATTERNS)
-    quantitative = _first_pattern(name, QUANTITATIVE_PATTERNS)
-    summary = _first_pattern(name, SUMMARY_PATTERNS)
-    raw = _first_pattern(name, RAW_PATTERNS)
-    ambiguous = has(AMBIGUOUS_EXTENSIONS)
-    return (
-        F.when(has(RAW_EXTENSIONS, True), result("raw_data", "Extension ", joined, " indicates raw instrument data"))
-        .when(
-            F.contains(name, F.lit(".d/")) | F.endswith(name, F.lit(".d")),
-            result("raw_data", "Agilent/Bruker .d directory indicates raw instrument data"),
-        )
-        .when(
-            has(INSTRUMENT_EXTENSIONS, True),
-            result("instrument_parameters", "Extension ", joined, " indicates instrument parameters"),
-        )
-        .when(
-            instrument.isNotNull() & ~has(TABULAR_EXTENSIONS + SUMMARY_EXTENSIONS),
-            result("instrument_parameters", "Filename contains '", instrument, "' indicating instrument parameters"),
-        )
-        .when(has(SUMMARY_EXTENSIONS), result("summary", "Extension ", last, " indicates summary/figure file"))
-        .when(
-            ambiguous & processing.isNotNull(),
-            result("processing_parameters", "Extension ", last, " with '", processing, "' indicates processing parameters"),
-        )
-        .when(
-            has(PROCESSING_EXTENSIONS) & ~ambiguous,
-            result("processing_parameters", "Extension ", last, " indicates processing parameters"),
-        )
-        .when(
-            has(TABULAR_EXTENSIONS) & quantitative.isNotNull(),
-            result("quantitative_data", "Extension ", last, " with '", quantitative, "' indicates quantitative data"),
-        )
-        .when(
-            has(TABULAR_EXTENSIONS) & summary.isNotNull(),
-            result("summary", "Extension ", last, " with '", summary, "' indicates summary data"),
-        )
-        .when(raw.isNotNull(), result("raw_data", "Filename contains '", raw, "' indicating raw data"))
-        .when(summary.isNotNull(), result("summary", "Filename contains '", summary, "'"))
-        .when(c.isNotNull(), result("unknown", "Could not classify by heuristics"))
-    )
+    patterns = {
+        "instrument": INSTRUMENT_PATTERNS, "processing": PROCESSING_PATTERNS, "quantitative": QUANTITATIVE_PATTERNS,
+        "summary": SUMMARY_PATTERNS, "raw": RAW_PATTERNS,
+    }
+    words = {"joined": joined, "last": last, **{kind: _first_pattern(name, p) for kind, p in patterns.items()}}
+    named = {kind: words[kind].isNotNull() for kind in patterns}
+    table, ambiguous = last.isin(*TABULAR_EXTENSIONS), last.isin(*AMBIGUOUS_EXTENSIONS)
+    found = {
+        "raw_extension": last.isin(*RAW_EXTENSIONS) | joined.isin(*RAW_EXTENSIONS),
+        "d_folder": F.contains(name, F.lit(".d/")) | F.endswith(name, F.lit(".d")),
+        "instrument_extension": last.isin(*INSTRUMENT_EXTENSIONS) | joined.isin(*INSTRUMENT_EXTENSIONS),
+        "instrument_name": named["instrument"] & ~last.isin(*TABULAR_EXTENSIONS, *SUMMARY_EXTENSIONS),
+        "summary_extension": last.isin(*SUMMARY_EXTENSIONS),
+        "ambiguous_with_processing_name": ambiguous & named["processing"],
+        "processing_extension": last.isin(*PROCESSING_EXTENSIONS) & ~ambiguous,
+        "table_with_quantitative_name": table & named["quantitative"],
+        "table_with_summary_name": table & named["summary"],
+        "raw_name": named["raw"],
+        "summary_name": named["summary"],
+        "any_name": c.isNotNull(),
+    }
+
+    def reason(form: str) -> Column:
+        return F.concat(*[words[part] if at % 2 else F.lit(part) for at, part in enumerate(re.split(r"[{}]", form)) if part])
+
+    rules = [F.when(found[test], F.struct(F.lit(category).alias("category"), reason(form).alias("reason"))) for test, category, form in CATEGORY_RULES]
+    return F.coalesce(*rules)
 
 
 def stored_category(c: Column) -> Column:

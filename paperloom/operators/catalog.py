@@ -131,6 +131,7 @@ def full_text(ids: DataFrame, articles: DataFrame, texts: DataFrame) -> DataFram
         .otherwise("found")
     )
     error = (
+        # The error of each status.
         F.when(status == "not_found", "Article not found in database")
         .when(status == "no_filepath", "Article has no downloaded full text")
         .when(status == "file_read_error", F.concat(F.lit("File not found: "), F.col("article_filepath")))

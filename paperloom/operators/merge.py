@@ -318,6 +318,7 @@ def apply_status(requests: DataFrame, proposals: DataFrame, now: Column | None =
     rule = F.coalesce(*[F.when(new == s, text) for s, (_, text) in TRANSITIONS.items()])
     error = (
         F.when(~new.isin(*TRANSITIONS), F.concat(F.lit("Unknown status: "), new))
+        # The texts of all errors.
         .when(no_reason, "status_reason is required when marking a request as incomplete")
         .when(F.col("_id").isNull(),
               F.concat(F.lit("Feature request with ID "), F.col("request_id").cast("string"), F.lit(" not found")))

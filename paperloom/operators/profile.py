@@ -173,6 +173,7 @@ def table_header(
     scanned = df if max_scan_rows is None else df.limit(max_scan_rows)
     rows, n_cols = F.count("*"), len(df.columns)
     capped = F.lit(False) if max_scan_rows is None else rows >= max_scan_rows
+    # The texts of the two notes.
     row_note = F.when(capped, f"Only the leading {max_scan_rows} rows were scanned; the file may have more.")
     described = n_cols if max_columns is None else min(n_cols, max_columns)
     column_note = F.lit(f"Described the first {described} of {n_cols} columns." if n_cols > described else None)

@@ -17,6 +17,7 @@ from .ranking import join_same, lookup
 from .scan import scan_signal
 
 EXCERPT_CHARS = 4600
+# The texts of a missing context and a missing score.
 NO_CONTEXT = "No study text/abstract/descriptor available to score."
 NO_SCORE = "Model did not return a usable score."
 

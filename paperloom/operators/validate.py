@@ -52,6 +52,7 @@ def validate_articles(articles: DataFrame, crossref: DataFrame, pubmed: DataFram
             return F.when(~ok, F.concat(F.lit(f"{kind} date mismatch with {label}: stored="), F.col(column).cast("string"),
                                         F.lit(f" vs {word}="), s[column].cast("string")))
 
+        # The texts of all issues, here and below.
         issues = [
             F.when(failed.isNotNull(), F.concat(F.lit(f"{label} lookup failed: "), failed)),
             F.when(~title_ok, F.concat(F.lit(f"Title mismatch with {label}: stored='"), F.col("title"),
