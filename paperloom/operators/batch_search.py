@@ -6,6 +6,8 @@ block with each Arrow batch and keeps the ``k`` best rows of every query; tasks'
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -119,16 +121,18 @@ def search_many(embeddings: DataFrame, queries: DataFrame, k: int = 5, id_col: s
     asked = materialize(asked) if total else asked
     rows = embeddings.where(F.col(id_col).isNotNull()).select(F.spark_partition_id().alias("task"), F.col(id_col).cast(kind).alias("id"), e.alias("vector"))
     schema = f"task int, query_id {query_kind}, id {kind}, score double"
-    found = None
-    for length, n in sorted((r.length, r.n) for r in total):
-        blocks = -(-n * (8 * length + 64 * k) // BLOCK_BYTES)
-        for b in range(blocks):
-            # At most about BLOCK_BYTES, by the count above.
-            block = asked.where((F.col("length") == length) & (F.pmod(F.xxhash64("query_id", "vector"), F.lit(blocks)) == b)).select("query_id", "vector").collect()
-            if block:
-                part = rows.mapInArrow(_task([r.query_id for r in block], np.array([r.vector for r in block]), k), schema)
-                found = part if found is None else found.unionByName(part)
-    if found is None:
+    blocks = [(r.length, b, -(-r.n * (8 * r.length + 64 * k) // BLOCK_BYTES)) for r in sorted(total) for b in range(-(-r.n * (8 * r.length + 64 * k) // BLOCK_BYTES))]
+    found = []
+    for length, b, of in blocks:
+        # At most about BLOCK_BYTES, by the count above.
+        block = asked.where((F.col("length") == length) & (F.pmod(F.xxhash64("query_id", "vector"), F.lit(of)) == b)).select("query_id", "vector").collect()
+        if block:
+            part = rows.mapInArrow(_task([r.query_id for r in block], np.array([r.vector for r in block]), k), schema)
+            best = _ranked(_ranked(part.withColumn("group", F.floor(F.col("task") / FAN)), k, "query_id", "group"), k, "query_id").select("query_id", "id", "score", "rank")
+            # Of many blocks one is held at a time.
+            found.append(materialize(best) if len(blocks) > 1 else best)
+    if not found:
         return embeddings.sparkSession.createDataFrame([], f"query_id {query_kind}, id {kind}, score double, rank int")
-    found = found.withColumn("group", F.floor(F.col("task") / FAN))
-    return _ranked(_ranked(found, k, "query_id", "group"), k, "query_id").select("query_id", "id", "score", "rank")
+    if len(found) == 1:
+        return found[0]
+    return _ranked(reduce(DataFrame.unionByName, found).drop("rank"), k, "query_id").select("query_id", "id", "score", "rank")
