@@ -285,6 +285,31 @@ def store_facts(t):
     return stored["llm_raw_data"].select("doi", "pmcid", "dataset_id", "model")
 
 
+_KINDS_NEW = """SELECT a.doi, a.pmid, a.pmcid, 'm' || CAST(f.event_id % 3 AS STRING) AS model, 'MSV' || CAST(f.user_id AS STRING) AS dataset_id,
+      ' ' || f.event_type AS method_name, CASE WHEN f.event_id % 10 = 0 THEN '' ELSE 'repo' || CAST(f.user_id % 50 AS STRING) END AS repository,
+      'species ' || CAST(f.event_id AS STRING) AS species, a.row_id, f.event_id AS seq
+    FROM (SELECT event_id, user_id, event_type, event_id % {documents} AS row_id FROM events) f JOIN articles a ON a.row_id = f.row_id
+    WHERE coalesce(a.doi, a.pmid, a.pmcid) IS NOT NULL"""
+_KINDS = {"processed_data": "dataset_id", "analysis_methods": "method_name", "code": "repository", "measurement_descriptor": "species"}
+
+
+# Facts are stored once an article; of descriptors an article's last one of each model stays.
+@query("store_facts_kinds", oracle(" UNION ALL ".join(
+    f"SELECT DISTINCT '{kind}' AS kind, doi, pmid, pmcid, model, {c} AS value FROM ({_KINDS_NEW}) n WHERE {c} <> ''" for kind, c in list(_KINDS.items())[:3]
+) + f""" UNION ALL SELECT 'measurement_descriptor', doi, pmid, pmcid, model, species FROM ({_KINDS_NEW}) n
+    QUALIFY row_number() OVER (PARTITION BY row_id, model ORDER BY seq DESC) = 1""", "articles"))
+def store_facts_kinds(t):
+    rows = t.sql(_KINDS_NEW)
+    parsed = {kind: rows.select("doi", "pmid", "pmcid", "model", c, "seq") for kind, c in _KINDS.items()}
+    names = {**{k: v[0] for k, v in facts.FACT_TABLES.items()}, "measurement_descriptor": "llm_measurement_descriptors"}
+    stored = facts.store_facts({names[k]: p.drop("seq").limit(0) for k, p in parsed.items()}, parsed)
+    out = None
+    for kind, c in _KINDS.items():
+        part = stored[names[kind]].select(F.lit(kind).alias("kind"), "doi", "pmid", "pmcid", "model", F.col(c).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _WORDS_NEW = """SELECT a.doi, a.pmid, a.pmcid, 'm' || CAST(a.row_id % 2 AS STRING) AS model, ' ' || p.p_name || ' ' AS keyword, p.p_partkey AS seq
     FROM (SELECT p_partkey, p_name, p_partkey % {documents} AS row_id FROM part) p JOIN articles a ON a.row_id = p.row_id WHERE coalesce(a.doi, a.pmid, a.pmcid) IS NOT NULL"""
 
