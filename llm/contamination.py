@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, lists, materialize, signed, text_chunks
+from .common import Words, list_parts, lists, materialize, text_chunks
 
 #: Words in a seed, and bytes of test items in one block.
 SEED, BLOCK_BYTES = 3, 16 << 20
@@ -53,22 +53,28 @@ def _bounded(counts: np.ndarray, limit: int = 1 << 20):
         at = to
 
 
+def _hashed(batches):
+    """Rows (number, words) to rows (number, hashes of the words, hashes of the seeds)."""
+    for batch in batches:
+        for at, to, data, offsets in text_chunks(batch.column(1)):
+            words = Words(data, offsets)
+            start, row = words.window_starts(SEED)
+            columns = [batch.column(0).slice(at, to - at), lists(words.hash.view(np.int64), words.count), lists(words.span_hash(start, start + SEED).view(np.int64), np.bincount(row, minlength=to - at))]
+            yield pa.RecordBatch.from_arrays(columns, names=["number", "words", "seeds"])
+
+
 class Items:
     """A block of test items: number, hashes of its words, and the entries (seed, item) of its distinct seeds, sorted by seed."""
 
-    def __init__(self, numbers: np.ndarray, texts: pa.Array, least: float):
-        self.numbers, seeds, entries, hashes, counts, at = numbers, [], [], [], [], 0
-        for _, _, data, offsets in text_chunks(texts):
-            words = Words(data, offsets)
-            start, row = words.window_starts(SEED)
-            seeds.append(words.span_hash(start, start + SEED))
-            entries.append(row + at)
-            hashes.append(words.hash)
-            counts.append(words.count)
-            at += len(words.count)
-        self.words, self.count = np.concatenate(hashes), np.concatenate(counts)
-        self.first = np.concatenate([[0], np.cumsum(self.count)])
-        pairs = np.unique(np.rec.fromarrays([np.concatenate(seeds), np.concatenate(entries)], names="seed,item"))
+    def __init__(self, rows: pa.Table | pa.RecordBatch, least: float):
+        """``rows`` as _hashed makes them: hashing stays in tasks, because tables that it needs would travel with every later task of this driver."""
+        self.numbers = rows.column(0).to_numpy()
+        self.words, self.first = list_parts(rows.column(1))
+        self.words = np.ascontiguousarray(self.words).view(np.uint64)
+        self.count = np.diff(self.first)
+        seeds, ends = list_parts(rows.column(2))
+        entries = np.repeat(np.arange(len(self.count)), np.diff(ends))
+        pairs = np.unique(np.rec.fromarrays([np.ascontiguousarray(seeds).view(np.uint64), entries], names="seed,item"))
         self.seeds, self.items = np.ascontiguousarray(pairs["seed"]), np.ascontiguousarray(pairs["item"])
         # An alignment of all words of an item loses at most 2 * (1 - least) of the score, one word of the text each.
         self.reach = np.ceil(self.count * (1 + MATCH * (1 - least) / -GAP)).astype(np.int64)
@@ -283,8 +289,8 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataF
 
 def _found(texts: DataFrame, block: DataFrame, least: float) -> DataFrame:
     block = materialize(block, "items")
-    rows = block.select("number", "words").toArrow()  # of one block
-    known = Items(rows.column(0).to_numpy(), rows.column(1).combine_chunks(), least)
+    hashed = block.select("number", "words").mapInArrow(_hashed, "number long, words array<long>, seeds array<long>")
+    known = Items(hashed.toArrow(), least)  # of one block
     id_type, item_type = dict(texts.dtypes)["doc_id"], dict(block.dtypes)["item_id"]
     passages = texts.mapInArrow(_passages(known), f"doc_id {id_type}, first int, passage string, number long")
     pairs = passages.join(F.broadcast(block), "number")

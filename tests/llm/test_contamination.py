@@ -8,7 +8,7 @@ from frames import documents, sentence
 
 from llm import contamination
 from llm.common import Words
-from llm.contamination import Items, Places, _passages, contaminated, item_blocks, smith_waterman
+from llm.contamination import Items, Places, _hashed, _passages, contaminated, item_blocks, smith_waterman
 from llm.queries import QUERIES
 
 
@@ -93,6 +93,11 @@ def test_query(spark):
         assert score == plain_score(tests[j], docs[i]) / (2 * len(tests[j]))
 
 
+def block_of(tests):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(tests)), pa.int64()), pa.array([" ".join(t) for t in tests])], names=["number", "words"])
+    return Items(next(_hashed(iter([batch]))), 0.5)
+
+
 def test_stock_phrases_make_no_pairs(spark):
     """As many items as documents, all with one phrase: what leaves the tasks grows with their number, not its square."""
     phrase = "all rights reserved by the holder of this".split()
@@ -100,7 +105,7 @@ def test_stock_phrases_make_no_pairs(spark):
     tests = [sentence(n, 12) + phrase + sentence(n + 5000, 12) for n in range(n)]
     docs = [sentence(9000 + i, 30) + phrase + sentence(20000 + i, 30) for i in range(n)]
     docs += [sentence(40000 + i, 30) + tests[i] + sentence(50000 + i, 30) for i in range(0, n, 4)]  # real copies among them
-    known = Items(np.arange(n), pa.array([" ".join(t) for t in tests]), 0.5)
+    known = block_of(tests)
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array([" ".join(d) for d in docs])], names=["doc_id", "words"])
     left = [(d, i) for out in _passages(known)(iter([batch])) for d, i in zip(out.column(0).to_pylist(), out.column(3).to_pylist())]
     assert sorted(left) == [(n + k, 4 * k) for k in range(n // 4)]
@@ -111,7 +116,7 @@ def test_passages_in_slices(monkeypatch):
     rng = random.Random(3)
     tests = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(3, 25))] for _ in range(60)]
     docs = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(200))] + rng.choice(tests) for _ in range(40)]
-    known = Items(np.arange(60), pa.array([" ".join(t) for t in tests]), 0.5)
+    known = block_of(tests)
     batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([" ".join(d) for d in docs])], names=["doc_id", "words"])
     run = lambda: {(d, f, p, i) for out in _passages(known)(iter([batch])) for d, f, p, i in zip(*[c.to_pylist() for c in out.columns])}
     whole = run()
@@ -129,3 +134,13 @@ def test_places():
     h = words.hash
     spans = [(0, 0, 4, True), (0, 1, 3, False), (0, 3, 4, True), (1, 2, 4, False), (1, 4, 6, True), (2, 2, 3, True), (2, 0, 2, False)]
     assert place.within(h[[s[0] for s in spans]], np.array([s[1] for s in spans]), np.array([s[2] for s in spans])).tolist() == [s[3] for s in spans]
+
+
+def test_tasks_carry_no_tables_of_powers(spark, monkeypatch):
+    """What hashing needs is made by each worker; on the driver it would be pickled with every later task."""
+    from llm import common
+
+    monkeypatch.setattr(common, "_POWERS", {})
+    docs, tests = documents(spark, [(1, "a b c d e")]), items(spark, [(1, "a b c d", "x", 1)])
+    assert [r.doc_id for r in contaminated(docs, tests).collect()] == [1]
+    assert not common._POWERS
