@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import optional_number, to_bool, to_number
+from ..operators.ranking import last_by
 
 # Columns of a DIA-NN protein-group matrix that are not samples.
 DIANN_METADATA = ("Protein.Group", "Protein.Ids", "Protein.Names", "Genes", "First.Protein.Description")
@@ -27,11 +28,17 @@ def _separator(path: str, sep: str | None) -> str:
     return "," if path.lower().endswith(".csv") else "\t"
 
 
-def row_position() -> Column:
-    """Orders the rows of files: by file name, then by the place of the split, then inside it. The same on every run."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")
-    )
+def with_position(rows: DataFrame, path: str, position: str, columns: Sequence[Column]) -> DataFrame:
+    """``columns`` of the rows of files below ``path``, and what orders them: by file name, then by the place of the split, then inside it.
+
+    The same on every run. A file's number stands for its name, because a row with its whole path is several times as large.
+    """
+    files = rows.sparkSession.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    files = files.select("_file", F.row_number().over(Window.orderBy("_file")).alias("_number"))  # a row for each file
+    start, row = F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_row")
+    placed = rows.select(*columns, F.col("_metadata.file_path").alias("_file"), start, row).join(F.broadcast(files), "_file", "left")
+    place = F.struct(F.col("_number").alias("file"), F.col("_start").alias("start"), F.col("_row").alias("row"))
+    return placed.withColumn(position, place).drop("_file", "_number", "_start", "_row")
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str | None = None, multi_line: bool = False,
@@ -40,7 +47,7 @@ def read_text_table(spark: SparkSession, path: str, sep: str | None = None, mult
 
     All files below ``path`` have the header of the first. Short rows are filled with NULL, blank lines are skipped, of header cells
     with one name the last counts. ``position`` names a column that orders the rows as they stand in
-    the files, see row_position. ``surplus`` names a column with the first non-empty cell beyond the
+    the files, see with_position. ``surplus`` names a column with the first non-empty cell beyond the
     header; cells beyond it are else left out. Quoted line breaks need ``multi_line``, which reads each
     file in one task.
     """
@@ -54,14 +61,15 @@ def read_text_table(spark: SparkSession, path: str, sep: str | None = None, mult
     columns = [F.col(names[last[name]]).alias(name) for name in dict.fromkeys(header)]
     if surplus is not None:
         columns.append(F.col(names[-1]).alias(surplus))
-    if position is not None:
-        columns.append(row_position().alias(position))
-    return rows.select(*columns)
+    return rows.select(*columns) if position is None else with_position(rows, path, position, columns)
 
 
 def melt_matrix(df: DataFrame, id_col: str | None = None, sample_cols: Sequence[str] | None = None,
-                metadata_cols: Sequence[str] = (), strip_prefix: str = "", position: str | None = None) -> DataFrame:
-    """Wide all-string matrix to ``feature_id, sample, value``, and the column ``position`` if one is named."""
+                metadata_cols: Sequence[str] = (), strip_prefix: str = "", position: str | None = None, last_rows: bool = False) -> DataFrame:
+    """Wide all-string matrix to ``feature_id, sample, value``, and the column ``position`` if one is named.
+
+    With ``last_rows`` only the last row of each feature by ``position`` is taken, before it becomes as many rows as there are samples.
+    """
     id_col = df.columns[0] if id_col is None else id_col
     if id_col not in df.columns:
         raise ValueError(f"id_column {id_col!r} not found in {df.columns}")
@@ -69,26 +77,31 @@ def melt_matrix(df: DataFrame, id_col: str | None = None, sample_cols: Sequence[
         samples = [c for c in df.columns if c not in (id_col, position) and c not in metadata_cols]
     else:
         samples = [c for c in sample_cols if c in df.columns]
-    cells = F.array(*[
-        F.struct(F.lit(c.removeprefix(strip_prefix)).alias("sample"), to_number(F.col(f"`{c}`").cast("string")).alias("value"))
-        for c in samples
-    ])
     feature = F.coalesce(F.col(f"`{id_col}`"), F.lit("")).alias("feature_id")
     place = [] if position is None else [F.col(f"`{position}`")]
     if not samples:
         return df.select(feature, F.lit(None).cast("string").alias("sample"), F.lit(None).cast("double").alias("value"), *place).limit(0)
-    return df.select(feature, F.inline(cells), *place)
+    values = [to_number(F.col(f"`{c}`").cast("string")).alias(f"_value{i}") for i, c in enumerate(samples)]
+    rows = df.select(feature, *values, *place)
+    if last_rows:
+        rows = last_by(rows, ["feature_id"], position)
+    cells = F.array(*[F.struct(F.lit(c.removeprefix(strip_prefix)).alias("sample"), F.col(f"_value{i}").alias("value")) for i, c in enumerate(samples)])
+    return rows.select("feature_id", F.inline(cells), *place)
 
 
 def read_matrix(spark: SparkSession, path: str, id_col: str | None = None, sample_cols: Sequence[str] | None = None, sep: str | None = None,
-                metadata_cols: Sequence[str] = (), multi_line: bool = False, position: str | None = None) -> DataFrame:
-    """Long matrix of a delimited file; with ``position``, last_by on it gives the last row of a repeated feature."""
-    return melt_matrix(read_text_table(spark, path, sep, multi_line, position), id_col, sample_cols, metadata_cols, position=position)
+                metadata_cols: Sequence[str] = (), multi_line: bool = False, position: str | None = None, last_rows: bool = False) -> DataFrame:
+    """Long matrix of a delimited file; with ``position``, last_by on it gives the last row of a repeated feature.
+
+    With ``last_rows`` the others are left out while rows are still wide.
+    """
+    table = read_text_table(spark, path, sep, multi_line, position)
+    return melt_matrix(table, id_col, sample_cols, metadata_cols, position=position, last_rows=last_rows)
 
 
 def read_diann_matrix(spark: SparkSession, path: str, id_col: str = "Protein.Group", sample_cols: Sequence[str] | None = None,
-                      sep: str | None = None, position: str | None = None) -> DataFrame:
-    return read_matrix(spark, path, id_col, sample_cols, sep, DIANN_METADATA, position=position)
+                      sep: str | None = None, position: str | None = None, last_rows: bool = False) -> DataFrame:
+    return read_matrix(spark, path, id_col, sample_cols, sep, DIANN_METADATA, position=position, last_rows=last_rows)
 
 
 def read_maxquant_matrix(spark: SparkSession, path: str, id_col: str = MAXQUANT_IDS[0], prefix: str = MAXQUANT_PREFIXES[0],
