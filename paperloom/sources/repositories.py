@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,18 @@ def _field(json: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(json, f"$.{n}"), F.lit("")) for n in names])
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _list(json: Column, *names: str) -> Column:
     """First non-empty list among several member names, elements as texts, NULL elements dropped."""
-    lists = []
-    for n in names:
-        found = F.get_json_object(json, f"$.{n}")
-        items = F.from_json(F.when(F.startswith(found, F.lit("[")), found), "array<string>")
-        lists.append(F.when(F.size(items) > 0, items))
+
+    def listed(found):
+        return _once(F.from_json(F.when(F.startswith(found, F.lit("[")), found), "array<string>"), lambda items: F.when(F.size(items) > 0, items))
+
+    lists = [_once(F.get_json_object(json, f"$.{n}"), listed) for n in names]
     empty = F.expr("cast(array() as array<string>)")
     return F.filter(F.coalesce(*lists, empty), lambda x: x.isNotNull())
 
@@ -46,8 +53,14 @@ def _order(df: DataFrame) -> list[Column]:
     return [F.col("seq")] if "seq" in df.columns else []
 
 
-def pride_projects(df: DataFrame, json_col: str, id_col: str = "dataset_id") -> DataFrame:
+def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt out over so many tasks, for inputs in few files: reading a record takes far longer than an exchange."""
+    return df if partitions is None else df.repartition(partitions)
+
+
+def pride_projects(df: DataFrame, json_col: str, id_col: str = "dataset_id", partitions: int | None = None) -> DataFrame:
     """PRIDE project records: both API versions' member names are understood."""
+    df = _dealt(df, partitions)
     j = F.col(json_col)
     references = _list(j, "references", "publications")
 
@@ -67,18 +80,20 @@ def pride_projects(df: DataFrame, json_col: str, id_col: str = "dataset_id") ->
     )
 
 
-def proxi_datasets(df: DataFrame, json_col: str, id_col: str = "dataset_id") -> DataFrame:
+def proxi_datasets(df: DataFrame, json_col: str, id_col: str = "dataset_id", partitions: int | None = None) -> DataFrame:
     """MassIVE records in the PROXI form."""
     j = F.col(json_col)
+    order = _order(df)
+    # Lists that are used twice are columns first, so that each is read once.
+    df = _dealt(df, partitions).withColumns({"_instruments": _list(j, "instruments"), "_publications": _list(j, "publications")})
     nested = _list(j, "species")
     flat = F.flatten(F.transform(nested, lambda i: F.when(F.startswith(i, F.lit("[")), F.from_json(i, "array<string>")).otherwise(F.array(i))))
     scientific = F.transform(flat, lambda i: F.when(
         _is_object(i), F.when(F.get_json_object(i, "$.name") == "taxonomy: scientific name", F.get_json_object(i, "$.value"))).otherwise(i))
-    instruments = _list(j, "instruments")
+    instruments, publications = F.col("_instruments"), F.col("_publications")
     objects = F.filter(instruments, _is_object)
     named = F.transform(objects, lambda i: F.coalesce(F.get_json_object(i, "$.name"), F.get_json_object(i, "$.accession"), i))
     accessions = F.transform(F.filter(_list(j, "identifiers"), _is_object), lambda i: F.get_json_object(i, "$.accession"))
-    publications = _list(j, "publications")
     return df.select(
         F.col(id_col).alias("dataset_id"), F.get_json_object(j, "$.title").alias("title"),
         F.get_json_object(j, "$.summary").alias("description"), F.array_distinct(_present(scientific)).alias("species"),
@@ -86,12 +101,13 @@ def proxi_datasets(df: DataFrame, json_col: str, id_col: str = "dataset_id") ->
         iso_day(_field(j, "submissionDate", "submission_date")).alias("submission_date"),
         iso_day(_field(j, "publicationDate", "publication_date")).alias("publication_date"),
         _first(publications, "doi").alias("doi"), _first(publications, "pubmedId", "pmid").alias("pmid"),
-        F.get(F.filter(accessions, lambda a: F.startswith(a, F.lit("PXD"))), 0).alias("pxd_id"), F.lit("MassIVE").alias("repository"), *_order(df),
+        F.get(F.filter(accessions, lambda a: F.startswith(a, F.lit("PXD"))), 0).alias("pxd_id"), F.lit("MassIVE").alias("repository"), *order,
     )
 
 
-def geo_series(df: DataFrame, json_col: str, id_col: str = "dataset_id") -> DataFrame:
+def geo_series(df: DataFrame, json_col: str, id_col: str = "dataset_id", partitions: int | None = None) -> DataFrame:
     """GEO summary records."""
+    df = _dealt(df, partitions)
     j = F.col(json_col)
     taxon = F.get_json_object(j, "$.taxon")
     listed = F.from_json(F.when(F.startswith(taxon, F.lit("[")), taxon), "array<string>")
