@@ -83,16 +83,19 @@ Scorer = Callable[[Column, Column, Column], Column]
 
 def score_studies(
     contexts: DataFrame, question: str, scorer: Scorer, escalate: bool = True, include: float = 0.7, exclude: float = 0.4,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Score each context, and once more on the full text where the first verdict is ``flag``.
 
     ``scorer(question, context, level)`` gives ``struct(score double, directly_measures
     boolean, reason string, error string)``, normally an Arrow function around a model. Both
-    passes are materialised, since calling the model again would cost and could differ.
+    passes are materialised, since calling the model again would cost and could differ. With ``partitions`` the rows of each
+    pass are first dealt out over so many tasks: scan and model take far longer than an exchange.
     """
     asked = F.lit(question)
 
     def scanned(df, text_col):
+        df = df if partitions is None else df.repartition(partitions)
         signal = scan_signal(df.withColumn("_scan", F.col(text_col)), "_scan")
         wanted = [F.col(f"`{c}`") for c in df.columns]
         return signal.select(

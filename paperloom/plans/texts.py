@@ -367,7 +367,7 @@ def length_scorer(question, context, level):
         FROM (SELECT *, regexp_extract(text, '\\b(materials\\s+and\\s+methods|methods|experimental\\s+procedures|star\\s+methods)\\b', 0, 'i') AS m FROM built))))""",
     "articles", "texts", "descriptors", extra=_NEWEST))
 def score_studies(t):
-    scored = relevance.score_studies(relevance.build_context(t.sql(_STUDIES), t["texts"]), "Which study measures microglia?", length_scorer)
+    scored = relevance.score_studies(relevance.build_context(t.sql(_STUDIES), t["texts"]), "Which study measures microglia?", length_scorer, partitions=t.partitions)
     return scored.select("row_id", "score", "escalated", "context_level", "verdict")
 
 
