@@ -1,11 +1,12 @@
 """What keeps ingest within bounds: small plans, one parse, few documents and authors held at once."""
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from paperloom import schemas
-from paperloom.operators import ingest
+from paperloom.operators import ingest, merge
 from paperloom.sources import articles_xml
 
 ARTICLE = "<PubmedArticle><MedlineCitation><PMID>{0}</PMID><Article><Journal><Title>J</Title></Journal><ArticleTitle>T</ArticleTitle><Abstract><AbstractText>A</AbstractText></Abstract>{1}</Article></MedlineCitation></PubmedArticle>"
@@ -73,3 +74,29 @@ def test_documents_are_parsed_in_small_batches(spark):
     got = list(parse[0]([rows]))
     assert [b.num_rows for b in got] == [articles_xml.PARSED_ROWS] * 3 + [1]
     assert {b.column(b.schema.get_field_index("authors"))[0].as_py()[0]["last_name"] for b in got} == {"L0"}
+
+
+def test_keys_and_links_are_numbered_from_written_rows(spark):
+    """Plans of what numbers new rows hold no copy of the plan that made these rows."""
+    names = spark.createDataFrame([(f"n{i % 5}", i) for i in range(20)], "name string, seq bigint")
+    new = names.join(names.groupBy("name").count(), "name").drop("count")
+    table, ids = merge.assign_keys(schemas.empty_table(spark, "journals"), new, ["name"], "journal_id")
+    assert not {w for w in ("Aggregate", "Window") if w in plan(table) or w in plan(ids)}
+    assert sorted((r.name, r.journal_id) for r in ids.collect()) == [(f"n{i}", i + 1) for i in range(5)]
+    terms = new.select(F.lit(None).cast("string").alias("descriptor_ui"), F.col("name").alias("descriptor_name"), "seq")
+    table, ids = merge.resolve_mesh(schemas.empty_table(spark, "mesh_terms"), terms)
+    assert "Aggregate" not in plan(table) and "Window" not in plan(ids) and plan(ids).count("Join") == 1
+    assert sorted((r.seq, r.mesh_term_id) for r in ids.collect()) == [(i, i % 5 + 1) for i in range(20)]
+    links = new.select(F.col("name").alias("doi"), F.lit(None).cast("string").alias("pmid"), F.lit(None).cast("string").alias("pmcid"), (F.col("seq") % 2).alias("k"), "seq")
+    old = spark.createDataFrame([], "id bigint, doi string, pmid string, pmcid string, k bigint")
+    grown = merge.add_links(old, links, ["k"], id_col="id", consistent=True)
+    assert "Aggregate" in plan(grown) and "SortAggregate" not in plan(grown) and plan(grown).count("Scan") + plan(grown).count("Relation") <= 4
+    assert [(r.id, r.doi, r.k) for r in grown.orderBy("id").collect()] == [(i + 1, f"n{i % 5}", i % 2) for i in range(10)]
+
+
+def test_items_keep_their_order(spark):
+    rows = [(d, p, f"w{d}{p}") for d in (3, 1, 2) for p in range(40)]
+    items = ingest._in_order(spark.createDataFrame(rows, "seq bigint, keyword_position int, keyword string").repartition(5), "keyword_position")
+    assert "Window" not in plan(items) and "Join" not in plan(items)
+    got = items.orderBy("seq").collect()
+    assert [(r.doc, r.keyword_position) for r in got] == sorted((d, p) for d, p, _ in rows) and len({r.seq for r in got}) == len(rows)
