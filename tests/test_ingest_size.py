@@ -100,3 +100,57 @@ def test_items_keep_their_order(spark):
     assert "Window" not in plan(items) and "Join" not in plan(items)
     got = items.orderBy("seq").collect()
     assert [(r.doc, r.keyword_position) for r in got] == sorted((d, p) for d, p, _ in rows) and len({r.seq for r in got}) == len(rows)
+
+
+def parsed(batches, **options):
+    """Batches of records that the parser of ``pubmed_records`` makes of batches of (seq, xml)."""
+    parse = []
+
+    class Frame:
+        def select(self, *_):
+            return self
+
+        repartition = sortWithinPartitions = drop = select
+
+        def mapInArrow(self, function, schema):
+            parse.append(function)
+
+    articles_xml.pubmed_records(Frame(), "xml", **options)
+    return list(parse[0](pa.RecordBatch.from_arrays([pa.array([s for s, _ in b], pa.int64()), pa.array([x for _, x in b], pa.string()), pa.nulls(len(b), pa.string())], ["seq", "xml", "requested_pmid"]) for b in batches))
+
+
+def test_many_authors_take_several_rows(spark):
+    n = 3 * articles_xml.ROW_AUTHORS + 5
+    got = [r for b in parsed([[(1, ARTICLE.format(1, people(n))), (2, ARTICLE.format(2, people(2)))]]) for r in b.to_pylist()]
+    assert [(r["seq"], r["pmid"], r["authors_before"], len(r["authors"])) for r in got] == [
+        (1, "1" if not i else None, i * articles_xml.ROW_AUTHORS, articles_xml.ROW_AUTHORS if i < 3 else 5) for i in range(4)] + [(2, "2", 0, 2)]
+    df = spark.createDataFrame([(1, ARTICLE.format(1, people(n))), (2, ARTICLE.format(2, people(2))), (3, "<broken")], "seq bigint, xml string")
+    tables = articles_xml.pubmed_tables(df, "xml")
+    assert [tables[t].count() for t in ("articles", "journals", "errors", "authors")] == [2, 2, 1, n + 2]
+    assert [(r.author_position, r.last_name) for r in tables["authors"].where("seq = 1").orderBy("author_position").collect()] == [(i + 1, f"L{i}") for i in range(n)]
+    assert articles_xml.pubmed_snapshot(df, "xml").count() == 3
+    assert ingest.article_status(articles_xml.pubmed_records(df, "xml"), schemas.empty_table(spark, "articles")).count() == 3
+
+
+def test_authors_beyond_held_arrays_are_kept_in_a_file(spark, monkeypatch):
+    monkeypatch.setattr(articles_xml, "HELD_AUTHORS", 10)
+    monkeypatch.setattr(articles_xml, "HELD_ARRAYS", 3)
+    monkeypatch.setattr(articles_xml, "ROW_AUTHORS", 7)
+    _, (found,) = articles_xml._pubmed_record(pa.py_buffer(ARTICLE.format(7, people(75)).encode()), author_type(spark))
+    assert found.filed == 60 and len(found.arrays) == 1 and len(found.rows) == 5 and len(found) == 75
+    pieces = list(found.pieces(author_type(spark)))
+    assert max(map(len, pieces)) == 7 and [a["last_name"] for p in pieces for a in p.to_pylist()] == [f"L{i}" for i in range(75)]
+
+
+def test_a_document_may_come_in_parts(spark):
+    whole = ARTICLE.format(1, people(300))
+    cut = [(1, i, whole[i : i + 50]) for i in range(0, len(whole), 50)]
+    rows = [*reversed(cut), (2, 0, ARTICLE.format(2, people(1))), (3, 0, whole[:90]), (4, 0, "<a>"), (4, 1, None), (4, 2, "</a>"), (None, 1, None)]
+    df = spark.createDataFrame(rows, "seq bigint, part int, xml string")
+    records = articles_xml.pubmed_records(df, "xml", part_col="part", partitions=3)
+    assert sorted((r.seq or 0, r.pmid, (r.error or "")[:9]) for r in articles_xml.first_rows(records).collect()) == [
+        (0, None, "No docume"), (1, "1", ""), (2, "2", ""), (3, None, "XML parse"), (4, None, "No docume")]
+    authors = articles_xml.record_tables(records)["authors"]
+    assert [r.last_name for r in authors.where("seq = 1").orderBy("author_position").collect()] == [f"L{i}" for i in range(300)]
+    got = [r for b in parsed([[(1, whole[:70])], [(1, whole[70:200]), (1, whole[200:])], [(2, ARTICLE.format(2, ""))]], part_col="part") for r in b.to_pylist()]
+    assert [(r["seq"], r["pmid"], r["error"], len(r["authors"])) for r in got] == [(1, "1", None, 256), (1, None, None, 44), (2, "2", None, 0)]
